@@ -51,3 +51,28 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
     """A list column from flat values and the number of values of each row."""
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each key, from batches that are sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k) for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+        own = tuple(c[0].as_py() for c in columns)
+        if held and own != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        cuts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for start, stop in zip(cuts[:-2], cuts[1:-1]):
+            yield pa.Table.from_batches([*held, batch.slice(start, stop - start)])
+            held = []
+        held.append(batch.slice(cuts[-2]))
+        last = tuple(c[batch.num_rows - 1].as_py() for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from resultlake.llm.exact_dedup import exact_dedup
 from resultlake.llm.mixing import mix
+from resultlake.llm.near_dedup import near_dedup
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,12 +20,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("repeats")
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
+    "op5_near_dedup": op5_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
