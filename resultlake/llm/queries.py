@@ -7,15 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from resultlake.llm import bpe
 from resultlake.llm.exact_dedup import exact_dedup
+from resultlake.llm.licenses import license_spans, summary
+from resultlake.llm.media import decode_media, describe, encode_media
 from resultlake.llm.mixing import mix
 from resultlake.llm.near_dedup import near_dedup
+from resultlake.llm.token_counts import count_tokens
+from resultlake.llm.toxicity import toxicity
+
+#: Tokenizer files; a path is a parameter of the operators.
+BPE_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+COUNT_FILE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe(decode_media(encode_media(_read(spark, sf_dir, "documents"))))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("repeats")
 
@@ -24,14 +39,36 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(_read(spark, sf_dir, "documents"), BPE_FILE), BPE_FILE)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_read(spark, sf_dir, "documents"), COUNT_FILE)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary(license_spans(_read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_media": op1_media,
     "op4_mixing": op4_mixing,
     "op5_near_dedup": op5_near_dedup,
+    "op6_bpe": op6_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_licenses": op10_licenses,
 }
 
 OP4_SQL = r"""
