@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from resultlake.llm import bpe
+from resultlake.llm import bpe, scratch
 from resultlake.llm.exact_dedup import exact_dedup
 from resultlake.llm.licenses import license_spans, summary
 from resultlake.llm.media import decode_media, describe, encode_media
 from resultlake.llm.mixing import mix
 from resultlake.llm.near_dedup import near_dedup
+from resultlake.llm.sharding import ShardedTable
 from resultlake.llm.token_counts import count_tokens
 from resultlake.llm.toxicity import toxicity
 
@@ -31,6 +32,18 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return describe(decode_media(encode_media(_read(spark, sf_dir, "documents"))))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals, one compaction, and the rows that the newest version holds."""
+    docs = _read(spark, sf_dir, "documents")
+    table = ShardedTable(spark, scratch.path(spark, "sharded"), target=64 << 20)
+    late = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(4)) == 0
+    table.append(docs.filter(~late))
+    table.append(docs.filter(late))
+    table.compact()
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return table.read().select("doc_id", "source", size.alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), F.col("__shard.rows").alias("shard_rows"), F.col("__shard.bytes").alias("shard_bytes"), F.col("__shard.tier").alias("tier"), F.col("__shard.written").alias("written"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("repeats")
 
@@ -62,6 +75,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
+    "op2_sharding": op2_sharding,
     "op4_mixing": op4_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op6_bpe": op6_bpe,
