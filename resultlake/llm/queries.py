@@ -11,6 +11,7 @@ import public_tokenizers
 
 from resultlake.llm import bpe, scratch
 from resultlake.llm.exact_dedup import exact_dedup
+from resultlake.llm.html_text import extract
 from resultlake.llm.licenses import license_spans, summary
 from resultlake.llm.media import decode_media, describe, encode_media
 from resultlake.llm.mixing import mix
@@ -44,6 +45,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().select("doc_id", "source", size.alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), F.col("__shard.rows").alias("shard_rows"), F.col("__shard.bytes").alias("shard_bytes"), F.col("__shard.tier").alias("tier"), F.col("__shard.written").alias("written"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_read(spark, sf_dir, "pages"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("repeats")
 
@@ -76,6 +81,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_sharding": op2_sharding,
+    "op3_html_text": op3_html_text,
     "op4_mixing": op4_mixing,
     "op5_near_dedup": op5_near_dedup,
     "op6_bpe": op6_bpe,
