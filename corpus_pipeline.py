@@ -47,7 +47,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: a row for each repetition."""
-    taken = stored(mix(docs).select(F.col("doc_id").alias("__id"), "repeats").distinct(), "repeats")
+    taken = stored(mix(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.max("repeats").alias("repeats")), "repeats")
     both = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id"))).filter("repeats > 0")
     return both.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(*COLUMNS)
 
