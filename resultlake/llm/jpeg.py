@@ -21,7 +21,7 @@ ZIGZAG = np.array([
 ])
 #: Symbols of the encoder's two tables, the first ones with the shortest codes: (run << 4) | size.
 _DC_SYMBOLS = list(range(12))
-_AC_SYMBOLS = [0x00, 0x06, 0x05, 0x01, 0x04, 0x03, 0x02, 0x07, 0xF0] + [r << 4 | s for r in range(16) for s in range(1, 11) if (r, s) > (0, 7)]
+_AC_SYMBOLS = [0x00, 0x06, 0x05, 0x04, 0x03, 0x01, 0x02, 0x07, 0xF0] + [r << 4 | s for r in range(16) for s in range(1, 11) if (r, s) > (0, 7)]
 #: Bytes of the marker segments that one image may have before its scans; scans of one image.
 BITS = 16
 
@@ -42,6 +42,18 @@ class Huffman:
                 self.look[lo : lo + (1 << (BITS - length))] = length << 8 | s
                 code, at = code + 1, at + 1
             code <<= 1
+        # what 16 bits say if they hold a whole value: its bits, its run, and itself
+        symbol, length = (self.look & 0xFF).astype(np.int64), (self.look >> 8).astype(np.int64)
+        size = symbol & 15
+        whole = (length > 0) & (size > 0) & (length + size <= BITS)
+        extra = np.arange(1 << BITS) >> np.where(whole, BITS - length - size, 0) & ((1 << size) - 1)
+        self.fast_bits = np.where(whole, length + size, 0).astype(np.uint8)
+        self.fast_run = (symbol >> 4).astype(np.uint8)
+        self.fast_value = np.where(whole, _signed(extra, size), 0).astype(np.int32)
+
+
+def _signed(extra: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.where(extra < (1 << size >> 1), extra - (1 << size) + 1, extra)
 
 
 @cache
@@ -49,14 +61,22 @@ def own_table(kind: int) -> Huffman:
     """The encoder's table for DC (0) or AC (1): a few short codes, then codes of one length."""
     symbols = _AC_SYMBOLS if kind else _DC_SYMBOLS
     counts = [0] * 16
-    head, length = (6, 3) if kind else (len(symbols), 4)
-    head = min(head, len(symbols))
-    counts[length - 1] = head
-    if kind:  # 2 of 8 codes of 3 bits are left for the rest
-        counts[10] = len(symbols) - head
+    if kind:
+        counts[2], counts[4], counts[10] = 6, 3, len(symbols) - 9
+    else:
+        counts[3] = len(symbols)
     return Huffman(counts, symbols)
 
 
+@cache
+def _dense() -> tuple[np.ndarray, np.ndarray]:
+    """(bits, sizes) of AC values -128 to 127 that follow a value, at 128 more."""
+    v = np.arange(-128, 128)
+    size, extra = _magnitude(v)
+    table = own_table(1)
+    return table.code[size] << size.astype(np.uint64) | extra, table.size[size] + size
+
+
 #: The encoder's scans: (components, first and last coefficient, bits known before, bit position).
 SCRIPT = [((0, 1, 2), 0, 0, 0, 1)] + [((c,), lo, hi, 0, 1) for lo, hi in ((1, 5), (6, 63)) for c in range(3)] + [((0, 1, 2), 0, 0, 1, 0)] + [((c,), 1, 63, 1, 0) for c in range(3)]
 #: Blocks of luma and chroma in a unit of 16 x 16 pixels, in coding order: (component, row, column).
@@ -110,6 +130,34 @@ def _ac_first(blocks: np.ndarray, lo: int, hi: int, low: int) -> tuple[np.ndarra
     """Tokens of a band of AC values; each block is a lane."""
     band = blocks[:, lo : hi + 1]
     v = np.where(band < 0, -(-band >> low), band >> low)
+    dense = v.all(1) & (np.abs(v).max(1) < 128) if len(v) else np.zeros(0, bool)
+    if dense.any():
+        return _joined(_ac_dense(v[dense]), np.flatnonzero(dense), _ac_sparse(v[~dense], lo, hi), np.flatnonzero(~dense))
+    return _ac_sparse(v, lo, hi)
+
+
+def _joined(a: tuple, at_a: np.ndarray, b: tuple, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of some lanes and of the others, in the order of lanes."""
+    lanes = np.concatenate([at_a[a[2]], at_b[b[2]]])
+    order = np.argsort(lanes, kind="stable") if len(at_b) else slice(None)
+    return np.concatenate([a[0], b[0]])[order], np.concatenate([a[1], b[1]])[order], lanes[order]
+
+
+def _ac_dense(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of bands without zeros, two values in each: 24 bits at most."""
+    code, bits = _dense()
+    at = v + 128
+    value, size = code[at], bits[at]
+    even = v.shape[1] // 2 * 2
+    pair = (value[:, 0:even:2] << size[:, 1:even:2].astype(np.uint64)) | value[:, 1:even:2]
+    width = size[:, 0:even:2] + size[:, 1:even:2]
+    if even < v.shape[1]:
+        pair, width = np.concatenate([pair, value[:, even:]], 1), np.concatenate([width, size[:, even:]], 1)
+    return pair.ravel(), width.ravel(), np.repeat(np.arange(len(v)), pair.shape[1])
+
+
+def _ac_sparse(v: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of any bands."""
     lane, k = np.nonzero(v)
     prev = np.concatenate([[-1], k[:-1]])
     new = np.ones(len(lane), bool)
@@ -140,8 +188,27 @@ def _ac_refine(blocks: np.ndarray, lo: int, hi: int, low: int) -> tuple[np.ndarr
     A value that becomes non-zero is coded with the zeros before it; the bits of values that
     are non-zero already follow the symbol in whose stretch they lie.
     """
-    band = blocks[:, lo : hi + 1].astype(np.int64)
+    band = blocks[:, lo : hi + 1]
     mag = np.abs(band) >> low
+    dense = (mag > 1).all(1)
+    if dense.any():
+        return _joined(_refine_dense(mag[dense] & 1), np.flatnonzero(dense), _refine_sparse(band[~dense], mag[~dense]), np.flatnonzero(~dense))
+    return _refine_sparse(band, mag)
+
+
+def _refine_dense(bit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of bands whose values are all known: the end of the band, then a bit for each value, up to 21 in a token."""
+    table = own_table(1)
+    values, sizes = [np.full(len(bit), table.code[0])], [int(table.size[0])]
+    for k in range(0, bit.shape[1], 21):
+        part = bit[:, k : k + 21]
+        values.append((part @ (1 << np.arange(part.shape[1] - 1, -1, -1, dtype=np.int64))).astype(np.uint64))
+        sizes.append(part.shape[1])
+    return np.stack(values, 1).ravel(), np.tile(sizes, len(bit)), np.repeat(np.arange(len(bit)), len(sizes))
+
+
+def _refine_sparse(band: np.ndarray, mag: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of any bands."""
     n, width = mag.shape
     known, fresh = mag > 1, mag == 1
     table = own_table(1)
@@ -373,8 +440,13 @@ class _Bits:
         padded = np.concatenate([data, np.zeros(16, np.uint8)])
         n = len(padded) - 8
         self.window = np.ndarray((n,), ">u8", padded.tobytes(), 0, (1,)).astype(np.uint64)
+        self.short = (self.window >> np.uint64(32)).astype(np.uint32)
         self.at = at * 8
 
+    def sixteen(self, lanes: np.ndarray) -> np.ndarray:
+        p = self.at[lanes]
+        return (self.short[np.minimum(p >> 3, len(self.short) - 1)] << (p & 7).astype(np.uint32)) >> np.uint32(16)
+
     def peek(self, lanes: np.ndarray | slice, bits: int) -> np.ndarray:
         p = self.at[lanes]
         return (self.window[np.minimum(p >> 3, len(self.window) - 1)] << (p & 7).astype(np.uint64)) >> np.uint64(64 - bits)
@@ -412,10 +484,6 @@ class _Bits:
         return out
 
 
-def _signed(extra: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return np.where(extra < (1 << size >> 1), extra - (1 << size) + 1, extra)
-
-
 def _segments(data: np.ndarray, scans: list[_Scan]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes without stuffing, start of each segment, scan of each segment)."""
     sizes = np.array([s.end - s.start for s in scans])
@@ -468,6 +536,19 @@ def decode_scans(data: np.ndarray, images: list[Image], scans: list[list[_Scan]]
         image.blocks = [coef[b : b + h * w] for b, (h, w) in zip(own, image.shape)]
 
 
+@cache
+def _places(shape: tuple[int, int], own: tuple[int, int]) -> np.ndarray:
+    """Blocks of a component in raster order, as a scan of it alone has them."""
+    return (np.arange(own[0])[:, None] * shape[1] + np.arange(own[1])).ravel()
+
+
+@cache
+def _unit_places(units: tuple[int, int], sampling: tuple[tuple[int, int], ...], comps: tuple[int, ...], starts: tuple[int, ...]) -> np.ndarray:
+    """Blocks of an image in the order of a scan of several components."""
+    y, x = np.divmod(np.arange(units[0] * units[1]), units[1])
+    return np.stack([starts[c] + (y * sampling[c][1] + r) * (units[1] * sampling[c][0]) + x * sampling[c][0] + k for c in comps for r in range(sampling[c][1]) for k in range(sampling[c][0])], 1).ravel()
+
+
 def _block_lists(images: list[Image], base: list[list[int]], scans: list[_Scan]) -> tuple[np.ndarray, np.ndarray, int, np.ndarray]:
     """(block of each place in coding order, places of each scan, blocks of a unit, component slot of each block of a unit)."""
     lists, per, slots = [], 1, np.zeros(1, np.int64)
@@ -475,14 +556,12 @@ def _block_lists(images: list[Image], base: list[list[int]], scans: list[_Scan])
         image = images[s.image]
         if len(s.comps) == 1:
             c = s.comps[0]
-            h, w = image.own[c]
-            stride = image.shape[c][1]
-            lists.append((base[s.image][c] + np.arange(h)[:, None] * stride + np.arange(w)).ravel())
+            lists.append(base[s.image][c] + _places(image.shape[c], image.own[c]))
             continue
-        cells = [(j, c, r, k) for j, c in enumerate(s.comps) for r in range(image.sampling[c][1]) for k in range(image.sampling[c][0])]
-        per, slots = len(cells), np.array([j for j, *_ in cells])
-        y, x = np.divmod(np.arange(image.units[0] * image.units[1]), image.units[1])
-        lists.append(np.stack([base[s.image][c] + (y * image.sampling[c][1] + r) * image.shape[c][1] + x * image.sampling[c][0] + k for _, c, r, k in cells], 1).ravel())
+        cells = [j for j, c in enumerate(s.comps) for _ in range(image.sampling[c][0] * image.sampling[c][1])]
+        per, slots = len(cells), np.array(cells)
+        first = base[s.image][0]
+        lists.append(first + _unit_places(image.units, tuple(image.sampling), tuple(s.comps), tuple(b - first for b in base[s.image])))
     return np.concatenate(lists), np.array([len(x) for x in lists]), per, slots
 
 
@@ -529,19 +608,31 @@ def _band(bits: _Bits, coef: np.ndarray, scan: _Scan, lanes: np.ndarray, block:
     if waiting.any():
         end_run[lanes[waiting]] -= 1
         lanes, block = lanes[~waiting], block[~waiting]
-    k = np.full(len(lanes), scan.lo)
     flat = coef.reshape(-1)
+    k = np.full(len(lanes), scan.lo)
     while len(lanes):
+        found = bits.sixteen(lanes)
+        used = scan.ac.fast_bits[found]
+        if used.all():
+            run = scan.ac.fast_run[found]
+            k = k + run if run.any() else k
+            flat[block * 64 + k] = scan.ac.fast_value[found] << scan.low
+            bits.at[lanes] += used
+            k = k + 1
+            go = k <= scan.hi
+            if not go.all():
+                lanes, block, k = lanes[go], block[go], k[go]
+            continue
         symbol, extra = bits.symbol(lanes, scan.ac)
         size, run = symbol & 15, symbol >> 4
         end = (size == 0) & (run < 15)
-        k += run
+        k = k + run
         put = size > 0
         if put.all():
             flat[block * 64 + k] = _signed(extra, size) << scan.low
         else:
             flat[block[put] * 64 + k[put]] = _signed(extra[put], size[put]) << scan.low
-        k += 1
+        k = k + 1
         if end.any():
             end_run[lanes[end]] = bits.end_run(lanes[end], run[end], extra) - 1
         go = ~end & (k <= scan.hi)
@@ -551,12 +642,31 @@ def _band(bits: _Bits, coef: np.ndarray, scan: _Scan, lanes: np.ndarray, block:
 
 def _refine(bits: _Bits, coef: np.ndarray, scan: _Scan, lanes: np.ndarray, block: np.ndarray, end_run: np.ndarray) -> None:
     """One more bit of a band of one block in each lane: all lanes walk the band together."""
+    one = np.int64(1 << scan.low)
+    width = scan.hi - scan.lo + 1
+    now = coef[block, scan.lo : scan.hi + 1]
+    if width > 1 and scan.ac.size[0] and not end_run[lanes].any():
+        # an end of the band at once, then a bit for each value, as all are known
+        length = int(scan.ac.size[0])
+        plain = (now != 0).all(1) & (bits.peek(lanes, length) == scan.ac.code[0])
+        own = lanes[plain]
+        if len(own):
+            bits.at[own] += length
+            part = []
+            for k in range(0, width, 32):
+                n = min(32, width - k)
+                part.append((bits.peek(own, n)[:, None] >> np.arange(n - 1, -1, -1, dtype=np.uint64)) & np.uint64(1))
+                bits.at[own] += n
+            old = now[plain]
+            coef[block[plain], scan.lo : scan.hi + 1] = old + np.where(old > 0, one, -one) * np.concatenate(part, 1).astype(np.int64)
+            lanes, block = lanes[~plain], block[~plain]
+            if not len(lanes):
+                return
     n = len(lanes)
     ended = end_run[lanes] > 0
     need = ~ended
     run = np.zeros(n, np.int64)
     value = np.zeros(n, np.int64)
-    one = np.int64(1 << scan.low)
     for k in range(scan.lo, scan.hi + 1):
         if need.any():
             at = np.flatnonzero(need)
@@ -625,26 +735,24 @@ def _to_rgb(y: np.ndarray, cb: np.ndarray, cr: np.ndarray) -> np.ndarray:
 
 def to_rgb(images: list[Image]) -> list[np.ndarray]:
     """(height, width, 3) of each image; chroma is repeated to the size of luma."""
-    flat = [(i, c) for i, image in enumerate(images) for c in range(len(image.blocks))]
-    if not flat:
-        return []
-    quants = [images[i].tables[images[i].quant[c]] for i, c in flat]
-    sizes = [len(images[i].blocks[c]) for i, c in flat]
-    if all((q == quants[0]).all() for q in quants):
-        pixels = samples(np.concatenate([images[i].blocks[c] for i, c in flat]), quants[0])
-        parts = np.split(pixels, np.cumsum(sizes)[:-1])
-    else:
-        parts = [samples(images[i].blocks[c], q) for (i, c), q in zip(flat, quants)]
-    out, at = [], 0
-    for image in images:
-        planes = []
-        high = max((s[0] for s in image.sampling), default=1), max((s[1] for s in image.sampling), default=1)
-        for c, (h, w) in enumerate(image.shape):
-            plane = parts[at].reshape(h, w, 8, 8).transpose(0, 2, 1, 3).reshape(h * 8, w * 8)
-            at += 1
-            sx, sy = high[0] // image.sampling[c][0], high[1] // image.sampling[c][1]
-            if sx > 1 or sy > 1:
-                plane = plane.repeat(sy, 0).repeat(sx, 1)
-            planes.append(plane[: image.height, : image.width])
-        out.append(_to_rgb(*planes) if len(planes) == 3 else np.repeat(planes[0][..., None], 3, 2))
+    out: list[np.ndarray | None] = [None] * len(images)
+    alike: dict[tuple, list[int]] = {}
+    for i, image in enumerate(images):
+        key = tuple(image.sampling), tuple(image.tables[q].tobytes() for q in image.quant)
+        alike.setdefault(key, []).append(i)
+    for (sampling, tables), some in alike.items():
+        high = max(s[0] for s in sampling), max(s[1] for s in sampling)
+        planes = []  # of each component, all units of the images as squares of full size
+        for c, ((h, v), table) in enumerate(zip(sampling, tables)):
+            coef = np.concatenate([images[i].blocks[c].reshape(images[i].units[0], v, images[i].units[1], h, 64).transpose(0, 2, 1, 3, 4).reshape(-1, 64) for i in some])
+            tile = samples(coef, np.frombuffer(table, np.int64)).reshape(-1, v, h, 8, 8).transpose(0, 1, 3, 2, 4).reshape(-1, v * 8, h * 8)
+            planes.append(tile.repeat(high[1] // v, 1).repeat(high[0] // h, 2))
+        units = _to_rgb(*planes) if len(planes) == 3 else np.repeat(planes[0][..., None], 3, -1)
+        at = 0
+        for i in some:
+            (rows, columns), image = images[i].units, images[i]
+            own = units[at : at + rows * columns].reshape(rows, columns, *units.shape[1:])
+            at += rows * columns
+            full = own.transpose(0, 2, 1, 3, 4).reshape(rows * units.shape[1], columns * units.shape[2], 3)
+            out[i] = full[: image.height, : image.width]
     return out
