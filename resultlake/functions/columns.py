@@ -6,6 +6,7 @@ parse gives null, never an error, although ANSI mode is on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -149,7 +150,7 @@ def fold_text(c: Col) -> Column:
 def name_list(c: Col) -> Column:
     """A list of names in text, without brackets and quotes."""
     inner = F.regexp_replace(_c(c), r"""^\s*\[|\]\s*$|["']""", "")
-    return F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(inner, ","), F.trim))
+    return F.when(F.trim(inner) == "", F.array().cast("array<string>")).otherwise(F.transform(F.split(inner, ","), lambda x: F.trim(x)))
 
 
 # ---- par -------------------------------------------------------------------
@@ -393,9 +394,13 @@ def json_scalars(c: Col, fields: dict[str, str]) -> dict[str, Column]:
     return {name: tolerant_cast(F.when(~parsed[name].rlike(r"^[\[{]"), parsed[name]), kind) for name, kind in fields.items()}
 
 
+def _field(name: str) -> Callable[[Column], Column]:
+    return lambda x: x[name]
+
+
 def doc_has(c: Col, path: list[str], field: str, value: Col) -> Column:
     """Whether a nested member, along arrays of structs, has a value."""
     out = _c(c)
     for name in path:
-        out = F.flatten(F.transform(out, lambda x, n=name: x[n]))
+        out = F.flatten(F.transform(out, _field(name)))
     return F.coalesce(F.exists(out, lambda x: x[field] == _c(value)), F.lit(False))
