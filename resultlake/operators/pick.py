@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from resultlake.operators.shape import attach, with_row_id
+
 
 def sort_by(df: DataFrame, keys: list[tuple[str, bool]]) -> DataFrame:
     """Sort by (column, descending)."""
@@ -35,7 +37,7 @@ def capped(df: DataFrame, limit: int = 200, most: int = 2000) -> tuple[DataFrame
     n = max(1, min(limit, most))
     some = df.limit(n + 1)
     size = some.agg((F.count("*") > n).alias("truncated"))
-    return some.limit(n).crossJoin(F.broadcast(size)), F.col("truncated")  # one row
+    return attach(some.limit(n), size), F.col("truncated")
 
 
 def top_duplicates(df: DataFrame, key: list[str], k: int = 5) -> DataFrame:
@@ -55,8 +57,6 @@ def sample_n(df: DataFrame, key: list[str], n: int, seed: int) -> DataFrame:
 
 def every_kth(df: DataFrame, order: list[str], k: int) -> DataFrame:
     """Every k-th row of an order, numbered without one task for all rows."""
-    from resultlake.operators.shape import with_row_id
-
     return with_row_id(df, order, "__n").filter(F.col("__n") % k == 0).drop("__n")
 
 
@@ -66,7 +66,7 @@ def allocation(counts: DataFrame, stratum: str, n: int) -> DataFrame:
     ``counts`` has one row for each stratum.
     """
     total = counts.agg(F.sum("n").alias("total"))
-    c = counts.crossJoin(F.broadcast(total))  # one row
+    c = attach(counts, total)
     want = F.least(F.lit(n), F.col("total"))
     c = c.withColumn("base", F.floor(want * F.col("n") / F.col("total")))
     c = c.withColumn("rest", F.pmod(want * F.col("n"), F.col("total")))

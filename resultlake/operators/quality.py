@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from resultlake.functions.columns import coerce_key
 from resultlake.operators.aggs import conditional_counts
 from resultlake.operators.sets import key_diff
+from resultlake.operators.shape import attach
 
 
 def _report(df: DataFrame, name: str, passed: Column, detail: Column, n: Column) -> DataFrame:
@@ -40,7 +41,7 @@ def check_unique(df: DataFrame, keys: list[str], numeric: bool = False, nullable
     total = bad.agg(F.count("*").alias("n"))
     nulls = F.lit(0) if nullable else F.col("nulls")
     missing = df.agg(F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])).alias("nulls"))
-    one = total.crossJoin(worst).crossJoin(missing)  # one row each
+    one = attach(attach(total, worst), missing)
     return _report(one, f"unique {','.join(keys)}", (F.col("n") == 0) & (nulls == 0), F.col("worst"), F.col("n") + nulls)
 
 
@@ -121,7 +122,7 @@ def compare(a: DataFrame, b: DataFrame, keys: list[str], examples: int = 3) -> D
     spark = a.sparkSession
     only_a, only_b = sorted(set(a.columns) - set(b.columns)), sorted(set(b.columns) - set(a.columns))
     schema = spark.createDataFrame([("schema", not only_a and not only_b, ",".join(only_a + only_b), len(only_a) + len(only_b))], "check string, passed boolean, detail string, n long")
-    sizes = a.agg(F.count("*").alias("x")).crossJoin(b.agg(F.count("*").alias("y")))  # one row each
+    sizes = attach(a.agg(F.count("*").alias("x")), b.agg(F.count("*").alias("y")))
     count = _report(sizes, "count", F.col("x") == F.col("y"), F.concat_ws(" ", "x", "y"), F.abs(F.col("x") - F.col("y")))
     sides = key_diff(a, b, keys).agg(F.count_if(F.col("side") == "a").alias("only in a"), F.count_if(F.col("side") == "b").alias("only in b"))
     shared = [c for c in a.columns if c in b.columns and c not in keys]

@@ -126,13 +126,18 @@ def prefer_raw(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     return plain.select(*[(F.coalesce(at[twins[c]].try_cast(fields[c]), at[c]) if c in twins else at[c]).alias(c) for c in df.columns if c not in drop])
 
 
+def attach(df: DataFrame, one: DataFrame) -> DataFrame:
+    """``df`` with the columns of a frame of one row, as scalar subqueries: nothing is joined."""
+    return df.withColumns({c: one.select(c).scalar() for c in one.columns})
+
+
 def scale_percent(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fractions as 0 to 100: a column is multiplied only if none of its values is above 1.
 
-    The greatest values are one row, which a window-free join gives to all rows.
+    The greatest values are one row.
     """
     most = df.agg(*[F.max(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"__m{i}") for i, c in enumerate(columns)])
-    joined = df.crossJoin(F.broadcast(most))  # one row
+    joined = attach(df, most)
     at = {c: i for i, c in enumerate(columns)}
     return joined.select(*[(F.when(F.col(f"__m{at[c]}") <= 1, F.col(c) * 100).otherwise(F.col(c)).alias(c) if c in at else F.col(c)) for c in df.columns])
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resultlake.functions.columns import clip, finite, row_mean_std
+from resultlake.operators.shape import attach
 
 
 def fit_scaler(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -89,9 +90,9 @@ def class_weights(counts: DataFrame, mode: str = "none") -> DataFrame:
     total = counts.agg(F.sum("n").alias("t"))
     share = F.col("n") / F.col("t")
     raw = {"none": F.lit(1.0), "inverse": 1 / share, "sqrt": 1 / F.sqrt(share), "log": F.log1p(1 / share)}[mode]
-    c = counts.crossJoin(F.broadcast(total)).withColumn("w", F.when(F.col("n") > 0, raw).otherwise(0.0))  # one row
+    c = attach(counts, total).withColumn("w", F.when(F.col("n") > 0, raw).otherwise(0.0))
     mean = c.agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("m"))
-    return c.crossJoin(F.broadcast(mean)).withColumn("weight", F.col("w") / F.col("m")).drop("t", "w", "m")  # one row
+    return attach(c, mean).withColumn("weight", F.col("w") / F.col("m")).drop("t", "w", "m")
 
 
 def joint_pick(df: DataFrame, key: str, a: str, b: str, weight: float = 0.3) -> DataFrame:

@@ -124,7 +124,7 @@ def shrinkage_prior(df: DataFrame, key: str, order: list[str], value: str, least
     per = established(df, key, order, value)
     prior = per.filter(F.col("sessions") >= least).agg(F.median("latest").alias("anchor"), F.avg("latest").alias("mean"), F.stddev_pop("latest").alias("std"), F.count("latest").alias("n"), F.percentile("latest", 0.25).alias("p25"), F.percentile("latest", 0.75).alias("p75"))
     published = (F.col("sessions") * F.col("latest") + weight * F.col("anchor")) / (F.col("sessions") + weight)
-    return prior, per.crossJoin(F.broadcast(prior.select("anchor"))).withColumn("published", published)  # one row
+    return prior, shape.attach(per, prior.select("anchor")).withColumn("published", published)
 
 
 def dispersion_seeds(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -197,7 +197,7 @@ def shrink(slopes: DataFrame, beta0: DataFrame, tau2: DataFrame, kind: str = "mi
 
     ``miss``: one minus the predicted rate within [0, 1]; ``tricks``: minus the prediction.
     """
-    j = slopes.crossJoin(F.broadcast(beta0.crossJoin(tau2)))  # one row
+    j = shape.attach(shape.attach(slopes, beta0), tau2)
     se = F.col("se")
     w = F.when(F.col("slope").isNull() | se.isNull(), 0.0).when(se <= SE_ZERO, 1.0).when(F.col("tau2") > 0, F.col("tau2") / (F.col("tau2") + se * se)).otherwise(0.0)
     j = j.withColumn("weight", w)
@@ -229,7 +229,7 @@ def partial_coefficient(df: DataFrame, d: str, f: str, y: str) -> DataFrame:
 def residualize(df: DataFrame, d: str, f: str, y: str, name: str = "residual") -> DataFrame:
     """y without what the partial coefficient of f explains (C17)."""
     b = partial_coefficient(df, d, f, y).select(F.col("b2").alias("__b"))
-    return df.crossJoin(F.broadcast(b)).withColumn(name, F.col(y) - F.col("__b") * F.col(f)).drop("__b")  # one row
+    return shape.attach(df, b).withColumn(name, F.col(y) - F.col("__b") * F.col(f)).drop("__b")
 
 
 def board_difficulty(df: DataFrame, keys: list[str], s: str, y: str, kind: str = "miss", contract: str | None = None) -> DataFrame:
@@ -273,9 +273,9 @@ def rank_quality(pairs: DataFrame, section: list[str], pred: str, least: int = 4
 def interval(df: DataFrame, pairs: DataFrame, actual: str, pred: str) -> DataFrame:
     """One row: deviation of a board, the widening that pairs need, and coverage with and without it."""
     sd = df.agg(F.stddev_samp(F.col(pred) - F.col(actual)).alias("board_sd"))
-    e = pairs.withColumns({"error": F.col(pred) - F.col("actual"), "root": F.sqrt("boards")}).crossJoin(F.broadcast(sd))  # one row
+    e = shape.attach(pairs.withColumns({"error": F.col(pred) - F.col("actual"), "root": F.sqrt("boards")}), sd)
     wide = e.agg(F.sqrt(F.avg(F.pow(F.col("error") * F.col("root") / F.col("board_sd"), F.lit(2.0)))).alias("widening"))
-    e = e.crossJoin(F.broadcast(wide))  # one row
+    e = shape.attach(e, wide)
     within = lambda f: F.avg((F.abs("error") <= Z95 * f * F.col("board_sd") / F.col("root")).cast("double"))
     return e.agg(F.max("board_sd").alias("board_sd"), F.max("widening").alias("widening"), within(F.lit(1.0)).alias("coverage_plain"), within(F.col("widening")).alias("coverage_widened"), F.count("*").alias("pairs"))
 
@@ -298,7 +298,7 @@ def luck_report(df: DataFrame, keys: list[str], actual: str, pred: str, sigma: s
     w = Window.orderBy("skill").rowsBetween(Window.unboundedPreceding, -1)
     place = per.filter("skill IS NOT NULL").withColumn("__r", F.coalesce(F.sum("__n").over(w), F.lit(0)) + (F.col("__n") + 1) / F.lit(2.0)).select("skill", "__r")
     total = g.agg(F.count("skill").alias("__all"))
-    return g.join(place, "skill", "left").crossJoin(F.broadcast(total)).withColumn("skill_pct", F.col("__r") / F.col("__all")).drop("__r", "__all")  # one row
+    return shape.attach(g.join(place, "skill", "left"), total).withColumn("skill_pct", F.col("__r") / F.col("__all")).drop("__r", "__all")
 
 
 def skill_features(df: DataFrame, rating: str = "Elo", points: str = "MasterPoints") -> DataFrame:

@@ -86,7 +86,7 @@ def personalize(df: DataFrame, player) -> DataFrame:  # noqa: ANN001
     mine = df.withColumn("__seat", seat).filter("__seat IS NOT NULL")
     partner = {"N": "S", "S": "N", "E": "W", "W": "E"}
     context = mine.agg(F.min_by(F.struct(F.col("__seat").alias("seat"), F.col("section_id").alias("section"), F.when(F.col("__seat").isin("N", "S"), F.col("Pair_Number_NS")).otherwise(F.col("Pair_Number_EW")).alias("pair")), "Board").alias("me"))
-    out = df.crossJoin(F.broadcast(context))  # one row
+    out = shape.attach(df, context)
     side = F.when(F.col("me.seat").isin("N", "S"), "NS").otherwise("EW")
     pair = F.when(side == "NS", F.col("Pair_Number_NS")).otherwise(F.col("Pair_Number_EW"))
     played = (F.col("section_id") == F.col("me.section")) & (pair == F.col("me.pair"))
