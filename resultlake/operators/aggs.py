@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resultlake.functions.columns import finite
-from resultlake.operators.windows import avg_rank
+from resultlake.operators.windows import avg_rank, ranked
 
 
 def counts(df: DataFrame, by: list[str]) -> DataFrame:
@@ -42,10 +42,16 @@ def distinct_counts(df: DataFrame, by: list[str], columns: dict[str, list[str]])
     return df.groupBy(*by).agg(*[F.count_distinct(*c).alias(name) for name, c in columns.items()])
 
 
-def moments(df: DataFrame, by: list[str], column: str) -> DataFrame:
+def quantile(x: Column | str, q: float | list[float], exact: bool = True) -> Column:
+    """Quantiles by linear interpolation, which hold a group's distinct values in memory; approximate ones, to one part in 10,000, do not."""
+    q = F.lit(q) if isinstance(q, float) else F.array(*map(F.lit, q))
+    return F.percentile(x, q) if exact else F.percentile_approx(x, q, 10_000)
+
+
+def moments(df: DataFrame, by: list[str], column: str, exact: bool = True) -> DataFrame:
     """n, mean, deviation with ddof 1 and 0, and median of finite values."""
     x = finite(column)
-    return df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.stddev_pop(x).alias("std_pop"), F.percentile(x, 0.5).alias("median"))
+    return df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.stddev_pop(x).alias("std_pop"), quantile(x, 0.5, exact).alias("median"))
 
 
 def latest(df: DataFrame, key: list[str], order: list[str], columns: list[str]) -> DataFrame:
@@ -103,11 +109,17 @@ def pearson(df: DataFrame, x: str, y: str, by: list[str] | None = None) -> DataF
     return g.withColumn("r", F.when((F.col("n") >= 3) & (F.col("__a") > 0) & (F.col("__b") > 0), F.col("r"))).drop("__a", "__b")
 
 
-def spearman(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
-    """Rank correlation of each group, ties by mean rank."""
+def spearman(df: DataFrame, by: list[str], x: str, y: str, small_groups: bool = True) -> DataFrame:
+    """Rank correlation of each group, ties by mean rank.
+
+    Groups such as sections fit a task each; for groups of any size ``small_groups`` is False.
+    """
     ok = df.select(*by, finite(x).alias("__x"), finite(y).alias("__y")).dropna(subset=["__x", "__y"])
-    ranked = ok.withColumns({"__rx": avg_rank(by, "__x"), "__ry": avg_rank(by, "__y")})
-    return pearson(ranked, "__rx", "__ry", by).withColumnRenamed("r", "spearman")
+    if small_groups:
+        both = ok.withColumns({"__rx": avg_rank(by, "__x"), "__ry": avg_rank(by, "__y")})
+    else:
+        both = ranked(ranked(ok, by, "__x", "__rx"), by, "__y", "__ry")
+    return pearson(both, "__rx", "__ry", by).withColumnRenamed("r", "spearman")
 
 
 def errors(df: DataFrame, y: str, yhat: str, by: list[str] | None = None) -> DataFrame:
@@ -148,10 +160,10 @@ def classification_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
     return per.agg((F.sum("hit") / F.sum("true")).alias("accuracy"), (F.max("true") / F.sum("true")).alias("majority"), F.avg(f1).alias("macro_f1"), F.sum("true").alias("n"))
 
 
-def distributions(df: DataFrame, columns: list[str]) -> DataFrame:
+def distributions(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """n, mean, deviation and p10, p25, p50, p75, p90 of each measure, one row for each."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), finite(c).alias("v")) for c in columns])).alias("m")).select("m.*")
-    g = long.groupBy("measure").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.percentile("v", F.array(*map(F.lit, (0.1, 0.25, 0.5, 0.75, 0.9)))).alias("p"))
+    g = long.groupBy("measure").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), quantile("v", [0.1, 0.25, 0.5, 0.75, 0.9], exact).alias("p"))
     return g.select("measure", "n", "mean", "std", *[F.col("p")[i].alias(f"p{q}") for i, q in enumerate((10, 25, 50, 75, 90))])
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resultlake.functions.columns import clip
+from resultlake.operators.shape import checkpointed
 
 
 def partition_median(by: list[str], column: str) -> Column:
@@ -36,6 +39,26 @@ def avg_rank(by: list[str], column: str) -> Column:
     return F.rank().over(order) + (F.count("*").over(peers) - 1) / F.lit(2.0)
 
 
+def ranked(df: DataFrame, by: list[str], column: str, name: str, parts: int = 64) -> DataFrame:
+    """``df`` with the mean rank of a column in its group, for groups of any size.
+
+    Values are counted, dealt out by ranges of (group, value) and numbered in each range; the
+    totals of a group's ranges, as many as there are ranges, give each range its start. No
+    task sorts a whole group. Null values have no rank.
+    """
+    values = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("__n"))
+    dealt = checkpointed(values.repartitionByRange(parts, *by, column).withColumn("__part", F.spark_partition_id()))
+    here = Window.partitionBy(*by, "__part").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*by, "__part").agg(F.sum("__n").alias("__t")).withColumn("__start", F.coalesce(F.sum("__t").over(ahead), F.lit(0))).drop("__t")
+    keys = [*by, "__part"]
+    on = reduce(lambda a, b: a & b, [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in keys])
+    local = dealt.withColumn("__before", F.coalesce(F.sum("__n").over(here), F.lit(0)))
+    placed = local.alias("x").join(totals.alias("y"), on).select(*[F.col(f"x.{k}") for k in [*by, column]], (F.col("__start") + F.col("__before") + (F.col("__n") + 1) / F.lit(2.0)).alias(name))
+    both = reduce(lambda a, b: a & b, [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in [*by, column]])
+    return df.alias("x").join(placed.alias("y"), both, "left").select("x.*", name)
+
+
 def rank_percentile(by: list[str], column: str) -> Column:
     """Mean rank by the size of the group."""
     return avg_rank(by, column) / F.count("*").over(Window.partitionBy(*by))

@@ -297,7 +297,7 @@ k AS (SELECT *, rank() OVER (PARTITION BY c_mktsegment ORDER BY x) + (count(*) O
 def spearman(t: Tables) -> DataFrame:
     """Rank correlation by group."""
     y = t("customer").join(t("orders"), F.col("c_custkey") == F.col("o_custkey")).groupBy("c_custkey", "c_mktsegment", "c_acctbal").agg(r6(F.sum("o_totalprice"), 4).alias("y"))
-    return aggs.spearman(y, ["c_mktsegment"], "c_acctbal", "y").withColumn("spearman", r6("spearman"))
+    return aggs.spearman(y, ["c_mktsegment"], "c_acctbal", "y", small_groups=False).withColumn("spearman", r6("spearman"))
 
 
 @query("SELECT p_brand, round(regr_slope(p_retailprice, p_size), 6) AS slope, round(regr_intercept(p_retailprice, p_size), 4) AS intercept, regr_count(p_retailprice, p_size)::BIGINT AS n FROM part GROUP BY 1")

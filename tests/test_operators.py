@@ -81,6 +81,13 @@ def test_ranks(spark, rows):
     assert sorted(rows(df.select("v", windows.avg_rank(["g"], "v")))) == [(1, 1.0), (5, 2.5), (5, 2.5), (9, 4.0)]
 
 
+def test_ranks_of_large_groups(spark):
+    df = spark.createDataFrame([(i % 2 or None, float(i * 7 % 30)) for i in range(200)] + [(1, None)], "g int, v double")
+    a = {(r["g"], r["v"], r["k"]) for r in windows.ranked(df, ["g"], "v", "k", 5).collect()}
+    b = {(r["g"], r["v"], r["k"]) for r in df.filter("v IS NOT NULL").withColumn("k", windows.avg_rank(["g"], "v")).collect()}
+    assert a == b | {(1, None, None)}
+
+
 def test_samples(spark):
     df = spark.range(1000).withColumn("s", F.when(F.col("id") < 900, "big").otherwise("small"))
     got = pick.proportional_sample(df, "s", ["id"], 50, 3).groupBy("s").count().collect()
