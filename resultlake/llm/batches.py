@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Bytes of text that one step inside a task works on; one longer row is a piece of its own.
 PIECE_BYTES = 4 << 20
 
 
+#: Bytes that Spark sends to a Python worker at once, about.
+SENT_BYTES = 4 << 20
+_SENT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of this session to a few MB, in Spark and in its Python workers.
+
+    The setting is only ever lowered. It is read when a query runs, so it stays.
+    """
+    now = int(re.match(r"-?\d+", spark.conf.get(_SENT))[0])
+    if now <= 0 or now > SENT_BYTES:
+        spark.conf.set(_SENT, f"{SENT_BYTES}b")
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker is kept for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes in ``column``, one row at least."""
     for batch in batches:
@@ -23,6 +50,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, limit: int = PIECE_BY
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    give_back()
 
 
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

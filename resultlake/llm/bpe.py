@@ -29,7 +29,7 @@ MOST_BYTES = 64 << 20
 #: cost the square of its length, are made by a queue of its pairs instead, in the same order.
 MATRIX_ROWS, LONGEST = 1 << 16, 1024
 #: Pieces whose ids a worker keeps between batches.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 class Vocabulary:
@@ -214,6 +214,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     and empty texts have no ids. Rows are independent, so repeats and ties need nothing,
     and an empty table gives an empty result. Other columns are ignored.
     """
+    B.small_batches(docs.sparkSession)
     sent = send_file(docs.sparkSession, vocabulary)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,6 +230,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``encoded`` (doc_id, n_tokens, ids) with the bytes of the text as ``decoded``; null ids give none."""
+    B.small_batches(encoded.sparkSession)
     sent = send_file(encoded.sparkSession, vocabulary)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

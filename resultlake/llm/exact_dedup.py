@@ -121,6 +121,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_points counts the code points of the text as it is, the other columns are of the
     text without white space. Null counts as empty. Other columns of ``docs`` are ignored.
     """
+    B.small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     huge = F.length("text") > HUGE_CHARS
@@ -145,6 +146,7 @@ def collisions(docs: DataFrame, text_col: str = "text", primes: tuple[int, int]
 
     Both are taken before the shuffle too, so copies in one task leave as one row.
     """
+    B.small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     chunks = docs.select(text).mapInArrow(_compare_rows(primes), "fp1 long, fp2 long, n_bytes long, nth int, chunk binary")
     same = chunks.groupBy("fp1", "fp2", "n_bytes", "nth").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))

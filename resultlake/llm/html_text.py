@@ -264,6 +264,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     Pages with the same folded tree count once; the trees of a host are aligned in up to
     ``SALTS`` parts and then with each other, so a large host is not one task's work.
     """
+    B.small_batches(pages.sparkSession)
     slim = pages.select(host_of(F.col(url_col)).alias("host"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     trees = slim.mapInArrow(_skeletons, "host string, tree string, n long").groupBy("host", "tree").agg(F.sum("n").alias("n"))
     salted = trees.withColumn("salt", F.pmod(F.xxhash64("tree"), F.lit(SALTS)))

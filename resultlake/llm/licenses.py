@@ -136,6 +136,7 @@ def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Other columns are ignored.
     """
     spark = docs.sparkSession
+    B.small_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).withColumn("mark", F.xxhash64("text"))
     grams = base.mapInArrow(_grams, "doc_id long, mark long, n_short long, grams array<long>")

@@ -210,6 +210,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: in
     doc_id is never a component's id unless it stands alone. An empty table gives an empty
     result. Other columns, whatever their names, are ignored.
     """
+    B.small_batches(docs.sparkSession)
     least = least_matches(percent / 100, miss)
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = stored(text.mapInArrow(_sign(width), "doc_id long, n_shingles long, sid binary, sig binary, bands array<long>"), "signatures")

@@ -27,7 +27,7 @@ from resultlake.llm.bpe import send_file
 #: Runs of white space are one blank to the tokenizer, so they are one in the normalised text.
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Pieces whose counts a worker keeps between batches.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 CACHE = "content_digest binary, tokenizer_digest string, n_tokens long"
 
 
@@ -128,6 +128,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     ignored. Two jobs that append the same digest add equal rows, which are read as one.
     """
     spark = docs.sparkSession
+    B.small_batches(spark)
     sent = send_file(spark, tokenizer)
     version = hashlib.sha256(sent.value).hexdigest()
     cache = cache or scratch.path(spark, "token-counts")

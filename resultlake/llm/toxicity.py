@@ -252,6 +252,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
     without hits. Without any labelled text of both classes every score is the share of
     toxic labels, or 0. Rows with equal texts have equal scores. Other columns are ignored.
     """
+    B.small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("long").alias("toxic"))
