@@ -6,12 +6,14 @@ from collections.abc import Callable
 from functools import reduce
 from itertools import product
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from resultlake.functions.columns import clip, finite, row_mean_std
 from resultlake.operators.shape import attach
@@ -85,6 +87,19 @@ def train(df: DataFrame, y: str, xs: list[str], kind: str = "logistic", categori
     return Pipeline(stages=[*index, label, features, LogisticRegression(labelCol="__label", **options)]).fit(df)
 
 
+def fit_per_group(df: DataFrame, by: list[str], fit: Callable[[pd.DataFrame], dict[str, float]], names: list[str]) -> DataFrame:
+    """Numbers that a library's model gives for each group (F04); a group is held by one task, so it must fit one.
+
+    Lines need no library: ``reports.group_slopes`` makes them from sums, for groups of any size.
+    """
+    schema = T.StructType([*[df.schema[c] for c in by], *[T.StructField(n, T.DoubleType()) for n in names]])
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([{c: group[c].iloc[0] for c in by} | {n: float(v) for n, v in fit(group).items()}])[[*by, *names]]
+
+    return df.groupBy(*by).applyInPandas(run, schema)
+
+
 def class_weights(counts: DataFrame, mode: str = "none") -> DataFrame:
     """Weights of classes (y, n): none, inverse, sqrt or log of the inverse share, mean 1 over rows."""
     total = counts.agg(F.sum("n").alias("t"))

@@ -53,6 +53,21 @@ def normalize_documents(df: DataFrame, column: str, schema: str | T.DataType, pa
     return out
 
 
+def doc_members(df: DataFrame, keys: list[str], column: str, path: list[str], members: list[str], parents: dict[str, str] | None = None) -> DataFrame:
+    """Distinct nested members of documents, along arrays of structs, with attributes of what is above them.
+
+    ``parents``: {new column: field of the last array's parent}.
+    """
+    now = df.select(*keys, F.explode(F.col(f"{column}.{path[0]}")).alias("__v"))
+    held: list[str] = []
+    for i, step in enumerate(path[1:], 1):
+        if i == len(path) - 1 and parents:
+            now = now.withColumns({n: F.col(f"__v.{f}") for n, f in parents.items()})
+            held = list(parents)
+        now = now.select(*keys, *held, F.explode(F.col(f"__v.{step}")).alias("__v"))
+    return now.select(*keys, *held, *[F.col(f"__v.{m}").alias(m) for m in members]).dropDuplicates()
+
+
 def scan_evolving(spark: SparkSession, paths: list[str], columns: list[str] | None = None, text_ids: list[str] = ()) -> DataFrame:
     """Files of different schemas as one table: absent columns are null, ids are text.
 

@@ -83,6 +83,13 @@ def test_evolving_scan(spark, tmp_path):
         S.resolve_source(spark, str(tmp_path), listed)
 
 
+def test_members_of_documents(spark):
+    doc = '{"sections": [{"name": "A", "players": [{"id": 1}, {"id": 1}, {"id": 2}]}, {"name": "B", "players": [{"id": 1}]}]}'
+    df = spark.createDataFrame([(7, doc), (8, None)], "k int, c string").withColumn("d", F.from_json("c", "sections array<struct<name:string,players:array<struct<id:int>>>>"))
+    got = S.doc_members(df, ["k"], "d", ["sections", "players"], ["id"], {"section": "name"})
+    assert sorted(tuple(r) for r in got.collect()) == [(7, "A", 1), (7, "A", 2), (7, "B", 1)]
+
+
 def test_html(spark):
     page = '<a href="x?id=1">1</a><table><tr><td>a <b>b</b></td><td>2</td></tr></table><script>var data = [{"id": 4}];</script><i data-page="3">'
     df = spark.createDataFrame([(1, page), (2, None)], "k int, html string")

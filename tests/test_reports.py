@@ -202,6 +202,12 @@ def test_models(spark):
     assert out.filter("prediction = __label").count() >= 190
 
 
+def test_model_of_each_group(spark):
+    df = spark.createDataFrame([(g, float(i), float(g * i)) for g in (1, 2) for i in range(5)], "g int, x double, y double")
+    got = {r["g"]: r["slope"] for r in ml.fit_per_group(df, ["g"], lambda p: {"slope": p["x"].cov(p["y"]) / p["x"].var()}, ["slope"]).collect()}
+    assert got == {1: pytest.approx(1), 2: pytest.approx(2)}
+
+
 def test_choices():
     calls = []
     trials = ml.sweep(lambda p: calls.append(p) or (p["a"] - 2) ** 2 + (p["b"] - 1) ** 2, {"a": [0, 1, 2], "b": [3, 1]})
