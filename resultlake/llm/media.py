@@ -7,7 +7,7 @@ exactly, so the payload is read back from the file without loss.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,18 +61,24 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             files, _ = write_files(data, offsets)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(offsets)), pa.array(files, pa.binary())], ["doc_id", "n_bytes", "media"])
 
+    B.small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return slim.mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
-def decode_media(media: DataFrame) -> DataFrame:
+DECODED = "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary"
+
+
+def decode_media(media: DataFrame, then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, schema: str = DECODED) -> DataFrame:
     """``media`` (doc_id, n_bytes, media) with payload, height, width and rgb.
 
     ``rgb`` is the tensor of height x width x 3 unsigned bytes in row-major order, at full
     resolution; ``payload`` is read from the coefficients of the stored bytes. A null file
-    gives nulls.
+    gives nulls. ``then`` turns each batch of such rows into rows of ``schema`` in the worker
+    that has decoded them, so that tensors of which only something is wanted do not leave it.
     """
-    names = ["doc_id", "n_bytes", "media", "payload", "height", "width", "rgb"]
+    names = [c.split()[0] for c in DECODED.split(", ")]
+    made = then or (lambda b: b)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in B.pieces(it, "media", STEP_BYTES):
@@ -80,37 +86,37 @@ def decode_media(media: DataFrame) -> DataFrame:
             if len(there) < len(b):
                 lost = b.filter(b.column("media").is_null())
                 none = [pa.nulls(len(lost), kind) for kind in (pa.binary(), pa.int32(), pa.int32(), pa.binary())]
-                yield pa.RecordBatch.from_arrays([*lost.columns, *none], names)
+                yield made(pa.RecordBatch.from_arrays([*lost.columns, *none], names))
             data, offsets = B.buffer(there.column("media"))
             images, scans = J.parse(data, offsets)
             J.decode_scans(data, images, scans)
             payload = [read_payload(i).tobytes() for i in images]
             rgb = [x.tobytes() for x in J.to_rgb(images)]
-            yield pa.RecordBatch.from_arrays([*there.columns, pa.array(payload, pa.binary()), pa.array([i.height for i in images], pa.int32()), pa.array([i.width for i in images], pa.int32()), pa.array(rgb, pa.binary())], names)
-
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, media binary, payload binary, height int, width int, rgb binary")
-
-
-def describe(decoded: DataFrame) -> DataFrame:
-    """Digests of payload and file and a feature of the tensor, for each row of :func:`decode_media`."""
+            yield made(pa.RecordBatch.from_arrays([*there.columns, pa.array(payload, pa.binary()), pa.array([i.height for i in images], pa.int32()), pa.array([i.width for i in images], pa.int32()), pa.array(rgb, pa.binary())], names))
+
+    B.small_batches(media.sparkSession)
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+
+
+def features(b: pa.RecordBatch) -> pa.RecordBatch:
+    """Decoded rows with a feature of their tensor in its place: size, sums of channels, levels of green."""
+    out = []
+    held, offsets = B.buffer(b.column("rgb"))
+    for s, e, h, w in zip(offsets[:-1], offsets[1:], b.column("height").to_pylist(), b.column("width").to_pylist()):
+        if h is None:
+            out.append(None)
+            continue
+        flat = held[s:e].reshape(-1, 3)
+        total = flat.sum(0, dtype=np.int64)
+        levels = np.bincount(flat[:, 1] >> 5, minlength=8)
+        out.append(f"{h}x{w};sum={total[0]},{total[1]},{total[2]};green={','.join(map(str, levels.tolist()))}")
     kept = ["doc_id", "n_bytes", "media", "payload"]
+    return pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(out, pa.string())], [*kept, "feature"])
 
-    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in B.pieces(it, "rgb"):
-            out = []
-            held, offsets = B.buffer(b.column("rgb"))
-            height, width = b.column("height").to_pylist(), b.column("width").to_pylist()
-            for s, e, h, w in zip(offsets[:-1], offsets[1:], height, width):
-                if h is None:
-                    out.append(None)
-                    continue
-                flat = held[s:e].reshape(-1, 3)
-                total = flat.sum(0, dtype=np.int64)
-                levels = np.bincount(flat[:, 1] >> 5, minlength=8)
-                out.append(f"{h}x{w};sum={total[0]},{total[1]},{total[2]};green={','.join(map(str, levels.tolist()))}")
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(out, pa.string())], [*kept, "feature"])
-
-    seen = decoded.select(*kept, "height", "width", "rgb").mapInArrow(run, "doc_id long, n_bytes long, media binary, payload binary, feature string")
+
+def describe(media: DataFrame) -> DataFrame:
+    """Digests of payload and file and a feature of the tensor, for each file of :func:`encode_media`."""
+    seen = decode_media(media, features, "doc_id long, n_bytes long, media binary, payload binary, feature string")
     length = F.octet_length("payload")
     return seen.select(
         "doc_id",

@@ -13,7 +13,7 @@ from resultlake.llm import bpe, scratch
 from resultlake.llm.exact_dedup import exact_dedup
 from resultlake.llm.html_text import extract
 from resultlake.llm.licenses import license_spans, summary
-from resultlake.llm.media import decode_media, describe, encode_media
+from resultlake.llm.media import describe, encode_media
 from resultlake.llm.mixing import mix
 from resultlake.llm.near_dedup import near_dedup
 from resultlake.llm.sharding import ShardedTable
@@ -30,7 +30,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe(decode_media(encode_media(_read(spark, sf_dir, "documents"))))
+    return describe(encode_media(_read(spark, sf_dir, "documents")))
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

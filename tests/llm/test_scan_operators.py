@@ -153,11 +153,13 @@ def test_decoder_without_restarts_reads_end_of_band_runs():
 
 def test_media_columns(spark):
     texts = ["", None, "héllo " * 30, "x" * 64, "\0\x01" * 100]
-    rows = {r["doc_id"]: r for r in media.describe(media.decode_media(media.encode_media(frame(spark, texts)))).collect()}
+    rows = {r["doc_id"]: r for r in media.describe(media.encode_media(frame(spark, texts))).collect()}
     for i, t in enumerate(texts):
         raw = (t or "").encode()
         full = raw.ljust(max(64, -(-len(raw) // 64) * 64), b"\0")
         assert (rows[i]["n_bytes"], rows[i]["payload_bytes"], rows[i]["payload_sha256"], rows[i]["tail_crc32"]) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-64:]))
+    whole = media.decode_media(media.encode_media(frame(spark, texts)).union(spark.createDataFrame([(99, 0, None)], "doc_id long, n_bytes long, media binary"))).collect()
+    assert all(len(r["rgb"]) == r["height"] * r["width"] * 3 for r in whole if r["doc_id"] != 99) and [r["rgb"] for r in whole if r["doc_id"] == 99] == [None]
     assert rows[0]["media_sha256"] == rows[1]["media_sha256"] and rows[0]["feature"] == rows[1]["feature"]
 
 
