@@ -20,6 +20,8 @@ from resultlake.llm.scratch import stored
 from resultlake.llm.toxicity import toxicity as score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Percent of common shingles from which on the stage takes documents for near copies.
+NEAR_PERCENT = 80
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -42,7 +44,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one document stays."""
-    return without(docs, near_dedup(docs).filter("NOT kept"))
+    return without(docs, near_dedup(docs, percent=NEAR_PERCENT).filter("NOT kept"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(_read(spark, sf_dir, "documents"))
+    return near_dedup(_read(spark, sf_dir, "documents"), percent=85)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -214,6 +214,16 @@ def test_shards_of_an_empty_arrival(spark, tmp_path):
 SF = "/root/testdata/sf0.001"
 
 
+def test_near_stage_links_from_80_percent_on(spark):
+    words = [f"w{i}" for i in range(104)]  # 100 shingles
+    rows = [(1, " ".join(words), "s"), (2, " ".join(words[:94] + [f"x{i}" for i in range(10)]), "s"), (3, " ".join(f"y{i}" for i in range(50)), "s")]
+    rows += [(i + 10, t, s) for i, (_, t, s) in enumerate(near_rows())]
+    sets = [shingle_set(t) for _, t, _ in rows[:2]]
+    assert 0.80 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near(spark, docs(spark, rows), SF).collect())
+    assert kept == sorted(i for i, _, c in brute_near(rows, 80) if i == c) and 2 not in kept
+
+
 def test_pipeline_stages(spark):
     """Each stage against brute force on what the stage before it kept."""
     at = spark.read.parquet(f"{SF}/documents.parquet")
