@@ -20,37 +20,47 @@ from resultlake.llm.scratch import stored
 from resultlake.llm.toxicity import toxicity as score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: The key of a row inside a stage.
+ROW = "__row"
 #: Percent of common shingles from which on the stage takes documents for near copies.
 NEAR_PERCENT = 80
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row, written down so that every reading of it gives a row the same one."""
+    return stored(docs.select(*COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` but those whose doc_id is in ``rejected``, the ids of what a stage drops."""
-    ids = rejected.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(*COLUMNS)
+    """``docs`` but the rows whose keys are in ``rejected``; ids may be null or repeat."""
+    return docs.join(rejected.select(ROW), ROW, "left_anti").select(*COLUMNS)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted label is 1 go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return without(docs, score_toxicity(docs, labels).filter("predicted = 1"))
+    docs = keyed(docs)
+    return without(docs, score_toxicity(docs, labels, row_col=ROW).filter("predicted = 1"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
-    return without(docs, exact_dedup(docs).filter("NOT kept"))
+    docs = keyed(docs)
+    return without(docs, exact_dedup(docs, row_col=ROW).filter("NOT kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one document stays."""
-    return without(docs, near_dedup(docs, percent=NEAR_PERCENT).filter("NOT kept"))
+    docs = keyed(docs)
+    return without(docs, near_dedup(docs, percent=NEAR_PERCENT, row_col=ROW).filter("NOT kept"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: a row for each repetition."""
-    taken = stored(mix(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.max("repeats").alias("repeats")), "repeats")
-    both = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id"))).filter("repeats > 0")
+    docs = keyed(docs)
+    taken = stored(mix(docs, row_col=ROW).filter("repeats > 0").select(ROW, "repeats"), "repeats")
+    both = docs.join(taken, ROW)
     return both.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(*COLUMNS)
 
 

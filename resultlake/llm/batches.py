@@ -9,7 +9,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one step inside a task works on; one longer row is a piece of its own.
 PIECE_BYTES = 4 << 20
@@ -30,6 +31,16 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_SENT, f"{SENT_BYTES}b")
 
 
+def rows_key(row_col: str | None) -> list[Column]:
+    """The key of the rows, for a select; nothing where there is none."""
+    return [F.col(row_col).cast("long").alias(row_col)] if row_col else []
+
+
+def rows_schema(row_col: str | None) -> str:
+    """The key of the rows, for the end of a schema."""
+    return f", `{row_col}` long" if row_col else ""
+
+
 def give_back() -> None:
     """Return freed memory to the system: a worker is kept for later tasks."""
     pa.default_memory_pool().release_unused()

@@ -73,7 +73,7 @@ _ROW = "doc_id long, n_points long, n_bytes long, fp1 long, fp2 long, text_sha25
 _CHUNK = "row long, nth int, n_bytes long, fp1 long, fp2 long, shift1 long, shift2 long"
 
 
-def _hash_rows(primes: tuple[int, int]):
+def _hash_rows(primes: tuple[int, int], own: list[str]):
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in B.pieces(it, "text"):
             raw, at = B.buffer(b.column("text"))
@@ -82,7 +82,7 @@ def _hash_rows(primes: tuple[int, int]):
             fp1, fp2 = fingerprints(data, offsets, primes)
             view = memoryview(np.ascontiguousarray(data))
             sha = [hashlib.sha256(view[s:e]).hexdigest() for s, e in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(points[at])), pa.array(np.diff(offsets)), pa.array(fp1), pa.array(fp2), pa.array(sha, pa.string())], ["doc_id", "n_points", "n_bytes", "fp1", "fp2", "text_sha256"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(points[at])), pa.array(np.diff(offsets)), pa.array(fp1), pa.array(fp2), pa.array(sha, pa.string()), *(b.column(c) for c in own)], ["doc_id", "n_points", "n_bytes", "fp1", "fp2", "text_sha256", *own])
 
     return run
 
@@ -115,19 +115,21 @@ def _compare_rows(primes: tuple[int, int]):
     return run
 
 
-def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", primes: tuple[int, int] = PRIMES) -> DataFrame:
+def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", primes: tuple[int, int] = PRIMES, row_col: str | None = None) -> DataFrame:
     """doc_id, n_points, n_bytes, fp1, fp2, text_sha256 for each row of ``docs``.
 
     n_points counts the code points of the text as it is, the other columns are of the
-    text without white space. Null counts as empty. Other columns of ``docs`` are ignored.
+    text without white space. Null counts as empty. ``row_col``, a key of the rows, is
+    returned as the last column. Other columns of ``docs`` are ignored.
     """
     B.small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    own = [row_col] if row_col else []
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *B.rows_key(row_col))
     huge = F.length("text") > HUGE_CHARS
-    plain = base.filter(~huge).mapInArrow(_hash_rows(primes), _ROW)
+    plain = base.filter(~huge).mapInArrow(_hash_rows(primes, own), _ROW + B.rows_schema(row_col))
     big = base.filter(huge).withColumn("row", F.monotonically_increasing_id())
-    facts = big.select("row", "doc_id", F.length("text").cast("long").alias("n_points"), F.sha2(F.regexp_replace("text", SPACE, ""), 256).alias("text_sha256"))
+    facts = big.select("row", "doc_id", *own, F.length("text").cast("long").alias("n_points"), F.sha2(F.regexp_replace("text", SPACE, ""), 256).alias("text_sha256"))
     count = F.ceil(F.length("text") / F.lit(CHUNK_CHARS)).cast("int")
     cut = big.select("row", "text", F.explode(F.sequence(F.lit(0), count - 1)).alias("nth")).select("row", "nth", F.col("text").substr(F.col("nth") * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS)).alias("chunk"))
     parts = cut.repartition("row", "nth").mapInArrow(_hash_chunks(primes), _CHUNK)
@@ -153,16 +155,18 @@ def collisions(docs: DataFrame, text_col: str = "text", primes: tuple[int, int]
     return same.filter("least != most").select("fp1", "fp2", "n_bytes").distinct()
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", primes: tuple[int, int] = PRIMES) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", primes: tuple[int, int] = PRIMES, row_col: str | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if they are identical without white space; null counts as empty. Of
     equal texts the row with the most code points, then the smallest doc_id, stays. Rows
     that share text and doc_id are the same document: each is marked as it. A null doc_id
-    stays only if its group has no other. An empty table gives an empty result. Other
-    columns, whatever their names, are ignored.
+    stays only if its group has no other. With ``row_col``, a unique key of the rows that
+    is returned as the last column, just one row of each group stays, of equal id the one
+    with the least key. An empty table gives an empty result. Other columns, whatever
+    their names, are ignored.
     """
-    rows = stored(fingerprint(docs, id_col, text_col, primes), "fingerprints")
+    rows = stored(fingerprint(docs, id_col, text_col, primes, row_col), "fingerprints")
     bad = collisions(docs, text_col, primes)
     bad = stored(bad, "collisions")
     key = ["fp1", "fp2", "n_bytes", "variant"]
@@ -171,7 +175,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         rows = rows.join(bad.withColumn("clash", F.lit(True)), ["fp1", "fp2", "n_bytes"], "left")
         rows = rows.withColumn("variant", F.when(F.col("clash"), F.col("text_sha256")).otherwise("")).drop("clash")
-    first = F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"))
+    first = F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"), *([F.col(row_col)] if row_col else []))
     groups = rows.groupBy(*key).agg(F.min(first).alias("first"), F.count("*").alias("group_size"))
-    groups = groups.select(*key, F.col("first.doc_id").alias("keep_id"), "group_size")
-    return rows.join(groups, key).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = groups.select(*key, F.col("first.doc_id").alias("keep_id"), "group_size", *([F.col(f"first.{row_col}").alias("keep_row")] if row_col else []))
+    kept = F.col(row_col) == F.col("keep_row") if row_col else F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    return rows.join(groups, key).select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", *([row_col] if row_col else []))

@@ -49,7 +49,7 @@ def water_fill(sources: DataFrame, share: float, epochs: int) -> DataFrame:
     return sources.withColumn("target", F.least(level, cap.cast("double")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken, repeats for each row of ``docs``.
 
     ``repeats`` is how often the mix takes the document, ``taken`` its words times that.
@@ -57,10 +57,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     more those that come first in a seeded order until the rest is nearest to the target.
     That order is cut into buckets, so no task holds a whole source. Null and empty texts
     have size 0 and are taken only in whole repetitions; a null source is a source of its
-    own; rows that share a doc_id are ordered by size and then share their place. An empty
+    own; rows that share a doc_id are ordered by size, then by ``row_col``, a unique key of the
+    rows that is returned as the last column; without one they share their place. An empty
     table gives an empty result. Other columns, whatever their names, are ignored.
     """
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), *([F.col(row_col)] if row_col else []))
+    own = [row_col] if row_col else []
     slim = slim.withColumn("key", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     slim = stored(slim, "sizes")
     facts = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
@@ -76,13 +78,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = slim.groupBy("source", "bucket").agg(F.sum("size").alias("inside")).withColumn("start", F.coalesce(F.sum("inside").over(ahead), F.lit(0)))
     starts = starts.alias("a").join(targets.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.source", "bucket", "start", "inside", "source_size", "target", "whole", "rest")
-    rows = slim.alias("a").join(starts.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket"))).select("a.doc_id", "a.source", "a.bucket", "a.key", "a.size", "start", "inside", "source_size", "target", "whole", "rest")
+    rows = slim.alias("a").join(starts.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket"))).select("a.doc_id", "a.source", "a.bucket", "a.key", "a.size", *(f"a.{c}" for c in own), "start", "inside", "source_size", "target", "whole", "rest")
     clear = F.col("start") + F.col("inside") <= F.col("rest")
     beyond = F.col("start") >= F.col("rest")
     open_ = rows.filter(~clear & ~beyond)
-    row = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    row = Window.partitionBy("source", "bucket").orderBy("key", "size", *own).rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("start") + F.coalesce(F.sum("size").over(row), F.lit(0))
     decided = rows.filter(clear | beyond).withColumn("once", (F.col("size") > 0) & clear)
     edge = open_.withColumn("once", (F.col("size") > 0) & (before * 2 + F.col("size") <= F.col("rest") * 2))
     repeats = F.col("whole") + F.col("once").cast("long")
-    return decided.unionByName(edge).select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"))
+    return decided.unionByName(edge).select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.alias("repeats"), *own)

@@ -18,7 +18,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resultlake.llm import batches as B
@@ -106,7 +106,7 @@ def digest(members: np.ndarray) -> bytes:
     return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
 
 
-def _sign(width: int):
+def _sign(width: int, own_cols: list[str]):
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in B.pieces(it, "text", 2 << 20):
             hashed, counts = shingles(b.column("text"), width)
@@ -119,7 +119,7 @@ def _sign(width: int):
                 size[i] = len(own)
                 sid.append(digest(own) if len(own) else None)
             bands = B.lists(keys.ravel(), np.full(len(counts), BANDS), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(size), pa.array(sid, pa.binary()), B.fixed(sig), bands], ["doc_id", "n_shingles", "sid", "sig", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(size), pa.array(sid, pa.binary()), B.fixed(sig), bands, *(b.column(c) for c in own_cols)], ["doc_id", "n_shingles", "sid", "sig", "bands", *own_cols])
 
     return run
 
@@ -198,7 +198,7 @@ def _verify(percent: int):
     return run
 
 
-def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: int = 5, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     A document's set is its distinct shingles of ``width`` lower-cased words (A-Z only);
@@ -207,15 +207,18 @@ def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: in
     ``miss`` bounds the chance that the signature comparison drops a pair at the threshold.
     Null and empty texts have no shingles and stand alone. Rows that share a doc_id are
     linked as their texts are, and each is kept if the id is its component's. A null
-    doc_id is never a component's id unless it stands alone. An empty table gives an empty
-    result. Other columns, whatever their names, are ignored.
+    doc_id is never a component's id unless it stands alone. With ``row_col``, a unique key
+    of the rows that is returned as the last column, just one row of each component is
+    kept, of equal id the one with the least key. An empty table gives an empty result.
+    Other columns, whatever their names, are ignored.
     """
     B.small_batches(docs.sparkSession)
     least = least_matches(percent / 100, miss)
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = stored(text.mapInArrow(_sign(width), "doc_id long, n_shingles long, sid binary, sig binary, bands array<long>"), "signatures")
-    classes = signed.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.any_value(F.struct("sig", "bands")).alias("s"))
-    classes = stored(classes.select("sid", "first_id", "s.sig", "s.bands"), "classes")
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *B.rows_key(row_col))
+    own = [row_col] if row_col else []
+    signed = stored(text.mapInArrow(_sign(width, own), "doc_id long, n_shingles long, sid binary, sig binary, bands array<long>" + B.rows_schema(row_col)), "signatures")
+    classes = signed.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), *least_row("doc_id", row_col), F.any_value(F.struct("sig", "bands")).alias("s"))
+    classes = stored(classes.select("sid", "first_id", *(["first_row"] if row_col else []), "s.sig", "s.bands"), "classes")
 
     member = classes.select("sid", F.posexplode("bands").alias("band", "key")).select("sid", "key")
     sizes = member.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
@@ -251,12 +254,18 @@ def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: in
         links = links.unionByName(stored(verified(pruned_blocks(large, classes.select("sid", "sig", "bands"), label, least)), "links"))
         label = components(links)
 
-    named = classes.select("sid", "first_id").join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    smallest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "comp").select("sid", "component_id")
-    out = signed.select("doc_id", "n_shingles", "sid").join(named, "sid", "left")
+    named = classes.select("sid", "first_id", *(["first_row"] if row_col else [])).join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
+    smallest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"), *([F.min("first_row").alias("first_row")] if row_col else []))
+    named = named.select("sid", "comp").join(smallest, "comp").drop("comp")
+    out = signed.select("doc_id", "n_shingles", "sid", *own).join(named, "sid", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    kept = F.col("sid").isNull() | (F.col(row_col) == F.col("first_row.row")) if row_col else F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *own)
+
+
+def least_row(id_col: str, row_col: str | None) -> list[Column]:
+    """The row of the smallest id, of equal ids that with the least key; nothing where rows have no key."""
+    return [F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row_col).alias("row"))).alias("first_row")] if row_col else []
 
 
 def pruned_blocks(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.ndarray) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from resultlake.llm import batches as B
 from resultlake.llm import words as W
+from resultlake.llm.batches import rows_key, rows_schema
 from resultlake.llm.scratch import stored
 
 #: Labelled rows that a model is fitted on, at most: a seeded choice of the training rows.
@@ -243,17 +244,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``.
 
     ``labels`` (doc_id, toxic) are used only where the id is not held out and toxic is 0 or
     1; a doc_id labelled twice is toxic if one label is. At most ``max_train`` labelled rows,
     chosen by a hash of the id, are fitted on. Null and empty texts get the score of a text
     without hits. Without any labelled text of both classes every score is the share of
-    toxic labels, or 0. Rows with equal texts have equal scores. Other columns are ignored.
+    toxic labels, or 0. Rows with equal texts have equal scores. ``row_col``,
+    a key of the rows, is returned as the last column. Other columns are ignored.
     """
     B.small_batches(docs.sparkSession)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *rows_key(row_col))
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("long").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_train)
@@ -281,7 +283,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
         lexicon = Lexicon(terms)
         for b in B.pieces(it, "text"):
             s = 1 / (1 + np.exp(-np.clip(lexicon.features(b.column("text")) @ weights, -30, 30)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), *(b.column(c) for c in own)], ["doc_id", "score", *own])
 
-    scored = base.mapInArrow(score, "doc_id long, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    own = [row_col] if row_col else []
+    scored = base.mapInArrow(score, "doc_id long, score double" + rows_schema(row_col))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *own)

@@ -258,3 +258,41 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in out} <= {1, 2, 3, 4, None} and 4 in {r["doc_id"] for r in out}
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: what is decided of one row holds for no other."""
+    rng = random.Random(8)
+    text = [" ".join(rng.choice("abcdefghijklmnop") * 3 + str(rng.randrange(900)) for _ in range(40)) for _ in range(6)]
+    near = text[3] + " more"
+    rows = [(None, text[0], "s"), (None, text[1], "s"), (None, text[1], "t"), (None, text[1], "t"), (7, text[2], "s"), (7, text[3], "s"), (7, text[3], "s"), (None, near, "s"), (8, text[4], "s"), (8, text[2], "s"), (9, "a", "s"), (9, "a", "s")]
+    got = sorted(r["text"] for r in corpus_pipeline.exact(spark, docs(spark, rows), SF).collect())
+    assert got == sorted({t for _, t, _ in rows})
+    got = sorted(r["text"] for r in corpus_pipeline.near(spark, docs(spark, rows), SF).collect())
+    assert got == sorted({t for _, t, _ in rows} - {near})
+    some = [(None, near, "s"), (None, text[3], "s"), (5, text[0], "s"), (5, None, "s")]
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near(spark, docs(spark, some), SF).collect()]
+    assert len(got) == 3 and (5, text[0]) in got and (5, None) in got
+
+
+def test_toxic_rows_of_repeated_ids_go_alone(spark, tmp_path):
+    clean = [(i, f"a calm note number {i} about rivers", "s") for i in range(60)]
+    bad = [(100 + i, f"you vilewordish thing number {i} about rivers", "s") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1, int(i >= 100)) for i, _, _ in clean + bad], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    worse = "you vilewordish thing number 7 about"
+    odd = [(None, "a calm walk", "s"), (500, "a calm river", "s"), (None, f"{worse} walks", "s"), (500, f"{worse} lakes", "s")]
+    got = corpus_pipeline.toxicity(spark, docs(spark, clean + bad + odd), str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(i, t) for i, t, _ in clean + odd[:2]], key=str)
+
+
+def test_mix_stage_takes_each_row_as_the_mix_says(spark):
+    rng = random.Random(3)
+    rows = [(None if i % 2 else i // 6, " ".join("w" * rng.randint(1, 30)) + f" {i}", rng.choice("abc")) for i in range(120)]
+    out = corpus_pipeline.mixing(spark, docs(spark, rows), SF).collect()
+    words = defaultdict(int)
+    for r in out:
+        words[r["source"]] += len(r["text"].split())
+    for r in mixing.mix(docs(spark, rows)).select("source_size", "target").distinct().collect():
+        source = next(s for s in "abc" if sum(len(t.split()) for _, t, x in rows if x == s) == r["source_size"])
+        assert abs(words[source] - r["target"]) <= 31
