@@ -28,7 +28,14 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of each row, written down so that every reading of it gives a row the same one."""
+    """``docs`` with a key of each row that every reading of it gives the row again.
+
+    A row of a Parquet file is known by its file and its place there; anything else is
+    written down with a key.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation" and plan.relation().fileFormat().getClass().getSimpleName() == "ParquetFileFormat":
+        return docs.select(*COLUMNS, F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias(ROW))
     return stored(docs.select(*COLUMNS).withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 

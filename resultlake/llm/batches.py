@@ -33,12 +33,12 @@ def small_batches(spark: SparkSession) -> None:
 
 def rows_key(row_col: str | None) -> list[Column]:
     """The key of the rows, for a select; nothing where there is none."""
-    return [F.col(row_col).cast("long").alias(row_col)] if row_col else []
+    return [F.col(row_col).cast("string").alias(row_col)] if row_col else []
 
 
 def rows_schema(row_col: str | None) -> str:
     """The key of the rows, for the end of a schema."""
-    return f", `{row_col}` long" if row_col else ""
+    return f", `{row_col}` string" if row_col else ""
 
 
 def give_back() -> None:

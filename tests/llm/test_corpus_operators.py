@@ -296,3 +296,12 @@ def test_mix_stage_takes_each_row_as_the_mix_says(spark):
     for r in mixing.mix(docs(spark, rows)).select("source_size", "target").distinct().collect():
         source = next(s for s in "abc" if sum(len(t.split()) for _, t, x in rows if x == s) == r["source_size"])
         assert abs(words[source] - r["target"]) <= 31
+
+
+def test_rows_of_files_have_keys_without_a_copy(spark, tmp_path, monkeypatch):
+    rows = [(None, "a b", "s"), (None, "c d", "s"), (4, "a b", "s"), (4, "e f", "s"), (4, "e f", "s")]
+    docs(spark, rows).select(*corpus_pipeline.COLUMNS).repartition(3).write.parquet(str(tmp_path / "d.parquet"))
+    read = spark.read.parquet(str(tmp_path / "d.parquet"))
+    assert sorted(r["text"] for r in corpus_pipeline.exact(spark, read, SF).collect()) == ["a b", "c d", "e f"]
+    monkeypatch.setattr(corpus_pipeline, "stored", None)
+    assert corpus_pipeline.keyed(read).select(corpus_pipeline.ROW).distinct().count() == 5
