@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resultlake.functions.columns import fold_text
+from resultlake.operators.shape import checkpointed
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -42,20 +43,36 @@ def fuzzy_lookup(df: DataFrame, column: str, query: str, least: float = 0.55, k:
     return some.filter(F.col("score") >= least).orderBy(F.desc("score"), column).limit(k)
 
 
-def fuzzy_join(left: DataFrame, right: DataFrame, a: str, b: str, least: float = 0.6, most: int = 1000) -> DataFrame:
+def fuzzy_join(left: DataFrame, right: DataFrame, a: str, b: str, least: float = 0.6, block: int = 1000) -> DataFrame:
     """For each distinct text of ``left`` its nearest text of ``right``, by shared 3-grams and then ratio.
 
-    3-grams that over ``most`` texts of ``right`` have are too common to be a reason for a
-    comparison; a pair that shares rarer ones is found by those.
+    An edit changes three 3-grams at most, so of a pair within d edits one of any 3 d + 1
+    3-grams of the query is shared: each query is looked up by its rarest. Near texts are
+    looked for first, the others for what is left. Texts of a frequent 3-gram are dealt out
+    in blocks of about ``block``; none is left out.
     """
     x = left.select(F.col(a).alias("query")).dropna().distinct()
     y = right.select(F.col(b).alias("match")).dropna().distinct()
     grams = y.select("match", F.explode(trigrams(F.col("match"))).alias("gram"))
-    rare = grams.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") <= most).select("gram")
-    pairs = x.select("query", F.explode(trigrams(F.col("query"))).alias("gram")).join(grams.join(rare, "gram"), "gram").select("query", "match").distinct()
-    scored = pairs.withColumn("score", ratio(fold_text(F.col("query")), fold_text(F.col("match")))).filter(F.col("score") >= least)
-    w = Window.partitionBy("query").orderBy(F.desc("score"), "match")
-    return scored.withColumn("__r", F.row_number().over(w)).filter("__r = 1").drop("__r")
+    counts = grams.groupBy("gram").agg(F.count("*").alias("n"))
+    x = x.select("query", F.explode(trigrams(F.col("query"))).alias("gram")).join(counts, "gram", "left")
+    x = checkpointed(x.groupBy("query").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("g")))
+    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    y = grams.join(counts, "gram").select("match", "gram", F.pmod(F.xxhash64("match"), blocks.cast("long")).cast("int").alias("block"))
+    out = None
+    for level in sorted({max(least, 0.8), least}, reverse=True):
+        size = F.length(fold_text(F.col("query")))
+        edits = F.floor(size * ((1 - level) / level) + 1e-9) if level > 0 else size + F.size("g")
+        q = x.select("query", F.explode(F.slice("g", F.lit(1), F.least(F.size("g"), edits * 3 + 1).cast("int"))).alias("r")).select("query", "r.gram", "r.n").filter("n > 0")
+        q = q.select("query", "gram", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+        one, two = fold_text(F.col("query")), fold_text(F.col("match"))
+        close = F.least(F.length(one), F.length(two)) >= F.greatest(F.length(one), F.length(two)) * level - 1e-9
+        scored = q.join(y, ["gram", "block"]).filter(close).withColumn("score", ratio(one, two)).filter(F.col("score") >= level)
+        best = scored.groupBy("query").agg(F.min(F.struct((-F.col("score")).alias("s"), "match")).alias("m")).select("query", "m.match", (-F.col("m.s")).alias("score"))
+        best = checkpointed(best)
+        out = best if out is None else out.unionByName(best)
+        x = x.join(best.select("query"), "query", "left_anti")
+    return out
 
 
 def map_distinct(df: DataFrame, column: str, fn: Callable[[Column], Column], name: str) -> DataFrame:

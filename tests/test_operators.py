@@ -128,3 +128,23 @@ def test_fuzzy(spark, rows):
     got = [r[0] for r in rows(fuzzy.fuzzy_lookup(df, "name", "bridge club"))]
     assert got[0] == "Bridge Club of Ghent" and "Chess House" not in got
     assert rows(fuzzy.map_distinct(df.union(df), "name", F.length, "n").agg(F.count("*"))) == [(6,)]
+
+
+def test_fuzzy_join_leaves_no_frequent_gram_out(spark, rows):
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    names = [f"red {c}{d}e" for c in "abcdefghijklmnopqrstuvwxyz" for d in "abcdefghijklmnopqrstuvwxyz"] + [f"red {c}{d}{e}" for c in "abcdefghij" for d in "abcdefghij" for e in "mnopq"]
+    asked = ["red", "red abe", "rad abe", "rex", "zzz"]
+    got = {r[0]: r[1:] for r in rows(fuzzy.fuzzy_join(spark.createDataFrame([(x,) for x in asked], "q string"), spark.createDataFrame([(x,) for x in names], "m string"), "q", "m", 0.4))}
+    for q in asked:
+        score, match = min((-(1 - edits(q, m) / max(len(q), len(m))), m) for m in names)
+        if -score >= 0.4:
+            assert got[q][0] == match and abs(got[q][1] + score) < 1e-9
+        else:
+            assert q not in got
