@@ -16,7 +16,7 @@ from resultlake.llm.licenses import license_spans, summary
 from resultlake.llm.media import describe, encode_media
 from resultlake.llm.mixing import mix
 from resultlake.llm.near_dedup import near_dedup
-from resultlake.llm.sharding import ShardedTable
+from resultlake.llm.sharding import ShardedTable, free_name
 from resultlake.llm.token_counts import count_tokens
 from resultlake.llm.toxicity import toxicity
 
@@ -34,15 +34,22 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two arrivals, one compaction, and the rows that the newest version holds."""
+    """Two arrivals, one compaction, and the rows that the newest version holds.
+
+    All columns go through the shards, whatever their names. Null and repeated ids and texts
+    stay as they are, a row each; of a null text n_bytes is 0 and the digest null. An empty
+    table gives an empty result.
+    """
     docs = _read(spark, sf_dir, "documents")
     table = ShardedTable(spark, scratch.path(spark, "sharded"), target=64 << 20)
     late = F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(4)) == 0
     table.append(docs.filter(~late))
     table.append(docs.filter(late))
     table.compact()
+    shard = free_name(docs.columns, "shard")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    return table.read().select("doc_id", "source", size.alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), F.col("__shard.rows").alias("shard_rows"), F.col("__shard.bytes").alias("shard_bytes"), F.col("__shard.tier").alias("tier"), F.col("__shard.written").alias("written"))
+    facts = [F.col(f"{shard}.{a}").alias(b) for a, b in (("rows", "shard_rows"), ("bytes", "shard_bytes"), ("tier", "tier"), ("written", "written"))]
+    return table.read(shard_col=shard).select("doc_id", "source", size.alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), *facts)
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

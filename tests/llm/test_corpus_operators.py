@@ -195,7 +195,7 @@ def test_sharding(spark, tmp_path):
         assert table.read(v).select("id", "text").exceptAll(df.select("id", "text")).count() == 0 and table.read(v).count() == 4000
     other = sharding.ShardedTable(spark, root)
     with pytest.raises(sharding.CommitConflict):
-        other._commit(4, other.manifest(), "late")
+        other._commit(4, other.manifest(), "late", df.schema)
     assert table.version() == 4
     table.vacuum(keep=1)
     assert table.read().count() == 4000 and table.read().filter("text IS NULL").count() == 80
@@ -211,6 +211,52 @@ def test_shards_of_an_empty_arrival(spark, tmp_path):
     assert table.read().count() == 5
 
 
+def test_shards_of_clashing_columns_and_empty_tables(spark, tmp_path, monkeypatch):
+    names = ["__path", "__run", "__shard", "_metadata", "path", "run", "bytes"]
+    df = spark.range(300).select(F.col("id").alias("doc_id"), *[F.concat(F.lit(n), F.col("id")).alias(n) for n in names])
+    monkeypatch.setattr(sharding, "WAVE", 2)  # several jobs for one compaction
+    table = sharding.ShardedTable(spark, str(tmp_path / "t"), unit=64, target=6_000)
+    table.append(df.filter("doc_id < 200").repartition(9))
+    table.append(df.filter("doc_id >= 200").repartition(4).select(*reversed(df.columns)))
+    with pytest.raises(ValueError):
+        table.append(spark.range(3))
+    runs = table.plan().select("run").distinct().count()
+    assert runs > 2 and table.compact() == 3
+    assert table.manifest().filter("written = 3").count() == runs
+    assert table.read().exceptAll(df).count() == 0 and table.read().count() == 300
+    shown = table.read(shard_col="shard")
+    assert shown.columns == [*df.columns, "shard"] and shown.groupBy("shard.path").agg((F.count("*") != F.max("shard.rows")).alias("off")).filter("off").count() == 0
+    with pytest.raises(ValueError):
+        table.read(shard_col="__SHARD")
+    none = sharding.ShardedTable(spark, str(tmp_path / "n"))
+    none.append(df.limit(0))
+    assert none.compact() == 1 and none.read(shard_col="s").columns == [*df.columns, "s"] and none.read().count() == 0
+
+
+def test_partly_dead_writes_give_only_live_rows(spark, tmp_path):
+    table = sharding.ShardedTable(spark, str(tmp_path / "t"), unit=64, target=3_000)
+    wide = spark.range(2000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    # one large shard that stays and small ones that are merged
+    table.append(wide.filter("id < 1900").coalesce(1).union(wide.filter("id >= 1900").repartition(4)))
+    table.compact()
+    assert table.read().exceptAll(wide).count() == 0 and table.read().count() == 2000
+    assert {w for _, w in table._folders(table.manifest())} == {True, False}
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None), (1, "é x", "s"), (1, "é x", "s"), (4, "", None), (8, "long " * 100_000, "t")]])
+def test_sharding_query(spark, tmp_path, rows):
+    """The registered query gives each row back, for awkward rows and columns too."""
+    import hashlib
+
+    from resultlake.llm import queries
+
+    made = docs(spark, rows).withColumns({"__shard": F.lit("a"), "shard": F.lit(1), "__path": F.lit("b"), "tier": F.lit("c")})
+    made.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op2_sharding"](spark, str(tmp_path)).collect()
+    want = [(i, s, len((t or "").encode()), t if t is None else hashlib.sha256(t.encode()).hexdigest()) for i, t, s in rows]
+    assert sorted(((r["doc_id"], r["source"], r["n_bytes"], r["text_sha256"]) for r in got), key=str) == sorted(want, key=str)
+
+
 SF = "/root/testdata/sf0.001"
 
 
