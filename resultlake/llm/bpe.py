@@ -53,7 +53,7 @@ class Vocabulary:
                     keys.append(a << 32 | b)
                     values.append(rank)
         self._fill(np.array(keys, np.uint64), np.array(values, np.int32))
-        self.memory: dict[int, np.ndarray] = {}
+        self.memory: dict[bytes, np.ndarray] = {}
 
     def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
         """An open table with linear probing, a quarter full at most."""
@@ -152,10 +152,11 @@ class Vocabulary:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each text)."""
-        made = P.split(column, spaced=True)
-        own, first, which = made.distinct()
+        made = P.split(column, spaced=True, table=P.byte_level_classes())
+        first, which = made.distinct()
+        own = made.bytes_of(first)
         starts, lengths = made.starts[first], (made.ends - made.starts)[first]
-        ids: list[np.ndarray] = [self.memory.get(h) for h in own.tolist()]
+        ids: list[np.ndarray] = [self.memory.get(x) for x in own]
         new = np.array([i for i, x in enumerate(ids) if x is None], np.int64)
         new = new[np.argsort(lengths[new], kind="stable")]
         cuts = np.flatnonzero(np.diff(lengths[new])) + 1
@@ -169,7 +170,7 @@ class Vocabulary:
         if len(self.memory) + len(new) > REMEMBERED:
             self.memory = {}
         for i in new[lengths[new] <= 64][:REMEMBERED].tolist():
-            self.memory[int(own[i])] = ids[i]
+            self.memory[own[i]] = ids[i]
         sizes = np.array([len(x) for x in ids], np.int64)
         flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         begin = np.cumsum(sizes) - sizes

@@ -22,11 +22,15 @@ ONE, TWO = "stmd", ("re", "ve", "ll")
 _APOSTROPHE = 39
 
 
+#: All code points that a text can hold.
+POINTS = [*range(0xD800), *range(0xE000, 0x110000)]
+
+
 @cache
 def classes() -> np.ndarray:
-    """The class of each code point: of Unicode's properties White_Space, L and N."""
+    """The class of each code point by the properties White_Space, L and N as the module ``regex`` knows them."""
     table = np.full(0x110000, OTHER, np.uint8)
-    plain = "".join(map(chr, range(0xD800))) + "".join(map(chr, range(0xE000, 0x110000)))
+    plain = "".join(map(chr, POINTS))
     for pattern, kind in ((r"\p{White_Space}+", SPACE), (r"\p{L}+", LETTER), (r"\p{N}+", NUMBER)):
         for m in regex.finditer(pattern, plain):
             lo, hi = ord(m[0][0]), ord(m[0][-1])
@@ -34,20 +38,56 @@ def classes() -> np.ndarray:
     return table
 
 
+@cache
+def byte_level_classes() -> np.ndarray:
+    """The class of each code point as the library tiktoken sees it: its Unicode version is its own."""
+    import tiktoken
+
+    table = np.full(0x110000, OTHER, np.uint8)
+    plain = "".join(map(chr, POINTS))
+    ranks = {bytes([b]): b for b in range(256)}
+    for pattern, kind in ((r"\s", SPACE), (r"\p{L}", LETTER), (r"\p{N}", NUMBER)):
+        found = tiktoken.Encoding("classes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        # what no match covers has no tokens, so the bytes that come back are the characters of the class
+        table[np.frombuffer(bytes(found.encode_ordinary(plain)).decode().encode("utf-32-le"), np.uint32)] = kind
+    return table
+
+
 class Pieces:
     """The pieces of some texts: UTF-8 bytes of all texts, starts and ends in them, pieces of each text."""
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, counts: np.ndarray):
         self.data, self.starts, self.ends, self.counts = data, starts, ends, counts
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, first position, which) so that piece i is the one at first[which[i]]."""
-        hashed = W.hashes(self.data, self.starts, self.ends)
-        own, first, which = np.unique(hashed, return_index=True, return_inverse=True)
-        return own, first, which
-
-
-def _points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first position, which) so that piece i is the one at first[which[i]]; pieces are told apart by their bytes."""
+        _, first, which = np.unique(W.hashes(self.data, self.starts, self.ends), return_index=True, return_inverse=True)
+        if not self._equal(first[which]):  # one hash of two pieces
+            held = self.data.tobytes()
+            seen: dict[bytes, int] = {}
+            which = np.array([seen.setdefault(held[s:e], len(seen)) for s, e in zip(self.starts.tolist(), self.ends.tolist())], np.int64)
+            first = np.unique(which, return_index=True)[1]
+        return first, which
+
+    def _equal(self, other: np.ndarray) -> bool:
+        """Whether each piece has the bytes of the piece that ``other`` names."""
+        length = self.ends - self.starts
+        if (length != length[other]).any():
+            return False
+        for lo in range(0, len(other), 1 << 18):
+            cut = slice(lo, lo + (1 << 18))
+            n = length[cut]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            if (self.data[np.repeat(self.starts[cut], n) + step] != self.data[np.repeat(self.starts[other[cut]], n) + step]).any():
+                return False
+        return True
+
+    def bytes_of(self, positions: np.ndarray) -> list[bytes]:
+        held = self.data.tobytes()
+        return [held[s:e] for s, e in zip(self.starts[positions].tolist(), self.ends[positions].tolist())]
+
+
+def points_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code points, byte position of each, code points before each text)."""
     if not (data & 0x80).any():
         return data, np.arange(len(data)), offsets
@@ -75,8 +115,8 @@ def _contractions(points: np.ndarray, kind: np.ndarray, first: np.ndarray, glued
     return out
 
 
-def split(column: pa.Array, spaced: bool) -> Pieces:
-    """The pieces of each text of a string column.
+def split(column: pa.Array, spaced: bool, table: np.ndarray | None = None) -> Pieces:
+    """The pieces of each text of a string column; ``table`` has the class of each code point.
 
     ``spaced``: a blank belongs to the piece after it, and white space is kept (byte-level
     BPE). Otherwise white space is dropped, each number is a piece of its own and
@@ -87,8 +127,8 @@ def split(column: pa.Array, spaced: bool) -> Pieces:
     if not len(data):
         none = np.zeros(0, np.int64)
         return Pieces(data, none, none, np.zeros(n, np.int64))
-    points, where, edges = _points(data, offsets)
-    kind = classes()[points]
+    points, where, edges = points_of(data, offsets)
+    kind = (classes() if table is None else table)[points]
     size = len(kind)
     edge = np.zeros(size + 1, bool)  # a text begins here
     edge[edges] = True

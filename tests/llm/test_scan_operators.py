@@ -15,9 +15,10 @@ import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from resultlake.llm import bpe, html_text, jpeg, licenses, media, pieces, token_counts, toxicity, words
+from resultlake.llm import bpe, html_text, jpeg, licenses, media, pieces, skew, token_counts, toxicity, words
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +69,61 @@ def test_long_pieces_merge_in_the_same_order(vocabulary, library, monkeypatch):
     assert ids.tolist() == library.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("shape", ["a{}b 1{}'s", " {}{} x'{}", "\n{} \n"])
+def test_code_points(vocabulary, library, shape):
+    """Ids and counts equal the libraries' where their Unicode versions differ, and around a fortieth of all else."""
+    whole = Tokenizer.from_file(WORDS)
+    with open(WORDS, "rb") as f:
+        file = f.read()
+    counter = token_counts.Counter(file, token_counts._strange_bits(file))
+    differ = pieces.byte_level_classes() != pieces.classes()
+    points = [c for c in pieces.POINTS if differ[c] or c % 40 == 0 or c < 0x600]
+    for lo in range(0, len(points), 20_000):
+        texts = [shape.replace("{}", chr(c)) for c in points[lo : lo + 20_000]]
+        ids, counts = vocabulary.encode(pa.array(texts))
+        want = library.encode_ordinary_batch(texts, num_threads=8)
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [x for w in want for x in w]
+        assert counter.count(pa.array(texts)).tolist() == [len(e.ids) for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_pieces_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(words, "hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    made = pieces.split(pa.array(["ab cd ab", "xy ab"]), spaced=False)
+    first, which = made.distinct()
+    assert [made.bytes_of(first)[w] for w in which] == [b"ab", b"cd", b"ab", b"xy", b"ab"]
+
+
+def test_repeated_and_null_ids(spark):
+    """Rows that share an id, or lack one, are told apart by their texts."""
+    rows = [(7, "one two"), (7, "one two"), (7, "three"), (None, "four five six"), (None, None), (None, "three")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, want = Tokenizer.from_file(WORDS), sorted(((i, len((t or "").encode())) for i, t in rows), key=str)
+    got = token_counts.count_tokens(df, WORDS).collect()
+    assert sorted(((r["doc_id"], r["n_bytes"]) for r in got), key=str) == want
+    assert sorted(r["n_tokens"] for r in got) == sorted(len(whole.encode(t or "", add_special_tokens=False).ids) for _, t in rows)
+    assert sorted(str(r["doc_id"]) for r in bpe.encode(df, RANKS).collect()) == sorted(str(i) for i, _ in rows)
+    spans = licenses.summary(licenses.license_spans(spark.createDataFrame([(1, "mit license"), (1, "cc by"), (None, "mit license"), (None, "")], "doc_id long, text string"))).collect()
+    assert sorted((r["doc_id"] or 0, r["base_labels"]) for r in spans) == [(0, ""), (0, "mit"), (1, "cc-by"), (1, "mit")]
+
+
+def test_frequent_keys_are_dealt_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 10)
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(999, None)], "i long, k string")
+    facts = rows.filter("k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"))
+    got = skew.facts_join(rows, facts.withColumnRenamed("n", "of"), ["k"], facts).collect()
+    assert sorted(r["i"] for r in got) == list(range(300)) and {r["of"] for r in got if r["k"] == "hot"} == {200}
+
+
+def test_token_count_query_meets_its_cache(spark, tmp_path):
+    from resultlake.llm import queries
+
+    texts = ["same words", "same words", "other", None, "same  words", "late one", "late one", ""]
+    frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    whole = Tokenizer.from_file(WORDS)
+    got = {r["doc_id"]: r["n_tokens"] for r in queries.QUERIES["op7_token_counts"](spark, str(tmp_path)).collect()}
+    assert got == {i: len(whole.encode(t or "", add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
 def test_counts_are_those_of_the_library(spark, tmp_path):
     whole = Tokenizer.from_file(WORDS)
     texts = [*ODD, None, "same  text", "same text", "same\ntext"]
