@@ -118,8 +118,8 @@ class ShardedTable:
         df = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/shards/{token}")
         file = df.metadataColumn("_metadata")
         facts = df.select(F.regexp_extract(file["file_path"], r"/shards/([^/]+/.*)$", 1).alias("path"), file["file_size"].alias("bytes")).groupBy("path").agg(F.count("*").alias("rows"), F.max("bytes").alias("bytes"))
-        shards = facts.agg(F.count("*").alias("shards"))
-        return facts.crossJoin(F.broadcast(shards)).select("path", "rows", "bytes", tier_of(F.col("bytes"), self.unit).alias("tier"), F.lit(version).cast("long").alias("written"), "shards")  # one row
+        shards = facts.agg(F.count("*")).scalar().alias("shards")
+        return facts.select("path", "rows", "bytes", tier_of(F.col("bytes"), self.unit).alias("tier"), F.lit(version).cast("long").alias("written"), shards)
 
     def append(self, arrivals: DataFrame) -> int:
         """Write arrivals as they lie, one small shard for each partition; returns the new version.
