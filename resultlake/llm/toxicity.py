@@ -25,13 +25,16 @@ from resultlake.llm.scratch import stored
 
 #: Labelled rows that a model is fitted on, at most: a seeded choice of the training rows.
 MAX_TRAIN = 20_000
-#: Terms of the lexicon at most, and lengths in bytes of the beginnings that may become terms.
-MAX_TERMS, SHORTEST, LONGEST = 5_000, 3, 14
+#: Characters of the beginnings that may become stems; whole words become terms at any length.
+SHORTEST, STEM_POINTS = 3, 24
+#: States of the automaton that a worker keeps; beyond, it starts anew.
+MOST_STATES = 200_000
 #: Log ratio of the shares of toxic and other documents that have a term; documents with it.
 LOG_RATIO, SUPPORT = 3.0, 4
 #: Bytes before and after a hit that its context window holds.
 WINDOW = 60
-END = 0
+#: What ends a whole word.
+END = "\0"
 
 #: Marks of quotation, words that speak about words, and words of address.
 QUOTES = re.compile('["“”„«»‘’`]|(?<!\\w)\'|\'(?!\\w)')
@@ -42,33 +45,41 @@ EXACT, STEM, ONE_EDIT, TWO_EDITS = 1, 2, 3, 4
 FEATURES = 11
 
 
+def allowed_edits(points: int) -> int:
+    """Edits that a term of so many characters may be off by."""
+    return (points >= 5) + (points >= 8)
+
+
 class Lexicon:
-    """A trie of whole words and stems, and the automaton over it."""
+    """A trie of whole words, which end with ``END``, and stems, and the automaton over it. Letters are code points."""
 
-    def __init__(self, terms: list[bytes]):
-        self.children: list[dict[int, int]] = [{}]
+    def __init__(self, terms: list[str]):
+        self.children: list[dict[str, int]] = [{}]
         self.word, self.stem, self.edits = [-1], [-1], [0]
         for i, term in enumerate(terms):
-            whole = term.endswith(b"\0")
-            term = term.rstrip(b"\0")
-            allowed = (len(term) >= 5) + (len(term) >= 8) if whole else 0
+            whole = term.endswith(END)
+            term = term.rstrip(END)
+            allowed = allowed_edits(len(term)) if whole else 0
             node = 0
-            for byte in term:
+            for letter in term:
                 self.edits[node] = max(self.edits[node], allowed)
-                if byte not in self.children[node]:
-                    self.children[node][byte] = len(self.children)
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
                     self.children.append({})
                     self.word.append(-1)
                     self.stem.append(-1)
                     self.edits.append(0)
-                node = self.children[node][byte]
+                node = self.children[node][letter]
             self.edits[node] = max(self.edits[node], allowed)
             (self.word if whole else self.stem)[node] = i
-        self.lengths = [len(t.rstrip(b"\0")) for t in terms]
+        self.lengths = [len(t.rstrip(END)) for t in terms]
+        self._forget()
+
+    def _forget(self) -> None:
         self.states: dict[tuple, int] = {}
         self.sets: list[frozenset] = []
         self.stems: list[int] = []
-        self.moves: list[dict[int, int]] = []
+        self.moves: list[dict[str, int]] = []
         self.ends: list[tuple[int, int] | None] = []
         self.start = self._state(self._closed({(0, 0)}), -1)
 
@@ -94,7 +105,7 @@ class Lexicon:
             best = None
             for node, e in pairs:
                 term = self.word[node]
-                if term >= 0 and e <= (self.lengths[term] >= 5) + (self.lengths[term] >= 8):
+                if term >= 0 and e <= allowed_edits(self.lengths[term]):
                     hit = ((EXACT, ONE_EDIT, TWO_EDITS)[e], term)
                     best = min(best, hit) if best else hit
             if stem >= 0 and not (best and best[0] == EXACT):
@@ -102,12 +113,12 @@ class Lexicon:
             self.ends.append(best)
         return self.states[key]
 
-    def _move(self, state: int, byte: int) -> int:
+    def _move(self, state: int, letter: str) -> int:
         """The next state; -1 if no term can follow."""
         found, stem = set(), self.stems[state]
         for node, e in self.sets[state]:
             for b, child in self.children[node].items():
-                if b == byte:
+                if b == letter:
                     found.add((child, e))
                     if e == 0 and self.stem[child] >= 0:
                         stem = self.stem[child]
@@ -117,16 +128,17 @@ class Lexicon:
                 found.add((node, e + 1))
         pairs = self._closed(found)
         out = -1 if not pairs and stem < 0 else self._state(pairs, stem)
-        if len(self.sets) < 200_000:
-            self.moves[state][byte] = out
+        self.moves[state][letter] = out
         return out
 
-    def match(self, word: bytes) -> tuple[int, int] | None:
+    def match(self, word: str) -> tuple[int, int] | None:
         """(kind, term) of the nearest term, else None."""
+        if len(self.sets) > MOST_STATES:
+            self._forget()
         state, moves = self.start, self.moves
-        for byte in word:
-            after = moves[state].get(byte)
-            state = self._move(state, byte) if after is None else after
+        for letter in word:
+            after = moves[state].get(letter)
+            state = self._move(state, letter) if after is None else after
             if state < 0:
                 return None
         return self.ends[state]
@@ -145,7 +157,7 @@ class Lexicon:
         kinds = np.zeros(len(own), np.int8)
         terms = np.zeros(len(own), np.int32)
         for i, (s, e) in enumerate(zip(starts[first].tolist(), ends[first].tolist())):
-            hit = self.match(held[s:e])
+            hit = self.match(_word(held[s:e]))
             if hit:
                 kinds[i], terms[i] = hit
         hits = np.flatnonzero(kinds[which])
@@ -175,8 +187,13 @@ class Lexicon:
         return out
 
 
+def _word(raw: bytes) -> str:
+    """A word as its lower-case letters."""
+    return raw.decode("utf-8", "replace").lower()
+
+
 def _beginnings(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class that have a word's beginning; the end of a word counts as a byte."""
+    """Documents of each class that have a word, marked at its end, or a beginning of one."""
     counts = (Counter(), Counter())
     for b in B.pieces(it, "text"):
         raw, offsets = B.buffer(b.column("text"))
@@ -185,11 +202,11 @@ def _beginnings(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = data.tobytes()
         at = np.concatenate([[0], np.cumsum(n)])
         for i, toxic in enumerate(b.column("toxic").to_pylist()):
-            seen = {held[s:e] + b"\0" for s, e in zip(starts[at[i] : at[i + 1]].tolist(), ends[at[i] : at[i + 1]].tolist())}
-            counts[bool(toxic)].update({w[:k] for w in seen for k in range(SHORTEST, min(len(w), LONGEST) + 1)})
-        if len(counts[0]) + len(counts[1]) > 400_000:
-            yield from _counted(counts)
-            counts = (Counter(), Counter())
+            seen = {_word(held[s:e]) for s, e in zip(starts[at[i] : at[i + 1]].tolist(), ends[at[i] : at[i + 1]].tolist())}
+            counts[bool(toxic)].update({w[:k] for w in seen for k in range(SHORTEST, min(len(w), STEM_POINTS) + 1)} | {w + END for w in seen if len(w) + 1 >= SHORTEST})
+            if len(counts[0]) + len(counts[1]) > 400_000:
+                yield from _counted(counts)
+                counts = (Counter(), Counter())
     yield from _counted(counts)
 
 
@@ -198,16 +215,20 @@ def _counted(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
         if counts[toxic]:
             n = np.fromiter(counts[toxic].values(), np.int64)
             zero = np.zeros(len(n), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts[toxic]), pa.binary()), pa.array(n if toxic else zero), pa.array(zero if toxic else n)], ["term", "toxic", "clean"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts[toxic]), pa.string()), pa.array(n if toxic else zero), pa.array(zero if toxic else n)], ["term", "toxic", "clean"])
+
 
+def learn_terms(train: DataFrame) -> list[str]:
+    """Terms from ``train`` (text, toxic): each the longest beginning that its documents share.
 
-def learn_terms(train: DataFrame) -> list[bytes]:
-    """Terms from ``train`` (text, toxic), at most ``MAX_TERMS``: each the longest beginning that its documents share."""
+    The driver sees terms that ``SUPPORT`` toxic documents of the training rows have and
+    hardly another has; their number is bounded by that of the training rows alone.
+    """
     n1, n0 = train.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(1 - F.col("toxic")), F.lit(0))).first()
-    counts = train.select("text", "toxic").mapInArrow(_beginnings, "term binary, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = train.select("text", "toxic").mapInArrow(_beginnings, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     ratio = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    pure = counts.filter((F.col("toxic") >= SUPPORT) & (ratio >= LOG_RATIO)).orderBy(F.desc("toxic"), "term").limit(MAX_TERMS * LONGEST)
-    support = {bytes(r["term"]): r["toxic"] for r in pure.collect()}
+    pure = counts.filter((F.col("toxic") >= SUPPORT) & (ratio >= LOG_RATIO))
+    support = {r["term"]: r["toxic"] for r in pure.collect()}
     longer = defaultdict(list)
     for t in support:
         longer[t[:-1]].append(t)
@@ -223,7 +244,19 @@ def learn_terms(train: DataFrame) -> list[bytes]:
                 todo.append(max(same, key=lambda x: (support[x], x)))
             else:
                 out.add(now)
-    return sorted(out, key=lambda t: (-support[t], t))[:MAX_TERMS]
+    return sorted(out, key=lambda t: (-support[t], t))
+
+
+_made: dict[tuple[str, ...], Lexicon] = {}
+
+
+def _lexicon(terms: list[str]) -> Lexicon:
+    """The automaton of this worker, which later tasks find as it was left; the last one is kept."""
+    key = tuple(terms)
+    if key not in _made:
+        _made.clear()
+        _made[key] = Lexicon(terms)
+    return _made[key]
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -263,7 +296,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
     terms = learn_terms(train)
 
     def learn(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = _lexicon(terms)
         for b in B.pieces(it, "text"):
             x = lexicon.features(b.column("text"))
             yield pa.RecordBatch.from_arrays([B.lists(x.ravel(), np.full(len(x), FEATURES), pa.float64()), b.column("toxic")], ["x", "toxic"])
@@ -280,7 +313,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
         weights[0] = np.log((share + 1e-9) / (1 - share + 1e-9))
 
     def score(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = _lexicon(terms)
         for b in B.pieces(it, "text"):
             s = 1 / (1 + np.exp(-np.clip(lexicon.features(b.column("text")) @ weights, -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), *(b.column(c) for c in own)], ["doc_id", "score", *own])

@@ -242,6 +242,52 @@ def test_licenses(spark):
     assert any(not s["base"] and 0.8 <= s["score"] < 1 for s in spans[5]) and spans[9] == []
 
 
+def brute_labels(text):
+    """Own labels by trying every license text at every word."""
+    from difflib import SequenceMatcher
+
+    tokens = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+    found = []
+    for t, label in licenses.license_texts().items():
+        t = t.split()
+        for at in range(len(tokens)):
+            same = [m for m in SequenceMatcher(None, t, tokens[at : at + len(t) + 6], False).get_matching_blocks() if m.size]
+            own = sum(m.size for m in same)
+            if same and same[0].b == 0 and (score := own / (len(t) + same[-1].b + same[-1].size - own)) >= 0.8:
+                found.append({"label": label, "base": False, "first_word": at, "last_word": at + same[-1].b + same[-1].size - 1, "score": score})
+    return sorted({s["label"] for s in licenses.best(found)})
+
+
+LICENSED = {
+    "Licensed under a Creative Commons Attribution 4.0 International License": ["cc-by-4.0"],
+    "Licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": ["cc-by-nc-4.0"],
+    "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": ["cc-by-sa-4.0"],
+    "licensed under the Creative Commons Attribution-NoDerivatives 4.0 International License": ["cc-by-nd-4.0"],
+    "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported License": ["cc-by-nc-sa-3.0"],
+    "text of it licensed under CC BY-NC 4.0. Then licensed under CC BY 4.0 too": ["cc-by-4.0", "cc-by-nc-4.0"],
+    "This work is licensed under the GNU General Public License, version 3.": ["gpl-3.0"],
+    "licensed under the GNU Lesser General Public License, version 2.1": ["lgpl-2.1"],
+    "Licensed under the Apache License, Version 2.0. And licensed under the Apache License, Version 2.0.": ["apache-2.0"],
+    "Redistribution and use in source and binary forms, with or without modification, are permitted": [],
+    "the quick brown fox is licensed under nothing at all": [],
+    "": [],
+}
+
+
+def test_license_labels(spark):
+    """Each kind of a family gets its own label; labels are those of trying every text at every word."""
+    texts = list(LICENSED)
+    full = {label: text for text, label in licenses.license_texts().items() if label.startswith(("bsd-", "mit", "isc"))}
+    texts += [f"some words before {t} and after" for t in full.values()]
+    want = [*LICENSED.values(), *([label] for label in full)]
+    spans = {r["doc_id"]: r["spans"] for r in licenses.license_spans(frame(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        own = sorted({s["label"] for s in spans[i] if not s["base"]})
+        assert own == want[i], text
+        if len(text) < 120:
+            assert own == brute_labels(text), text
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -254,10 +300,10 @@ def edits(a, b):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="abcworthles", min_size=1, max_size=11))
 def test_automaton_is_edit_distance(word):
-    terms = [b"worthless\0", b"clowe\0", b"cab\0", b"sto"]
-    hit = toxicity.Lexicon(terms).match(word.encode())
-    near = [(edits(word, t.decode().rstrip("\0")), t) for t in terms[:3]]
-    allowed = {b"worthless\0": 2, b"clowe\0": 1, b"cab\0": 0}
+    terms = ["worthless\0", "clowe\0", "cab\0", "sto"]
+    hit = toxicity.Lexicon(terms).match(word)
+    near = [(edits(word, t.rstrip("\0")), t) for t in terms[:3]]
+    allowed = {"worthless\0": 2, "clowe\0": 1, "cab\0": 0}
     fits = [d for d, t in near if d <= allowed[t]]
     if 0 in fits:
         assert hit[0] == toxicity.EXACT
@@ -267,6 +313,22 @@ def test_automaton_is_edit_distance(word):
         assert (hit is None) == (not fits) and (hit is None or hit[0] == {1: toxicity.ONE_EDIT, 2: toxicity.TWO_EDITS}[min(fits)])
 
 
+def test_edits_are_of_characters(monkeypatch):
+    lex = toxicity.Lexicon(["негодяй\0", "überheblichkeitswahnsinnig\0", "ça\0"])
+    assert lex.match("негодяи") == (toxicity.ONE_EDIT, 0) and lex.match("негодяй") == (toxicity.EXACT, 0) and lex.match("негодя") == (toxicity.ONE_EDIT, 0)
+    assert lex.match("uberheblichkeitswahnsinig") == (toxicity.TWO_EDITS, 1) and lex.match("ca") is None
+    monkeypatch.setattr(toxicity, "MOST_STATES", 5)  # the automaton starts anew again and again
+    assert [lex.match(w) for w in ("негодяи", "x" * 40, "негодяй")] == [(toxicity.ONE_EDIT, 0), None, (toxicity.EXACT, 0)] and len(lex.sets) < 200
+
+
+def test_repeated_and_null_ids_have_scores_of_their_own(spark):
+    rows = [(i, "calm water here", 0) for i in range(30)] + [(100 + i, "vilewordish scum there", 1) for i in range(30)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(5, "vilewordish scum there"), (None, "calm water here"), (None, None), (None, "vilewordish scum there")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i != 5], "doc_id long, toxic int")
+    got = toxicity.toxicity(df, labels).collect()
+    assert len(got) == 64 and sorted(r["predicted"] for r in got if r["doc_id"] is None) == [0, 0, 1] and sorted(r["predicted"] for r in got if r["doc_id"] == 5) == [0, 1]
+
+
 def test_toxicity(spark):
     rng = random.Random(7)
     plain = ["the", "river", "house", "green", "walks", "under", "seven", "quiet"]
@@ -290,7 +352,7 @@ def test_toxicity(spark):
 
 
 def test_quotation_is_told_from_abuse():
-    lex = toxicity.Lexicon([b"wretch\0"])
+    lex = toxicity.Lexicon(["wretch\0"])
     x = lex.features(pa.array(['you are a wretch', 'he used the word "wretch" there', "", None]))
     assert x[0, toxicity.EXACT] > 0 and x[1, toxicity.EXACT] == 0 and x[1, 5] > 0 and x[0, 7] > 0
     assert x[2].tolist() == x[3].tolist()
