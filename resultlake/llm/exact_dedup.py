@@ -5,6 +5,8 @@ Hashes of chunks combine by shifting the left one by the length of the right one
 chunks of a huge document are hashed by different tasks. Texts with equal fingerprints
 and lengths are then compared chunk by chunk in one streaming aggregation; where that
 finds a difference, the texts of that fingerprint are told apart by a cryptographic digest.
+Texts whose fingerprint no other has stay where they are: a bitmap of the fingerprints that
+repeat, of bounded size, tells each task which of its texts have to meet others.
 """
 
 from __future__ import annotations
@@ -14,11 +16,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resultlake.llm import batches as B
 from resultlake.llm.scratch import stored
+from resultlake.llm.skew import facts_join
 
 #: Two primes below 2**31 and the base of the polynomial.
 PRIMES = (2147483647, 2147483629)
@@ -30,6 +34,9 @@ CHUNK_CHARS = 1 << 20
 BLOCK_BYTES = 4096
 COMPARE_BYTES = 256 << 10
 
+#: Bits of the bitmap of repeated fingerprints, as a power of two; it is sent to every task.
+BITMAP_POWER = 26
+
 SPACE = r"[\x20\x09-\x0D]"
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -99,12 +106,41 @@ def _hash_chunks(primes: tuple[int, int]):
     return run
 
 
-def _compare_rows(primes: tuple[int, int]):
+def _bit(fp1: Column, fp2: Column, n_bytes: Column) -> Column:
+    """The place of a fingerprint in the bitmap: by arithmetic that :func:`_bits` repeats."""
+    return F.pmod(fp1 * 31 + fp2 + n_bytes * 7, F.lit(1 << BITMAP_POWER))
+
+
+def _bits(fp1: np.ndarray, fp2: np.ndarray, n_bytes: np.ndarray, size: int) -> np.ndarray:
+    return (fp1 * 31 + fp2 + n_bytes * 7) % size
+
+
+def repeated(groups: DataFrame) -> np.ndarray:
+    """The bitmap of the fingerprints (fp1, fp2, n_bytes) of ``groups``, in words of 32 bits.
+
+    The driver sees the words that are not zero, at most 2 ** (BITMAP_POWER - 5) of them.
+    """
+    at = groups.select(_bit(F.col("fp1"), F.col("fp2"), F.col("n_bytes")).alias("at"))
+    words = at.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 31 AS INT))")).alias("bits")).toPandas()
+    out = np.zeros(1 << (BITMAP_POWER - 5), np.uint32)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def _compare_rows(primes: tuple[int, int], known: Broadcast | None):
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in B.pieces(it, "text"):
             data, offsets = squeezed(*B.buffer(b.column("text")))
             fp1, fp2 = fingerprints(data, offsets, primes)
             n = np.diff(offsets)
+            if known is not None:
+                bit = _bits(fp1, fp2, n, 32 * len(known.value))
+                kept = (known.value[bit >> 5] >> (bit & 31).astype(np.uint32) & 1).astype(bool)
+                data = data[np.repeat(kept, n)]
+                fp1, fp2, n = fp1[kept], fp2[kept], n[kept]
+                offsets = np.concatenate([[0], np.cumsum(n)])
+                if not len(n):
+                    continue
             chunks = np.maximum(1, -(-n // COMPARE_BYTES))
             owner = np.repeat(np.arange(len(n)), chunks)
             nth = np.arange(len(owner)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
@@ -143,14 +179,17 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return plain.unionByName(facts.join(whole, "row").drop("row"))
 
 
-def collisions(docs: DataFrame, text_col: str = "text", primes: tuple[int, int] = PRIMES) -> DataFrame:
+def collisions(docs: DataFrame, text_col: str = "text", primes: tuple[int, int] = PRIMES, among: DataFrame | None = None) -> DataFrame:
     """(fp1, fp2, n_bytes) under which texts differ: chunks of equal texts have equal least and greatest values.
 
-    Both are taken before the shuffle too, so copies in one task leave as one row.
+    ``among``: the fingerprints to look at, all if None; texts of others are not moved but
+    for the few that share a bit with one of them. Least and greatest are taken before the
+    shuffle too, so copies in one task leave as one row.
     """
     B.small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    chunks = docs.select(text).mapInArrow(_compare_rows(primes), "fp1 long, fp2 long, n_bytes long, nth int, chunk binary")
+    known = None if among is None else docs.sparkSession.sparkContext.broadcast(repeated(among))  # 2 ** (BITMAP_POWER - 3) bytes
+    chunks = docs.select(text).mapInArrow(_compare_rows(primes, known), "fp1 long, fp2 long, n_bytes long, nth int, chunk binary")
     same = chunks.groupBy("fp1", "fp2", "n_bytes", "nth").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
     return same.filter("least != most").select("fp1", "fp2", "n_bytes").distinct()
 
@@ -167,8 +206,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     their names, are ignored.
     """
     rows = stored(fingerprint(docs, id_col, text_col, primes, row_col), "fingerprints")
-    bad = collisions(docs, text_col, primes)
-    bad = stored(bad, "collisions")
+    several = rows.groupBy("fp1", "fp2", "n_bytes").agg(F.count("*").alias("n")).filter("n > 1")
+    bad = stored(collisions(docs, text_col, primes, several), "collisions")
     key = ["fp1", "fp2", "n_bytes", "variant"]
     if bad.isEmpty():
         rows = rows.withColumn("variant", F.lit(""))
@@ -177,6 +216,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows = rows.withColumn("variant", F.when(F.col("clash"), F.col("text_sha256")).otherwise("")).drop("clash")
     first = F.struct(-F.col("n_points"), F.col("doc_id").isNull(), F.col("doc_id"), *([F.col(row_col)] if row_col else []))
     groups = rows.groupBy(*key).agg(F.min(first).alias("first"), F.count("*").alias("group_size"))
-    groups = groups.select(*key, F.col("first.doc_id").alias("keep_id"), "group_size", *([F.col(f"first.{row_col}").alias("keep_row")] if row_col else []))
+    groups = stored(groups.select(*key, F.col("first.doc_id").alias("keep_id"), "group_size", *([F.col(f"first.{row_col}").alias("keep_row")] if row_col else [])), "groups")
     kept = F.col(row_col) == F.col("keep_row") if row_col else F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    return rows.join(groups, key).select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", *([row_col] if row_col else []))
+    both = facts_join(rows, groups, key, groups.select(*key, F.col("group_size").alias("n")))
+    return both.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", *([row_col] if row_col else []))
