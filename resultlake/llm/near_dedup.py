@@ -6,7 +6,9 @@ pair are compared batch by batch; the pair is dropped as soon as the posterior c
 its similarity reaches the threshold is below ``miss``; survivors are verified exactly on
 their full shingle sets. A bucket never emits all its pairs: its members are first held
 against its most central member, then, with what that linked contracted to one component,
-members of smaller components are compared with the rest of the bucket in blocks.
+members of smaller components are compared with the rest of the bucket in blocks. Where
+that would be much, as in a bucket of many unrelated sets, the bucket is first cut by bands
+of the hashes that the first bands leave over.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from resultlake.llm import batches as B
 from resultlake.llm import words as W
 from resultlake.llm.graph import components
 from resultlake.llm.scratch import stored
+from resultlake.llm.skew import facts_join
 
 #: Hashes of a signature, each of 16 bits; rows of a band; bands. The bands use the first hashes.
 HASHES, ROWS, BANDS = 256, 5, 25
@@ -32,8 +35,8 @@ HASHES, ROWS, BANDS = 256, 5, 25
 BATCH = 32
 #: Buckets of up to so many members emit their pairs; larger ones are compared with a centre, then in blocks.
 SMALL = 6
-#: Members of a block of a large bucket.
-BLOCK = 512
+#: Members of a block of a large bucket; comparisons in a bucket from which on it is banded again.
+BLOCK, WORK = 512, 1 << 20
 
 
 def _coefficients(n: int) -> np.ndarray:
@@ -75,18 +78,34 @@ def least_matches(threshold: float, miss: float) -> np.ndarray:
     """For each number of batches compared, the matches below which a pair is dropped.
 
     With a uniform prior the similarity after m matches of n is Beta(m + 1, n - m + 1);
-    the pair is dropped while P(similarity >= threshold) < miss.
+    the pair is dropped while P(similarity >= threshold) is below a bound. The bound is
+    ``miss`` at first and is halved until :func:`missed`, the chance that a pair at the
+    threshold is dropped by any of the batches, is ``miss`` at most.
     """
-    out = []
-    for n in range(BATCH, HASHES + 1, BATCH):
-        tail, m = 0.0, 0  # P(Beta(m + 1, n - m + 1) >= t) = P(Binomial(n + 1, t) <= m)
-        while m <= n:
-            tail += comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
-            if tail >= miss:
-                break
-            m += 1
-        out.append(m)
-    return np.array(out)
+    bound = miss
+    while True:
+        out = []
+        for n in range(BATCH, HASHES + 1, BATCH):
+            tail, m = 0.0, 0  # P(Beta(m + 1, n - m + 1) >= t) = P(Binomial(n + 1, t) <= m)
+            while m <= n:
+                tail += comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
+                if tail >= bound:
+                    break
+                m += 1
+            out.append(m)
+        if missed(threshold, out) <= miss:
+            return np.array(out)
+        bound /= 2
+
+
+def missed(threshold: float, least: list[int]) -> float:
+    """The chance that a pair of similarity ``threshold`` is dropped by one of the batches, by exact summation."""
+    step = np.array([comb(BATCH, k) * threshold**k * (1 - threshold) ** (BATCH - k) for k in range(BATCH + 1)])
+    alive = np.ones(1)
+    for bound in least:
+        alive = np.convolve(alive, step)
+        alive[:bound] = 0
+    return float(1 - alive.sum())
 
 
 def survivors(left: np.ndarray, right: np.ndarray, least: np.ndarray) -> np.ndarray:
@@ -142,6 +161,21 @@ def _stack(column: pa.Array) -> np.ndarray:
     return data.view(np.uint16).reshape(len(offsets) - 1, HASHES)
 
 
+def _cells(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each member of a bucket once for each band of the hashes after the first bands; a cell is a bucket in a bucket."""
+    for b in it:
+        rest = _stack(b.column("sig"))[:, ROWS * BANDS :]
+        n, bands = len(rest), rest.shape[1] // ROWS
+        key = b.column("key").to_numpy().view(np.uint64)
+        cell = np.empty((n, bands), np.uint64)
+        for j in range(bands):
+            cell[:, j] = W.mix(key + np.uint64(j + 1))
+            for r in range(ROWS):
+                cell[:, j] = W.mix(cell[:, j] * np.uint64(0x9E3779B97F4A7C15) + rest[:, j * ROWS + r].astype(np.uint64))
+        at = pa.array(np.repeat(np.arange(n), bands))
+        yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in ("key", "sid", "comp")), pa.array(cell.ravel().view(np.int64))], ["key", "sid", "comp", "cell"])
+
+
 def _prune(least: np.ndarray):
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -155,7 +189,7 @@ def _block_pairs(least: np.ndarray):
         """Pairs of different components that no batch drops, in the first band that the two share."""
         sig = np.frombuffer(b"".join(run["sig"].to_pylist()), np.uint16).reshape(len(run), HASHES)
         bands = run["bands"].combine_chunks().flatten().to_numpy().reshape(len(run), BANDS)
-        key = run["key"][0].as_py()
+        key = run["key"].to_numpy()
         comp = pd.factorize(run["comp"].to_pandas())[0]
         side = run["as_left"].to_numpy()
         left, right = np.flatnonzero(side), np.flatnonzero(~side)
@@ -164,14 +198,14 @@ def _block_pairs(least: np.ndarray):
             other = right[comp[right] != comp[i]]
             other = other[survivors(np.broadcast_to(sig[i], (len(other), HASHES)), sig[other], least)]
             shared = bands[other] == bands[i]
-            other = other[bands[other, shared.argmax(1)] == key]
+            other = other[bands[other, shared.argmax(1)] == key[i]]
             one.append(np.full(len(other), i))
             two.append(other)
         sid = run["sid"].combine_chunks()
         return pa.table({"a": sid.take(pa.array(np.concatenate(one))), "b": sid.take(pa.array(np.concatenate(two)))})
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in B.runs(it, ["key", "i", "j"]):
+        for group in B.runs(it, ["cell", "i", "j"]):
             side = group["as_left"].to_numpy()
             if side.any() and not side.all():
                 yield from found(group).to_batches()
@@ -198,13 +232,14 @@ def _verify(percent: int):
     return run
 
 
-def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: int = 5, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, percent: int = 80, miss: float = 1e-4, width: int = 5, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     A document's set is its distinct shingles of ``width`` lower-cased words (A-Z only);
     with fewer words all of them are one shingle. Documents are linked if 100 * common >=
     ``percent`` * united shingles; component_id is the smallest doc_id that links reach.
-    ``miss`` bounds the chance that the signature comparison drops a pair at the threshold.
+    ``miss`` bounds the chance that the signature comparison, all its batches together,
+    drops a pair at the threshold.
     Null and empty texts have no shingles and stand alone. Rows that share a doc_id are
     linked as their texts are, and each is kept if the id is its component's. A null
     doc_id is never a component's id unless it stands alone. With ``row_col``, a unique key
@@ -217,15 +252,15 @@ def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: in
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *B.rows_key(row_col))
     own = [row_col] if row_col else []
     signed = stored(text.mapInArrow(_sign(width, own), "doc_id long, n_shingles long, sid binary, sig binary, bands array<long>" + B.rows_schema(row_col)), "signatures")
-    classes = signed.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), *least_row("doc_id", row_col), F.any_value(F.struct("sig", "bands")).alias("s"))
-    classes = stored(classes.select("sid", "first_id", *(["first_row"] if row_col else []), "s.sig", "s.bands"), "classes")
+    classes = signed.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), *least_row("doc_id", row_col), F.any_value(F.struct("sig", "bands")).alias("s"), F.count("*").alias("n"))
+    classes = stored(classes.select("sid", "first_id", *(["first_row"] if row_col else []), "s.sig", "s.bands", "n"), "classes")
 
     member = classes.select("sid", F.posexplode("bands").alias("band", "key")).select("sid", "key")
-    sizes = member.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    member = stored(member.join(sizes, "key"), "members")
+    sizes = stored(member.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    member = stored(facts_join(member, sizes.select("key", F.col("n").alias("size")), ["key"], sizes), "members")
     mass = member.groupBy("sid").agg(F.sum("size").alias("mass"))
     centre = member.join(mass, "sid").groupBy("key").agg(F.max(F.struct("mass", "sid"))["sid"].alias("centre"))
-    near = member.join(centre, "key").filter("sid != centre").select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b"))
+    near = facts_join(member, centre, ["key"], sizes).filter("sid != centre").select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b"))
     small = member.filter(F.col("size").between(3, SMALL)).groupBy("key").agg(F.array_sort(F.collect_list("sid")).alias("m"))
     small = small.select("m", F.posexplode("m").alias("at", "a")).select("a", F.explode(F.slice("m", F.col("at") + 2, F.lit(SMALL))).alias("b"))
     pairs = near.unionByName(small).groupBy("a", "b").agg(F.count("*").alias("shared"))
@@ -242,7 +277,7 @@ def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: in
     ids = classes.join(wanted, "sid", "left_semi").select(F.col("first_id").alias("id")).distinct()
     # where a doc_id repeats, each of its texts gives the set of its own class
     texts = text.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("text")
-    sets = stored(texts.mapInArrow(_sets(width), "sid binary, members binary"), "sets")
+    sets = stored(texts.mapInArrow(_sets(width), "sid binary, members binary").groupBy("sid").agg(F.any_value("members").alias("members")), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("sid").alias("a"), F.col("members").alias("members_a")), "a").join(sets.select(F.col("sid").alias("b"), F.col("members").alias("members_b")), "b")
@@ -257,7 +292,9 @@ def near_dedup(docs: DataFrame, percent: int = 85, miss: float = 1e-4, width: in
     named = classes.select("sid", "first_id", *(["first_row"] if row_col else [])).join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
     smallest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"), *([F.min("first_row").alias("first_row")] if row_col else []))
     named = named.select("sid", "comp").join(smallest, "comp").drop("comp")
-    out = signed.select("doc_id", "n_shingles", "sid", *own).join(named, "sid", "left")
+    out = signed.select("doc_id", "n_shingles", "sid", *own)
+    known = facts_join(out, named, ["sid"], classes.select("sid", "n"))
+    out = known.unionByName(out.filter("sid IS NULL"), allowMissingColumns=True)
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     kept = F.col("sid").isNull() | (F.col(row_col) == F.col("first_row.row")) if row_col else F.col("doc_id").eqNullSafe(F.col("component_id"))
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *own)
@@ -268,23 +305,39 @@ def least_row(id_col: str, row_col: str | None) -> list[Column]:
     return [F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row_col).alias("row"))).alias("first_row")] if row_col else []
 
 
+def mixed(m: DataFrame, by: str) -> DataFrame:
+    """(by, main, comps, size, minor) of buckets with several components: the largest, their number, members, members outside the largest."""
+    parts = m.groupBy(by, "comp").agg(F.count("*").alias("n"))
+    top = parts.groupBy(by).agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps"), F.sum("n").alias("size")).filter("comps > 1")
+    return top.select(by, F.col("top.comp").alias("main"), "comps", "size", (F.col("size") - F.col("top.n")).alias("minor"))
+
+
 def pruned_blocks(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.ndarray) -> DataFrame:
     """Candidate pairs of large buckets whose members' components differ.
 
     In each bucket the members outside its largest component are compared with all members,
-    block by block; a bucket of one component needs nothing.
+    block by block; a bucket of one component needs nothing. A bucket in which that is more
+    than ``WORK`` comparisons is cut into cells by 26 further bands; two sets of similarity
+    0.8 have a cell in common but for a chance of 3e-5, unrelated ones hardly ever.
     """
-    m = large.join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    m = stored(m, "labelled")
-    by = m.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    top = by.groupBy("key").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("comps"), F.sum("n").alias("size")).filter("comps > 1")
-    m = m.join(top.select("key", "main", "size"), "key").withColumn("minor", F.col("comp") != F.col("main"))
+    m = stored(large.join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "labelled")
+    buckets = stored(mixed(m, "key"), "buckets")
+    light = buckets.filter(F.col("minor") * F.col("size") <= WORK).select("key")
+    heavy = buckets.filter(F.col("minor") * F.col("size") > WORK).select("key", F.col("size").alias("n"))
+    cells = m.join(light, "key", "left_semi").select("key", "sid", "comp", F.col("key").alias("cell"))
+    if not heavy.isEmpty():
+        again = facts_join(m, heavy.select("key"), ["key"], heavy).join(sig.select("sid", "sig"), "sid").select("key", "sid", "comp", "sig")
+        cells = cells.unionByName(again.mapInArrow(_cells, "key long, sid binary, comp binary, cell long"))
+    cells = stored(cells, "cells")
+    top = stored(mixed(cells, "cell"), "tops")
+    m = facts_join(cells, top.select("cell", "main", "size"), ["cell"], top.select("cell", F.col("size").alias("n"))).withColumn("minor", F.col("comp") != F.col("main"))
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     m = m.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     left = m.filter("minor").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    left = left.select("key", "sid", "comp", F.col("block").alias("i"), F.col("with").alias("j"), F.lit(True).alias("as_left"))
-    right = m.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    right = right.select("key", "sid", "comp", F.col("with").alias("i"), F.col("block").alias("j"), F.lit(False).alias("as_left"))
-    rows = left.unionByName(right).join(sig, "sid").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    left = left.select("key", "cell", "sid", "comp", F.col("block").alias("i"), F.col("with").alias("j"), F.lit(True).alias("as_left"))
+    # a block of the right side is wanted where the left side has a block
+    wanted = m.filter("minor").select("cell", F.col("block").alias("i")).distinct()
+    right = m.join(wanted, "cell").select("key", "cell", "sid", "comp", "i", F.col("block").alias("j"), F.lit(False).alias("as_left"))
+    rows = left.unionByName(right).join(sig, "sid").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
     found = rows.mapInArrow(_block_pairs(least), "a binary, b binary")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

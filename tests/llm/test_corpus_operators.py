@@ -40,6 +40,17 @@ def test_equal_fingerprints_of_different_texts_are_told_apart(spark):
     assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in got), key=str) == brute_exact(ROWS)
 
 
+def test_only_repeated_fingerprints_move(spark, monkeypatch):
+    rows = exact_dedup.fingerprint(docs(spark, ROWS))
+    several = rows.groupBy("fp1", "fp2", "n_bytes").agg(F.count("*").alias("n")).filter("n > 1")
+    bitmap = exact_dedup.repeated(several)
+    assert sum(bin(int(w)).count("1") for w in bitmap) == several.count() > 2
+    monkeypatch.setattr(exact_dedup, "BITMAP_POWER", 5)  # every text shares a bit with another
+    assert exact_dedup.collisions(docs(spark, ROWS), primes=(2, 2), among=several).count() >= 0
+    got = exact_dedup.exact_dedup(docs(spark, ROWS), primes=(2, 2)).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in got), key=str) == brute_exact(ROWS)
+
+
 def test_chunks_of_huge_documents_combine(spark, monkeypatch):
     rows = [(i, "".join(random.Random(i % 3).choice("ab é\n") for _ in range(4000)), "s") for i in range(6)] + [(9, "short", "s"), (10, None, "s")]
     whole = sorted(tuple(r) for r in exact_dedup.fingerprint(docs(spark, rows)).collect())
@@ -53,7 +64,7 @@ def shingle_set(text, width=5):
     return frozenset(tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()
 
 
-def brute_near(rows, percent=85):
+def brute_near(rows, percent=80):
     sets = [shingle_set(t) for _, t, _ in rows]
     parent = list(range(len(rows)))
 
@@ -106,19 +117,46 @@ def test_near_dedup(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == want
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
     monkeypatch.setattr(near_dedup, "BLOCK", 7)  # several blocks of one bucket
+    monkeypatch.setattr(near_dedup, "WORK", 3)  # buckets banded again
     got = near_dedup.near_dedup(docs(spark, rows)).collect()
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == want
     assert near_dedup.near_dedup(docs(spark, [])).count() == 0
 
 
-def test_pruning_bounds():
-    least = near_dedup.least_matches(0.85, 1e-4)
-    assert len(least) == near_dedup.HASHES // near_dedup.BATCH and (least[1:] > least[:-1]).all()
-    # at the threshold itself hardly a pair is dropped: the chance of fewer matches is about the miss probability
-    from math import comb
+def test_one_band_of_many_unrelated_sets(spark, monkeypatch):
+    """A bucket that all share, of sets that hardly anything links: cells take the place of all pairs."""
+    vocab = [f"w{i}" for i in range(3000)]
+    rng = random.Random(6)
+    rows = []
+    for g in range(30):
+        base = [rng.choice(vocab) for _ in range(80)]
+        rows += [(2 * g + k, varied(g * 7 + k, base, k, vocab), "s") for k in range(2)]
+    one = near_dedup.signatures
 
-    n, m = near_dedup.HASHES, int(least[-1])
-    assert sum(comb(n, k) * 0.85**k * 0.15 ** (n - k) for k in range(m)) < 5e-4
+    def same_first_band(hashed, counts):
+        sig, keys = one(hashed, counts)
+        keys[:, 0] = 1
+        return sig, keys
+
+    monkeypatch.setattr(near_dedup, "signatures", same_first_band)
+    want = brute_near(rows)
+    for work in (1 << 20, 10):
+        monkeypatch.setattr(near_dedup, "WORK", work)
+        got = near_dedup.near_dedup(docs(spark, rows)).collect()
+        assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == want
+
+
+def test_pruning_bounds():
+    for threshold in (0.8, 0.85):
+        least = near_dedup.least_matches(threshold, 1e-4)
+        assert len(least) == near_dedup.HASHES // near_dedup.BATCH and (least[1:] > least[:-1]).all()
+        # at the threshold itself all batches together drop a pair with the miss probability at most
+        assert near_dedup.missed(threshold, least.tolist()) <= 1e-4
+        rng = random.Random(1)
+        runs = [[sum(rng.random() < threshold for _ in range(near_dedup.BATCH)) for _ in least] for _ in range(2000)]
+        assert sum(any(sum(r[: i + 1]) < m for i, m in enumerate(least)) for r in runs) <= 3
+        # unrelated pairs go with the first batch
+        assert least[0] > 8
 
 
 def test_components_of_long_chains(spark):
