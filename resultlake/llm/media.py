@@ -37,14 +37,17 @@ def write_files(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.
     return J.encode(flat.view(np.int8).reshape(-1, 64), units, notes), payload
 
 
-def read_payload(image: J.Image) -> np.ndarray:
-    """The payload's bytes from the coefficients, in coding order of units."""
+def read_payload(image: J.Image) -> np.ndarray | None:
+    """The payload's bytes from the coefficients, in coding order of units; None for files that :func:`write_files` did not make."""
+    said = image.note.split()
+    if len(said) != 4 or said[0] != b"payload" or not said[1].isdigit():
+        return None
     rows, columns = image.units
     parts = []
     for c, (h, v) in enumerate(image.sampling):
         parts.append(image.blocks[c].reshape(rows, v, columns, h, 64).transpose(0, 2, 1, 3, 4).reshape(rows * columns, h * v, 64))
     flat = np.concatenate(parts, 1).astype(np.int8).view(np.uint8).ravel()
-    return flat[: int(image.note.split()[1])]
+    return flat[: int(said[1])]
 
 
 def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,8 +76,8 @@ def decode_media(media: DataFrame, then: Callable[[pa.RecordBatch], pa.RecordBat
     """``media`` (doc_id, n_bytes, media) with payload, height, width and rgb.
 
     ``rgb`` is the tensor of height x width x 3 unsigned bytes in row-major order, at full
-    resolution; ``payload`` is read from the coefficients of the stored bytes. A null file
-    gives nulls. ``then`` turns each batch of such rows into rows of ``schema`` in the worker
+    resolution; ``payload`` is read from the coefficients of the stored bytes, and null for
+    files that hold none, which any other progressive JPEG is. A null file gives nulls. ``then`` turns each batch of such rows into rows of ``schema`` in the worker
     that has decoded them, so that tensors of which only something is wanted do not leave it.
     """
     names = [c.split()[0] for c in DECODED.split(", ")]
@@ -90,7 +93,8 @@ def decode_media(media: DataFrame, then: Callable[[pa.RecordBatch], pa.RecordBat
             data, offsets = B.buffer(there.column("media"))
             images, scans = J.parse(data, offsets)
             J.decode_scans(data, images, scans)
-            payload = [read_payload(i).tobytes() for i in images]
+            read = [read_payload(i) for i in images]
+            payload = [None if x is None else x.tobytes() for x in read]
             rgb = [x.tobytes() for x in J.to_rgb(images)]
             yield made(pa.RecordBatch.from_arrays([*there.columns, pa.array(payload, pa.binary()), pa.array([i.height for i in images], pa.int32()), pa.array([i.width for i in images], pa.int32()), pa.array(rgb, pa.binary())], names))
 
@@ -99,7 +103,7 @@ def decode_media(media: DataFrame, then: Callable[[pa.RecordBatch], pa.RecordBat
 
 
 def features(b: pa.RecordBatch) -> pa.RecordBatch:
-    """Decoded rows with a feature of their tensor in its place: size, sums of channels, levels of green."""
+    """Decoded rows with a feature of their tensor: size, sums of channels, levels of green."""
     out = []
     held, offsets = B.buffer(b.column("rgb"))
     for s, e, h, w in zip(offsets[:-1], offsets[1:], b.column("height").to_pylist(), b.column("width").to_pylist()):
@@ -110,13 +114,16 @@ def features(b: pa.RecordBatch) -> pa.RecordBatch:
         total = flat.sum(0, dtype=np.int64)
         levels = np.bincount(flat[:, 1] >> 5, minlength=8)
         out.append(f"{h}x{w};sum={total[0]},{total[1]},{total[2]};green={','.join(map(str, levels.tolist()))}")
-    kept = ["doc_id", "n_bytes", "media", "payload"]
-    return pa.RecordBatch.from_arrays([*(b.column(k) for k in kept), pa.array(out, pa.string())], [*kept, "feature"])
+    return pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], [*b.schema.names, "feature"])
 
 
 def describe(media: DataFrame) -> DataFrame:
-    """Digests of payload and file and a feature of the tensor, for each file of :func:`encode_media`."""
-    seen = decode_media(media, features, "doc_id long, n_bytes long, media binary, payload binary, feature string")
+    """Digests of payload and file, a feature of the tensor and the tensor, for each file of :func:`encode_media`.
+
+    Rows are independent; a null file gives nulls, repeated ids a row each, an empty table
+    an empty result. ``rgb`` is height x width x 3 unsigned bytes in row-major order.
+    """
+    seen = decode_media(media, features, f"{DECODED}, feature string")
     length = F.octet_length("payload")
     return seen.select(
         "doc_id",
@@ -127,4 +134,7 @@ def describe(media: DataFrame) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         "feature",
+        "height",
+        "width",
+        "rgb",
     )

@@ -216,9 +216,21 @@ def test_media_columns(spark):
         assert (rows[i]["n_bytes"], rows[i]["payload_bytes"], rows[i]["payload_sha256"], rows[i]["tail_crc32"]) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-64:]))
     whole = media.decode_media(media.encode_media(frame(spark, texts)).union(spark.createDataFrame([(99, 0, None)], "doc_id long, n_bytes long, media binary"))).collect()
     assert all(len(r["rgb"]) == r["height"] * r["width"] * 3 for r in whole if r["doc_id"] != 99) and [r["rgb"] for r in whole if r["doc_id"] == 99] == [None]
+    for r in rows.values():
+        own = np.frombuffer(r["rgb"], np.uint8).reshape(r["height"], r["width"], 3)
+        assert r["feature"].startswith(f"{r['height']}x{r['width']};sum={','.join(str(own[..., c].sum(dtype=np.int64)) for c in range(3))};")
     assert rows[0]["media_sha256"] == rows[1]["media_sha256"] and rows[0]["feature"] == rows[1]["feature"]
 
 
+def test_files_without_a_payload(spark):
+    files, _ = media.write_files(np.frombuffer(b"some text " * 9, np.uint8), np.array([0, 90]))
+    at = files[0].index(b"payload")
+    other = files[0][:at] + b"another" + files[0][at + 7 :]
+    got = media.describe(spark.createDataFrame([(1, 90, files[0]), (2, 90, other)], "doc_id long, n_bytes long, media binary")).orderBy("doc_id").collect()
+    assert got[0]["payload_bytes"] == 128 and got[1]["payload_sha256"] is None and got[1]["rgb"] == got[0]["rgb"]
+    assert media.describe(spark.createDataFrame([], "doc_id long, n_bytes long, media binary")).count() == 0
+
+
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 
