@@ -7,8 +7,10 @@ parse gives null, never an error, although ANSI mode is on.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -137,15 +139,35 @@ def given_first(c: Col) -> Column:
     return F.trim(F.regexp_replace(_c(c), r"^\s*([^,]*?)\s*,\s*(.*?)\s*$", "$2 $1"))
 
 
-#: Letters with marks and what is left of them.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinoooooouuuuyy"
+@cache
+def _folded() -> tuple[str, str, list[tuple[str, str]]]:
+    """(characters, what each becomes, [(character, several)]) by compatibility decomposition without marks.
+
+    Of the first 65,536 code points; marks become nothing. Characters that become several
+    are those of the Latin blocks and ligatures.
+    """
+    one, to, gone, many = [], [], [], []
+    for i in (*range(0x80, 0xD800), *range(0xF900, 0x10000)):
+        c = chr(i)
+        text = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).casefold()
+        if unicodedata.combining(c):
+            gone.append(c)
+        elif re.fullmatch("[a-z0-9]", text):
+            one.append(c)
+            to.append(text)
+        elif re.search("[a-z0-9]", text) and (i < 0x250 or 0x1E00 <= i < 0x1F00 or 0xFB00 <= i < 0xFB07):
+            many.append((c, text))
+    return "".join(one + gone), "".join(to), many
 
 
 def fold_text(c: Col) -> Column:
-    """Lower case without accents, other characters as single blanks."""
-    low = F.translate(F.lower(_c(c)), ACCENTED, PLAIN)
-    return F.trim(F.regexp_replace(F.replace(low, F.lit("ß"), F.lit("ss")), "[^a-z0-9]+", " "))
+    """Lower case without accents, other characters as single blanks.
+
+    Letters are decomposed as in NFKD by a table, so it stays a column expression.
+    """
+    chars, plain, many = _folded()
+    low = reduce(lambda a, m: F.replace(a, F.lit(m[0]), F.lit(m[1])), many, F.translate(_c(c), chars, plain))
+    return F.trim(F.regexp_replace(F.lower(low), "[^a-z0-9]+", " "))
 
 
 def name_list(c: Col) -> Column:
@@ -196,9 +218,9 @@ def _count(c: Column, symbol: str) -> Column:
 def valid_deal(c: Col) -> Column:
     """A deal of 68 symbols: each rank and suit letter four times, four suit letters in the first 17."""
     c = _c(c)
-    times = reduce(lambda a, b: a & b, [_count(c, s) == 4 for s in SUITS + RANKS])
-    first = reduce(lambda a, b: a + b, [_count(F.substring(c, 1, 17), s) for s in SUITS])
-    return F.coalesce((F.length(c) == 68) & times & (first == 4), F.lit(False))
+    times = F.forall(F.array(*map(F.lit, SUITS + RANKS)), lambda s: F.length(F.replace(c, s, F.lit(""))) == 64)
+    first = F.length(F.regexp_replace(F.substring(c, 1, 17), f"[{SUITS}]", ""))
+    return F.coalesce((F.length(c) == 68) & times & (first == 13), F.lit(False))
 
 
 _HAND = "S([2-9TJQKA]*)H([2-9TJQKA]*)D([2-9TJQKA]*)C([2-9TJQKA]*)"
@@ -211,14 +233,13 @@ def _ordered(cards: Column) -> Column:
 def canonical_deal(c: Col, seats: str = "NESW") -> Column:
     """Hands in the order N, E, S, W with ranks from the ace down, ``S.H.D.C`` each; null unless it is a whole deal."""
     c = _c(c)
-    whole = f"^{_HAND * 4}$"
-    suits = {(seat, suit): F.regexp_extract(c, whole, i * 4 + j + 1) for i, seat in enumerate(seats) for j, suit in enumerate(SUITS)}
-    hands = {seat: F.concat_ws(".", *[_ordered(suits[seat, s]) for s in SUITS]) for seat in seats}
-    full = [F.length(hands[s]) == 16 for s in seats]
-    once = [F.length(F.concat(*[suits[seat, s] for seat in seats])) == 13 for s in SUITS]
-    distinct = [_count(F.concat(*[suits[seat, s] for seat in seats]), r) == 1 for s in SUITS for r in RANKS]
-    good = reduce(lambda a, b: a & b, [c.rlike(whole), *full, *once, *distinct])
-    return F.when(good, F.concat(F.lit("N:"), F.concat_ws(" ", *[hands[s] for s in "NESW"])))
+    parts = F.slice(F.split(c, "[SHDC]"), 2, 16)  # the cards of each suit, hand after hand
+    ordered = F.transform(parts, _ordered)
+    hands = F.transform(F.array(*[F.lit(seats.index(s)) for s in "NESW"]), lambda i: F.array_join(F.slice(ordered, i * 4 + 1, F.lit(4)), "."))
+    suit = lambda j: F.concat(*[F.get(parts, j + 4 * i) for i in range(4)])
+    once = F.forall(F.array(*map(F.lit, range(4))), lambda j: (_ordered(suit(j)) == RANKS) & (F.length(suit(j)) == 13))
+    good = c.rlike(f"^{_HAND * 4}$") & F.forall(hands, lambda h: F.length(h) == 16) & once
+    return F.when(good, F.concat(F.lit("N:"), F.array_join(hands, " ")))
 
 
 def build_deal(columns: dict[str, Col], seats: str = "NESW") -> Column:

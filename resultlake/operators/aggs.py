@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resultlake.functions.columns import finite
-from resultlake.operators.windows import avg_rank, ranked
+from resultlake.operators.shape import attach
+from resultlake.operators.windows import avg_rank, quantiles, ranked
 
 
 def counts(df: DataFrame, by: list[str]) -> DataFrame:
@@ -49,9 +52,25 @@ def quantile(x: Column | str, q: float | list[float], exact: bool = True) -> Col
 
 
 def moments(df: DataFrame, by: list[str], column: str, exact: bool = True) -> DataFrame:
-    """n, mean, deviation with ddof 1 and 0, and median of finite values."""
+    """n, mean, deviation with ddof 1 and 0, and median of finite values.
+
+    The exact median is found without holding a group's values in one task; the other is
+    approximate and takes one pass.
+    """
     x = finite(column)
-    return df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.stddev_pop(x).alias("std_pop"), quantile(x, 0.5, exact).alias("median"))
+    measures = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.stddev_pop(x).alias("std_pop")]
+    if not exact:
+        return df.groupBy(*by).agg(*measures, quantile(x, 0.5, False).alias("median"))
+    middle = quantiles(df.select(*by, x.alias("__x")), by, "__x", [0.5])
+    return _beside(df.groupBy(*by).agg(*measures), middle, by).withColumn("median", F.get("p", 0)).drop("p")
+
+
+def _beside(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
+    """Groups of ``a`` with ``p`` of ``b``; null keys are keys."""
+    if not by:
+        return attach(a, b.select("p"))
+    on = reduce(lambda x, y: x & y, [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in by])
+    return a.alias("x").join(b.alias("y"), on, "left").select("x.*", "y.p")
 
 
 def latest(df: DataFrame, key: list[str], order: list[str], columns: list[str]) -> DataFrame:
@@ -154,17 +173,26 @@ def class_counts(df: DataFrame, y: str, classes: DataFrame) -> DataFrame:
 def classification_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
     """Accuracy, share of the largest class and mean F1 of the classes, from confusion counts."""
     pairs = df.groupBy(F.col(y).alias("t"), F.col(yhat).alias("p")).agg(F.count("*").alias("n"))
-    sides = pairs.select(F.explode(F.array(F.struct(F.col("t").alias("c"), F.col("n").alias("true"), F.lit(0).alias("pred"), F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0).alias("hit")), F.struct(F.col("p").alias("c"), F.lit(0).cast("long").alias("true"), F.col("n").cast("int").alias("pred"), F.lit(0).cast("long").alias("hit")))).alias("s")).select("s.*")
+    sides = pairs.select(F.explode(F.array(F.struct(F.col("t").alias("c"), F.col("n").alias("true"), F.lit(0).cast("long").alias("pred"), F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(0).alias("hit")), F.struct(F.col("p").alias("c"), F.lit(0).cast("long").alias("true"), F.col("n").alias("pred"), F.lit(0).cast("long").alias("hit")))).alias("s")).select("s.*")
     per = sides.groupBy("c").agg(F.sum("true").alias("true"), F.sum("pred").alias("pred"), F.sum("hit").alias("hit"))
     f1 = F.when(F.col("true") + F.col("pred") > 0, 2.0 * F.col("hit") / (F.col("true") + F.col("pred"))).otherwise(0.0)
     return per.agg((F.sum("hit") / F.sum("true")).alias("accuracy"), (F.max("true") / F.sum("true")).alias("majority"), F.avg(f1).alias("macro_f1"), F.sum("true").alias("n"))
 
 
 def distributions(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
-    """n, mean, deviation and p10, p25, p50, p75, p90 of each measure, one row for each."""
+    """n, mean, deviation and p10, p25, p50, p75, p90 of each measure, one row for each.
+
+    Exact quantiles are found without holding a measure's values in one task; the others are
+    approximate and take one pass.
+    """
+    at = [0.1, 0.25, 0.5, 0.75, 0.9]
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), finite(c).alias("v")) for c in columns])).alias("m")).select("m.*")
-    g = long.groupBy("measure").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), quantile("v", [0.1, 0.25, 0.5, 0.75, 0.9], exact).alias("p"))
-    return g.select("measure", "n", "mean", "std", *[F.col("p")[i].alias(f"p{q}") for i, q in enumerate((10, 25, 50, 75, 90))])
+    measures = [F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std")]
+    if exact:
+        g = _beside(long.groupBy("measure").agg(*measures), quantiles(long, ["measure"], "v", at), ["measure"])
+    else:
+        g = long.groupBy("measure").agg(*measures, quantile("v", at, False).alias("p"))
+    return g.select("measure", "n", "mean", "std", *[F.get("p", i).alias(f"p{q}") for i, q in enumerate((10, 25, 50, 75, 90))])
 
 
 def bucket_confusion(df: DataFrame, y: str, yhat: str, bucket) -> DataFrame:  # noqa: ANN001

@@ -46,8 +46,8 @@ def top_duplicates(df: DataFrame, key: list[str], k: int = 5) -> DataFrame:
 
 
 def seeded(key: list[str], seed: int) -> Column:
-    """The place of a row in a seeded order."""
-    return F.xxhash64(F.lit(seed), *key)
+    """The place of a row in a seeded order, which any engine with MD5 can tell."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]).cast("binary"))
 
 
 def sample_n(df: DataFrame, key: list[str], n: int, seed: int) -> DataFrame:

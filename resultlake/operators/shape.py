@@ -150,10 +150,13 @@ def add_split(df: DataFrame, date: str, cutoff: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder that all executors share; a temporary one only where the session names none."""
+    """``df`` written to the folder that all executors share; a temporary one only in a local session that names none."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="resultlake-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="resultlake-"))
     return df.checkpoint()
 
 

@@ -59,6 +59,39 @@ def ranked(df: DataFrame, by: list[str], column: str, name: str, parts: int = 64
     return df.alias("x").join(placed.alias("y"), both, "left").select("x.*", name)
 
 
+def quantiles(df: DataFrame, by: list[str], column: str, at: list[float], name: str = "p") -> DataFrame:
+    """(by, name): exact quantiles of the values that are not null, as an array, for groups of any size.
+
+    Values are counted and numbered as in :func:`ranked`; the rows that hold the wanted ranks
+    are picked and interpolated. No task sees all values of a group.
+    """
+    values = df.filter(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("__v"))
+    counts = values.groupBy(*by, "__v").agg(F.count("*").alias("__n"))
+    placed = _numbered(counts, by)
+    size = counts.groupBy(*by).agg(F.sum("__n").alias("__all"))
+    wanted = size.select(*by, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), (F.lit(float(q)) * (F.col("__all") - 1)).alias("pos")) for k, q in enumerate(at)])).alias("w")).select(*by, "w.k", "w.pos")
+    wanted = wanted.groupBy(*by).agg(F.collect_list(F.struct("k", "pos")).alias("__w"))
+    both = reduce(lambda a, b: a & b, [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in by], F.lit(True))
+    near = placed.alias("x").join(wanted.alias("y"), both).select(*[F.col(f"x.{c}") for c in by], "__v", "__start", "__n", F.explode("__w").alias("w"))
+    first, step = F.floor("w.pos"), F.col("w.pos") - F.floor("w.pos")
+    inside = lambda r: (F.col("__start") <= r) & (r < F.col("__start") + F.col("__n"))
+    near = near.filter(inside(first) | inside(first + 1))
+    part = F.when(inside(first), (1 - step) * F.col("__v")).otherwise(0.0) + F.when(inside(first + 1), step * F.col("__v")).otherwise(0.0)
+    each = near.groupBy(*by, F.col("w.k").alias("k")).agg(F.sum(part).alias("v"))
+    return each.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias(name))
+
+
+def _numbered(counts: DataFrame, by: list[str], parts: int = 64) -> DataFrame:
+    """``counts`` (by, __v, __n) with ``__start``, the rows of the group with smaller values."""
+    dealt = checkpointed(counts.repartitionByRange(parts, *by, "__v").withColumn("__part", F.spark_partition_id()))
+    here = Window.partitionBy(*by, "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*by, "__part").agg(F.sum("__n").alias("__t")).withColumn("__before", F.coalesce(F.sum("__t").over(ahead), F.lit(0)))
+    on = reduce(lambda a, b: a & b, [F.col(f"x.{k}").eqNullSafe(F.col(f"y.{k}")) for k in [*by, "__part"]])
+    local = dealt.withColumn("__here", F.coalesce(F.sum("__n").over(here), F.lit(0)))
+    return local.alias("x").join(totals.alias("y"), on).select(*[F.col(f"x.{k}") for k in [*by, "__v", "__n"]], (F.col("__here") + F.col("__before")).alias("__start"))
+
+
 def rank_percentile(by: list[str], column: str) -> Column:
     """Mean rank by the size of the group."""
     return avg_rank(by, column) / F.count("*").over(Window.partitionBy(*by))

@@ -437,8 +437,8 @@ def every_kth(t: Tables) -> DataFrame:
 @query("SELECT l_suppkey, rank, round(pct, 6) AS pct FROM (SELECT l_suppkey, (rank() OVER (ORDER BY n) + (count(*) OVER (PARTITION BY n) - 1) / 2.0)::DOUBLE AS rank, (rank() OVER (ORDER BY n) + (count(*) OVER (PARTITION BY n) - 1) / 2.0) / count(*) OVER () AS pct FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1))")
 def rank_percentile(t: Tables) -> DataFrame:
     """Mean ranks and their percentile."""
-    g = t("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")).withColumn("all", F.lit(1))
-    return g.select("l_suppkey", windows.avg_rank(["all"], "n").alias("rank"), r6(windows.rank_percentile(["all"], "n")).alias("pct"))
+    g = windows.ranked(t("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")), [], "n", "rank")
+    return shape.attach(g, g.agg(F.count("*").alias("all"))).select("l_suppkey", "rank", r6(F.col("rank") / F.col("all")).alias("pct"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderdate::DATE AS day FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 50")
@@ -457,13 +457,22 @@ def stratified(t: Tables) -> DataFrame:
     return pick.allocation(t("orders").groupBy("o_orderpriority").agg(F.count("*").alias("n")), "o_orderpriority", 500)
 
 
-@query()
+@query("""
+WITH c AS (SELECT o_orderpriority, count(*) AS n, least(500, sum(count(*)) OVER ()) AS want, sum(count(*)) OVER () AS total FROM orders GROUP BY o_orderpriority),
+b AS (SELECT *, want * n // total AS base, (want * n) % total AS rest FROM c),
+k AS (SELECT o_orderpriority, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, o_orderpriority) <= want - sum(base) OVER () THEN 1 ELSE 0 END AS take FROM b),
+p AS (SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY md5('7|' || o_orderkey), o_orderkey) AS nth FROM orders)
+SELECT o_orderkey, o_orderpriority FROM p JOIN k USING (o_orderpriority) WHERE nth <= take
+""")
 def stratified_rows(t: Tables) -> DataFrame:
     """The rows of a proportional sample."""
     return pick.proportional_sample(t("orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", ["o_orderkey"], 500, 7)
 
 
-@query()
+@query("""
+WITH p AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY md5('3|' || o_orderkey), o_orderkey) AS nth FROM orders)
+SELECT o_orderkey, o_totalprice, CASE WHEN nth <= 50 THEN 50 WHEN nth <= 100 THEN 100 ELSE 200 END AS sample FROM p WHERE nth <= 200
+""")
 def nested_samples(t: Tables) -> DataFrame:
     """Samples of which each is within the next."""
     return pick.nested_sample(t("orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], [50, 100, 200], 3)

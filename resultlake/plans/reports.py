@@ -57,7 +57,8 @@ def clean_paired_results(rows: DataFrame, sessions: DataFrame, history: DataFram
 def clean_deals(df: DataFrame) -> DataFrame:
     """Deals with canonical hands, vulnerability and par; a deal that a session numbers twice with different hands goes."""
     body = F.upper(F.regexp_replace("board_record_string", r"\s+", ""))
-    typed = df.withColumns({"hands": X.canonical_deal(F.when(X.valid_deal(body), body)), "vul": X.board_vul("board"), "par_parsed": X.parse_par("par")})
+    typed = df.withColumn("__body", body).withColumn("__body", F.when(X.valid_deal("__body"), F.col("__body")))
+    typed = typed.withColumns({"hands": X.canonical_deal("__body"), "vul": X.board_vul("board"), "par_parsed": X.parse_par("par")}).drop("__body")
     typed = typed.filter(F.col("hands").isNotNull() & X.valid_dd("double_dummy_ns", "NS") & X.valid_dd("double_dummy_ew", "EW")).distinct()
     return shape.require(drop_conflicting(typed, ["hand_record_id", "board"], ["hands"]), ["hand_record_id", "board"])
 
@@ -267,7 +268,7 @@ def rank_quality(pairs: DataFrame, section: list[str], pred: str, least: int = 4
     """Rank correlation of predicted and actual means in each section and direction with enough pairs (C20)."""
     by = [*section, "direction"]
     big = pairs.join(aggs.having(pairs, by, least).drop("n"), by, "left_semi")
-    return aggs.spearman(big, by, pred, "actual")
+    return aggs.spearman(big, by, pred, "actual", small_groups=False)
 
 
 def interval(df: DataFrame, pairs: DataFrame, actual: str, pred: str) -> DataFrame:
@@ -293,12 +294,9 @@ def luck_report(df: DataFrame, keys: list[str], actual: str, pred: str, sigma: s
     g = g.withColumn("significant", F.abs("z") > Z95).drop("__sigma")
     if not skill:
         return g
-    # ranks over all groups: positions of distinct skills, counted before, so ties share their mean
-    per = g.groupBy("skill").agg(F.count("*").alias("__n"))
-    w = Window.orderBy("skill").rowsBetween(Window.unboundedPreceding, -1)
-    place = per.filter("skill IS NOT NULL").withColumn("__r", F.coalesce(F.sum("__n").over(w), F.lit(0)) + (F.col("__n") + 1) / F.lit(2.0)).select("skill", "__r")
+    # ranks over all groups, numbered in ranges; ties share their mean
     total = g.agg(F.count("skill").alias("__all"))
-    return shape.attach(g.join(place, "skill", "left"), total).withColumn("skill_pct", F.col("__r") / F.col("__all")).drop("__r", "__all")
+    return shape.attach(windows.ranked(g, [], "skill", "__r"), total).withColumn("skill_pct", F.col("__r") / F.col("__all")).drop("__r", "__all")
 
 
 def skill_features(df: DataFrame, rating: str = "Elo", points: str = "MasterPoints") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,7 +111,8 @@ def boards(df: DataFrame, columns: list[str], own_only: bool = False, limit: int
 def sql_self(df: DataFrame, sql: str, context: dict[str, str] | None = None, limit: int = 200) -> DataFrame:
     """SQL over one table named ``self``: ``{name}`` is replaced from the context, a fragment gets its FROM.
 
-    The view lives in a session of its own, so names of others are not seen. Only queries run.
+    The table goes by a name of its own, and ``self`` is a name of the query alone, so views
+    of the caller are neither hidden nor lost. Only queries run.
     """
     for name, value in (context or {}).items():
         sql = sql.replace("{" + name + "}", value)
@@ -127,19 +129,27 @@ def sql_tables(t: dict[str, DataFrame], sql: str, limit: int = 200) -> DataFrame
     return _isolated(t, sql, limit)
 
 
+#: Words of statements that are no queries.
+STATEMENTS = r"(?i)\b(insert|create|drop|alter|set|use|load|refresh|cache|uncache|add|delete|update|merge|truncate|replace\s+table|analyze|msck|repair|call|execute)\b"
+
+
 def _isolated(t: dict[str, DataFrame], sql: str, limit: int) -> DataFrame:
-    if re.match(r"(?i)\s*(insert|create|drop|alter|set|use|load|refresh|cache|add|delete|update|merge|truncate)\b", sql):
+    """The query with the tables as common table expressions over views of unique names, dropped at once."""
+    bare = re.sub(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S)
+    if re.search(STATEMENTS, bare):
         raise ValueError("only queries are run")
     session = next(iter(t.values())).sparkSession
-    names = {}
+    views = {name: f"v_{uuid.uuid4().hex}" for name in t}
+    named = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items())
+    own = re.match(r"(?is)\s*with\s+", sql)
+    text = f"WITH {named}, {sql[own.end():]}" if own else f"WITH {named} {sql}"
     for name, df in t.items():
-        names[name] = df
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(views[name])
     try:
-        return session.sql(sql).limit(limit)
+        return session.sql(text).limit(limit)
     finally:
-        for name in names:
-            session.catalog.dropTempView(name)
+        for view in views.values():
+            session.catalog.dropTempView(view)
 
 
 def inventory(t: dict[str, DataFrame]) -> DataFrame:

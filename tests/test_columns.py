@@ -126,3 +126,18 @@ def test_documents(spark):
     assert out(df, X.doc_has("d", ["m"], "p", F.lit("a"))) == [True, False, False]
     df = col(spark, ['{"k": 3, "n": {"z": 1}}', '{"k": "x"}', "junk", None])
     assert out(df, X.json_scalars("c", {"k": "int", "n": "string"})["k"]) == [3, None, None, None]
+
+
+def test_folding_is_compatibility_decomposition(spark):
+    import re
+    import unicodedata
+
+    texts = ["Dvořák Łukasz", "Ångström ½ straße", "ﬁn ǅ Ñandú", "Cafe\u0301 Ｗｉｄｅ", "ẞ İ", "", None, "日本 x1"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, c string").select("i", X.fold_text("c").alias("f"))
+    got = [r["f"] for r in df.orderBy("i").collect()]
+
+    def want(t):
+        plain = "".join(x for x in unicodedata.normalize("NFKD", t) if not unicodedata.combining(x))
+        return re.sub(r"[^a-z0-9]+", " ", plain.casefold()).strip()
+
+    assert got == [None if t is None else want(t) for t in texts]

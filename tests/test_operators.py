@@ -148,3 +148,36 @@ def test_fuzzy_join_leaves_no_frequent_gram_out(spark, rows):
             assert got[q][0] == match and abs(got[q][1] + score) < 1e-9
         else:
             assert q not in got
+
+
+def test_exact_quantiles_of_groups_of_any_size(spark):
+    import random
+
+    import numpy as np
+
+    from resultlake.operators import windows
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, float(rng.randint(0, 40)), rng.random()])) for _ in range(800)] + [("one", 5.0), ("none", None)]
+    at = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r["g"]: r["p"] for r in windows.quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", at).collect()}
+    for g in ("a", "b", None, "one"):
+        assert np.allclose(got[g], np.quantile([v for k, v in rows if k == g and v is not None], at))
+    assert "none" not in got and windows.quantiles(spark.createDataFrame(rows, "g string, v double"), [], "v", [0.5]).count() == 1
+
+
+def test_sql_over_tables_leaves_the_callers_views_alone(spark):
+    import pytest
+
+    from resultlake.plans import serve
+
+    spark.range(3).createOrReplaceTempView("self")
+    df = spark.range(7).withColumnRenamed("id", "x")
+    assert serve.sql_self(df, "max(x) AS m").collect()[0]["m"] == 6
+    assert serve.sql_self(df, "WITH big AS (SELECT * FROM self WHERE x > 4) SELECT count(*) AS n FROM big").collect()[0]["n"] == 2
+    assert serve.sql_tables({"a": df, "b": df}, "SELECT a.x FROM a JOIN b ON a.x = b.x + 1 WHERE 'drop' <> ''").count() == 6
+    assert spark.table("self").count() == 3
+    for bad in ("DROP TABLE self", "WITH q AS (SELECT 1) INSERT INTO t SELECT * FROM q"):
+        with pytest.raises(ValueError):
+            serve.sql_self(df, bad)
+    spark.catalog.dropTempView("self")

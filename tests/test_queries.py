@@ -6,6 +6,7 @@ import math
 import duckdb
 import pytest
 
+from resultlake.plans import game_queries  # noqa: F401  registers its queries
 from resultlake.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
