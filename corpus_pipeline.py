@@ -1,7 +1,10 @@
 """A corpus pipeline: toxicity, exact dedup, near-dedup, mixing, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept.
-Stages that drop documents keep every other column of them as it is.
+Stages that drop documents keep every other column of them as it is. What is decided of a
+row holds for that row alone: null and repeated ids are rows of their own. Null texts count
+as empty ones; an empty table goes through all stages; columns that are not of documents
+are left behind.
 """
 
 from __future__ import annotations
@@ -45,26 +48,26 @@ def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose predicted label is 1 go."""
+    """Documents whose predicted label is 1 go; without labels of both classes none does, and empty texts stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     docs = keyed(docs)
     return without(docs, score_toxicity(docs, labels, row_col=ROW).filter("predicted = 1"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
+    """Of equal texts one row stays, also of rows equal in all; null and empty texts are equal."""
     docs = keyed(docs)
     return without(docs, exact_dedup(docs, row_col=ROW).filter("NOT kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one document stays."""
+    """Of each group of near copies one row stays; empty texts are copies of nothing."""
     docs = keyed(docs)
     return without(docs, near_dedup(docs, percent=NEAR_PERCENT, row_col=ROW).filter("NOT kept"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: a row for each repetition."""
+    """Each row as often as the mix takes it: a row for each repetition; texts without words count nothing."""
     docs = keyed(docs)
     taken = stored(mix(docs, row_col=ROW).filter("repeats > 0").select(ROW, "repeats"), "repeats")
     both = docs.join(taken, ROW)
@@ -72,7 +75,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row, and whether they decode to its text."""
+    """Digests of the token ids of each row and of the bytes that they decode to; an empty text has no ids."""
     coded = bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
