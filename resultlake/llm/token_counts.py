@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import os
 import unicodedata
+import uuid
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -157,11 +158,17 @@ def normalised(text: Column) -> Column:
 
 
 def read_cache(spark: SparkSession, where: str) -> DataFrame:
-    """The cache's rows; none where it was never written."""
+    """The cache's rows as it is now; none where it was never written.
+
+    Each append is a folder of its own, and the folders that are complete are named to the
+    reader: two readings at different times are never taken for the same.
+    """
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(where)
-    there = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    return spark.read.schema(CACHE).parquet(where) if there else spark.createDataFrame([], CACHE)
+    root = jvm.org.apache.hadoop.fs.Path(where)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    appends = [s.getPath() for s in fs.listStatus(root)] if fs.exists(root) else []
+    done = sorted(p.toString() for p in appends if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+    return spark.read.schema(CACHE).parquet(*done) if done else spark.createDataFrame([], CACHE)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -207,7 +214,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     # id and digest are both keys: an id that many rows share, or that many lack, is many keys
     texts = base.withColumn("own", digest).join(missed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("wanted"))).select("wanted", "text")
     counted = texts.mapInArrow(run, "content_digest binary, n_tokens long")
-    counted.select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.mode("append").parquet(cache)
+    counted.select("content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens").write.parquet(f"{cache}/append={uuid.uuid4().hex}")
 
     joined = facts_join(keyed, known(), ["content_digest"], sizes)
     return joined.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -117,7 +117,7 @@ def test_frequent_keys_are_dealt_over_tasks(spark, monkeypatch):
 def test_token_count_query_meets_its_cache(spark, tmp_path):
     from resultlake.llm import queries
 
-    texts = ["same words", "same words", "other", None, "same  words", "late one", "late one", ""]
+    texts = ["same words", "same words", "other", None, "same  words", "early one", "late one", ""] + [f"text {i} of {i % 7}" for i in range(300)]
     frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
     whole = Tokenizer.from_file(WORDS)
     got = {r["doc_id"]: r["n_tokens"] for r in queries.QUERIES["op7_token_counts"](spark, str(tmp_path)).collect()}
