@@ -27,8 +27,8 @@ from resultlake.llm.scratch import stored
 MAX_TRAIN = 20_000
 #: Characters of the beginnings that may become stems; whole words become terms at any length.
 SHORTEST, STEM_POINTS = 3, 24
-#: States of the automaton that a worker keeps; beyond, it starts anew.
-MOST_STATES = 200_000
+#: States of the automaton, and words with what they match, that a worker keeps; beyond, each starts anew.
+MOST_STATES, MOST_WORDS = 30_000, 1 << 17
 #: Log ratio of the shares of toxic and other documents that have a term; documents with it.
 LOG_RATIO, SUPPORT = 3.0, 4
 #: Bytes before and after a hit that its context window holds.
@@ -73,6 +73,7 @@ class Lexicon:
             self.edits[node] = max(self.edits[node], allowed)
             (self.word if whole else self.stem)[node] = i
         self.lengths = [len(t.rstrip(END)) for t in terms]
+        self.known: dict[bytes, tuple[int, int] | None] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -157,7 +158,15 @@ class Lexicon:
         kinds = np.zeros(len(own), np.int8)
         terms = np.zeros(len(own), np.int32)
         for i, (s, e) in enumerate(zip(starts[first].tolist(), ends[first].tolist())):
-            hit = self.match(_word(held[s:e]))
+            raw_word = held[s:e]
+            if raw_word in self.known:
+                hit = self.known[raw_word]
+            else:
+                hit = self.match(_word(raw_word))
+                if len(self.known) >= MOST_WORDS:
+                    self.known = {}
+                if len(raw_word) <= 64:
+                    self.known[raw_word] = hit
             if hit:
                 kinds[i], terms[i] = hit
         hits = np.flatnonzero(kinds[which])
