@@ -27,8 +27,8 @@ from resultlake.llm.scratch import stored
 MAX_TRAIN = 20_000
 #: Characters of the beginnings that may become stems; whole words become terms at any length.
 SHORTEST, STEM_POINTS = 3, 24
-#: States of the automaton, and words with what they match, that a worker keeps; beyond, each starts anew.
-MOST_STATES, MOST_WORDS = 30_000, 1 << 17
+#: States of the automaton, and words with what they match, that a task keeps; beyond, each starts anew.
+MOST_STATES, MOST_WORDS = 200_000, 1 << 17
 #: Log ratio of the shares of toxic and other documents that have a term; documents with it.
 LOG_RATIO, SUPPORT = 3.0, 4
 #: Bytes before and after a hit that its context window holds.
@@ -256,17 +256,6 @@ def learn_terms(train: DataFrame) -> list[str]:
     return sorted(out, key=lambda t: (-support[t], t))
 
 
-_made: dict[tuple[str, ...], Lexicon] = {}
-
-
-def _lexicon(terms: list[str]) -> Lexicon:
-    """The automaton of this worker, which later tasks find as it was left; the last one is kept."""
-    key = tuple(terms)
-    if key not in _made:
-        _made.clear()
-        _made[key] = Lexicon(terms)
-    return _made[key]
-
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Weights of a logistic model by Newton's method."""
@@ -305,7 +294,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
     terms = learn_terms(train)
 
     def learn(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(terms)
+        lexicon = Lexicon(terms)  # of this task alone: kept by the worker it would take memory from later stages
         for b in B.pieces(it, "text"):
             x = lexicon.features(b.column("text"))
             yield pa.RecordBatch.from_arrays([B.lists(x.ravel(), np.full(len(x), FEATURES), pa.float64()), b.column("toxic")], ["x", "toxic"])
@@ -322,7 +311,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
         weights[0] = np.log((share + 1e-9) / (1 - share + 1e-9))
 
     def score(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = _lexicon(terms)
+        lexicon = Lexicon(terms)  # of this task alone: kept by the worker it would take memory from later stages
         for b in B.pieces(it, "text"):
             s = 1 / (1 + np.exp(-np.clip(lexicon.features(b.column("text")) @ weights, -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), *(b.column(c) for c in own)], ["doc_id", "score", *own])
