@@ -1,9 +1,9 @@
 """Toxicity by a learned lexicon, Levenshtein automata over its trie, and context windows.
 
 The lexicon holds whole words and stems that labelled toxic documents have and others lack.
-A deterministic automaton, made lazily, is the intersection of the trie with the Levenshtein
-automaton of each word read: one pass over a word finds the terms within the allowed number
-of edits. Hits are counted by kind and by their surroundings, quotation or address, and a
+Deterministic automata, made lazily, are the intersection of the trie, read from either end,
+with the Levenshtein automaton of each word: a pass over a word in each direction finds the
+terms within the allowed number of edits. Hits are counted by kind and by their surroundings, quotation or address, and a
 logistic model turns the counts into a score.
 """
 
@@ -27,8 +27,8 @@ from resultlake.llm.scratch import stored
 MAX_TRAIN = 20_000
 #: Characters of the beginnings that may become stems; whole words become terms at any length.
 SHORTEST, STEM_POINTS = 3, 24
-#: States of the automaton, and words with what they match, that a task keeps; beyond, each starts anew.
-MOST_STATES, MOST_WORDS = 200_000, 1 << 17
+#: States of each automaton, and words with what they match, that a task keeps; beyond, each starts anew.
+MOST_STATES, MOST_WORDS = 100_000, 1 << 17
 #: Log ratio of the shares of toxic and other documents that have a term; documents with it.
 LOG_RATIO, SUPPORT = 3.0, 4
 #: Bytes before and after a hit that its context window holds.
@@ -50,85 +50,93 @@ def allowed_edits(points: int) -> int:
     return (points >= 5) + (points >= 8)
 
 
-class Lexicon:
-    """A trie of whole words, which end with ``END``, and stems, and the automaton over it. Letters are code points."""
+class Automaton:
+    """The deterministic intersection of a trie with the Levenshtein automata of the words read, made lazily.
 
-    def __init__(self, terms: list[str]):
+    A state is a set of (node, edits). ``caps`` of a term say how many edits each of its
+    beginnings, the empty one first, may have used; a node takes the largest of its terms.
+    Every term found is within its allowed number of edits.
+    """
+
+    def __init__(self, terms: Iterable[tuple[str, int, list[int]]], stems: Iterable[tuple[str, int]] = ()):
         self.children: list[dict[str, int]] = [{}]
-        self.word, self.stem, self.edits = [-1], [-1], [0]
-        for i, term in enumerate(terms):
-            whole = term.endswith(END)
-            term = term.rstrip(END)
-            allowed = allowed_edits(len(term)) if whole else 0
-            node = 0
-            for letter in term:
-                self.edits[node] = max(self.edits[node], allowed)
-                if letter not in self.children[node]:
-                    self.children[node][letter] = len(self.children)
-                    self.children.append({})
-                    self.word.append(-1)
-                    self.stem.append(-1)
-                    self.edits.append(0)
-                node = self.children[node][letter]
-            self.edits[node] = max(self.edits[node], allowed)
-            (self.word if whole else self.stem)[node] = i
-        self.lengths = [len(t.rstrip(END)) for t in terms]
-        self.known: dict[bytes, tuple[int, int] | None] = {}
+        self.word, self.stem, self.caps, self.allowed = [-1], [-1], [0], [0]
+        for letters, term, caps in terms:
+            path = self._path(letters)
+            for node, cap in zip(path, caps):
+                self.caps[node] = max(self.caps[node], cap)
+            self.word[path[-1]], self.allowed[path[-1]] = term, caps[-1]
+        for letters, term in stems:
+            self.stem[self._path(letters)[-1]] = term
+        #: Children of each node that may have used one edit, or two.
+        self.room = [[[], *([c for c in nodes.values() if self.caps[c] >= e] for e in (1, 2)), []] for nodes in self.children]
         self._forget()
 
+    def _path(self, letters: str) -> list[int]:
+        path = [0]
+        for letter in letters:
+            at = self.children[path[-1]]
+            if letter not in at:
+                at[letter] = len(self.children)
+                self.children.append({})
+                for values, value in ((self.word, -1), (self.stem, -1), (self.caps, 0), (self.allowed, 0)):
+                    values.append(value)
+            path.append(at[letter])
+        return path
+
     def _forget(self) -> None:
         self.states: dict[tuple, int] = {}
-        self.sets: list[frozenset] = []
+        self.sets: list[tuple] = []
         self.stems: list[int] = []
         self.moves: list[dict[str, int]] = []
         self.ends: list[tuple[int, int] | None] = []
-        self.start = self._state(self._closed({(0, 0)}), -1)
-
-    def _closed(self, pairs: set[tuple[int, int]]) -> frozenset:
-        """With letters of terms that the word lacks; of (node, edits) only the fewest edits count."""
-        best: dict[int, int] = {}
-        todo = list(pairs)
-        while todo:
-            node, e = todo.pop()
-            if e > self.edits[node] and e > 0 or best.get(node, 99) <= e:
-                continue
-            best[node] = e
-            todo += [(c, e + 1) for c in self.children[node].values()]
-        return frozenset(best.items())
-
-    def _state(self, pairs: frozenset, stem: int) -> int:
+        self.start = self._state({0: 0}, -1)
+
+    def _state(self, fewest: dict[int, int], stem: int) -> int:
+        """The state of nodes with their fewest edits; those by letters of terms that the word lacks are added."""
+        todo = list(fewest)
+        for node in todo:  # grows as nodes are added or reached with fewer edits
+            e = fewest[node] + 1
+            for child in self.room[node][e]:
+                if fewest.get(child, 99) > e:
+                    fewest[child] = e
+                    todo.append(child)
+        pairs = tuple(sorted(fewest.items()))
         key = (pairs, stem)
-        if key not in self.states:
-            self.states[key] = len(self.sets)
-            self.sets.append(pairs)
-            self.stems.append(stem)
-            self.moves.append({})
-            best = None
-            for node, e in pairs:
-                term = self.word[node]
-                if term >= 0 and e <= allowed_edits(self.lengths[term]):
-                    hit = ((EXACT, ONE_EDIT, TWO_EDITS)[e], term)
-                    best = min(best, hit) if best else hit
-            if stem >= 0 and not (best and best[0] == EXACT):
-                best = (STEM, stem)
-            self.ends.append(best)
-        return self.states[key]
+        known = self.states.get(key)
+        if known is not None:
+            return known
+        self.states[key] = len(self.sets)
+        self.sets.append(pairs)
+        self.stems.append(stem)
+        self.moves.append({})
+        best = None
+        for node, e in pairs:
+            if self.word[node] >= 0 and e <= self.allowed[node]:
+                hit = ((EXACT, ONE_EDIT, TWO_EDITS)[e], self.word[node])
+                best = min(best, hit) if best else hit
+        if stem >= 0 and not (best and best[0] == EXACT):
+            best = (STEM, stem)
+        self.ends.append(best)
+        return len(self.sets) - 1
 
     def _move(self, state: int, letter: str) -> int:
         """The next state; -1 if no term can follow."""
-        found, stem = set(), self.stems[state]
+        found: dict[int, int] = {}
+        stem = self.stems[state]
         for node, e in self.sets[state]:
-            for b, child in self.children[node].items():
-                if b == letter:
-                    found.add((child, e))
-                    if e == 0 and self.stem[child] >= 0:
-                        stem = self.stem[child]
-                else:
-                    found.add((child, e + 1))
-            if node or e:
-                found.add((node, e + 1))
-        pairs = self._closed(found)
-        out = -1 if not pairs and stem < 0 else self._state(pairs, stem)
+            child = self.children[node].get(letter)
+            if child is not None and found.get(child, 99) > e:
+                found[child] = e
+                if e == 0 and self.stem[child] >= 0:
+                    stem = self.stem[child]
+            e += 1
+            if e <= self.caps[node] and found.get(node, 99) > e:
+                found[node] = e
+            for child in self.room[node][e]:
+                if found.get(child, 99) > e:
+                    found[child] = e
+        out = -1 if not found and stem < 0 else self._state(found, stem)
         self.moves[state][letter] = out
         return out
 
@@ -144,6 +152,31 @@ class Lexicon:
                 return None
         return self.ends[state]
 
+
+class Lexicon:
+    """Whole words, which end with ``END``, and stems, found through two automata. Letters are code points.
+
+    Of a term's edits not all are in its first half, or its second half has none. The
+    automaton over the terms serves the first case: a first half has one edit less than
+    allowed. That over the reversed terms serves the other: there the second half comes
+    first and must be exact. Neither has to follow every beginning with all the edits.
+    """
+
+    def __init__(self, terms: list[str]):
+        words = [(t[: -len(END)], i, allowed_edits(len(t) - len(END))) for i, t in enumerate(terms) if t.endswith(END)]
+        stems = [(t, i) for i, t in enumerate(terms) if not t.endswith(END)]
+        self.forward = Automaton(((t, i, [max(0, e - (k <= len(t) // 2 < len(t))) for k in range(len(t) + 1)]) for t, i, e in words), stems)
+        self.backward = Automaton((t[::-1], i, [e * (k >= len(t) - len(t) // 2) for k in range(len(t) + 1)]) for t, i, e in words if e)
+        self.known: dict[bytes, tuple[int, int] | None] = {}
+
+    def match(self, word: str) -> tuple[int, int] | None:
+        """(kind, term) of the nearest term, else None."""
+        ahead = self.forward.match(word)
+        if ahead and ahead[0] in (EXACT, STEM):
+            return ahead
+        back = self.backward.match(word[::-1])
+        return min(ahead, back) if ahead and back else ahead or back
+
     def features(self, column: pa.Array) -> np.ndarray:
         """The counts of each text that the score is made of."""
         raw, offsets = B.buffer(column)
@@ -256,7 +289,6 @@ def learn_terms(train: DataFrame) -> list[str]:
     return sorted(out, key=lambda t: (-support[t], t))
 
 
-
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Weights of a logistic model by Newton's method."""
     w = np.zeros(x.shape[1])
