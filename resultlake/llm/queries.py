@@ -12,6 +12,7 @@ import public_tokenizers
 from resultlake.llm import bpe, scratch
 from resultlake.llm.exact_dedup import exact_dedup
 from resultlake.llm.html_text import extract
+from resultlake.llm.language_id import identify
 from resultlake.llm.licenses import license_spans, summary
 from resultlake.llm.media import describe, encode_media
 from resultlake.llm.mixing import mix
@@ -99,6 +100,15 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary(license_spans(_read(spark, sf_dir, "documents")))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each whole text, from byte trees of a sample of the rows that are not held out.
+
+    Null, empty and letterless texts are ``und`` with a score of 0; repeated rows have a row
+    each; an empty table gives an empty result; other columns are ignored.
+    """
+    return identify(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_sharding": op2_sharding,
@@ -110,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_licenses": op10_licenses,
+    "op11_language_id": op11_language_id,
 }
 
 OP4_SQL = r"""
