@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from resultlake.llm import bpe, scratch
+from resultlake.llm.conversations import damage, repair
 from resultlake.llm.exact_dedup import exact_dedup
 from resultlake.llm.html_text import extract
 from resultlake.llm.language_id import identify
@@ -17,6 +18,7 @@ from resultlake.llm.licenses import license_spans, summary
 from resultlake.llm.media import describe, encode_media
 from resultlake.llm.mixing import mix
 from resultlake.llm.near_dedup import near_dedup
+from resultlake.llm.phrases import collocations
 from resultlake.llm.sharding import ShardedTable, free_name
 from resultlake.llm.token_counts import count_tokens
 from resultlake.llm.toxicity import toxicity
@@ -109,6 +111,25 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_read(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language by the score of their worst cut.
+
+    Null texts are empty, a null language is ``und``; repeated rows count each; an empty
+    table gives an empty result; other columns are ignored.
+    """
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of each damaged conversation.
+
+    Nulls are one blank, but a null turn is first and has no number; rows of a null conv_id
+    are one conversation; equal rows are duplicates; an empty table gives an empty result;
+    other columns are ignored.
+    """
+    return repair(damage(_read(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_media": op1_media,
     "op2_sharding": op2_sharding,
@@ -121,6 +142,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_licenses": op10_licenses,
     "op11_language_id": op11_language_id,
+    "op12_phrases": op12_phrases,
+    "op13_conversations": op13_conversations,
 }
 
 OP4_SQL = r"""
@@ -168,4 +191,43 @@ WITH n AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op9_exact_dedup": OP9_SQL}
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d
+), s AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p
+), g AS (
+  SELECT lang, k AS words, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM s, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w)
+), f AS (
+  SELECT lang, words, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100
+), t AS (
+  SELECT lang, count(*) AS n FROM g WHERE words = 1 GROUP BY lang
+), c AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE words > 1
+), b AS (
+  SELECT c.lang, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, max(a) AS a
+  FROM c, (SELECT unnest([2, 3, 4]) AS k), (SELECT unnest([1, 2, 3, 4]) AS i)
+  WHERE k < words AND i + k - 1 <= words GROUP BY ALL
+), x AS (
+  SELECT c.* FROM c LEFT JOIN b USING (lang, phrase) WHERE b.a IS NULL OR 100 * b.a < 100 * c.a
+), e AS (
+  SELECT x.lang, x.phrase, x.a, l.a AS l, r.a AS r, t.n, k AS cut,
+         ((1000::HUGEINT * x.a * t.n) // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM x JOIN (SELECT unnest([1, 2, 3, 4]) AS k) ON k < x.words
+  JOIN f AS l ON l.lang = x.lang AND l.phrase = array_to_string(list_slice(w, 1, k), ' ')
+  JOIN f AS r ON r.lang = x.lang AND r.phrase = array_to_string(list_slice(w, k + 1, x.words), ' ')
+  JOIN t ON t.lang = x.lang
+), o AS (
+  SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE "binary") AS rank,
+       phrase, a, l, r, n, score, cut::BIGINT AS cut
+FROM o QUALIFY rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op9_exact_dedup": OP9_SQL, "op12_phrases": OP12_SQL}
