@@ -211,35 +211,52 @@ RANKS = "AKQJT98765432"
 SUITS = "SHDC"
 
 
-def _count(c: Column, symbol: str) -> Column:
-    return F.length(c) - F.length(F.replace(c, F.lit(symbol), F.lit("")))
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+#: The 68 symbols of a deal in order: each rank and each suit four times.
+_SYMBOLS = "".join(sorted((SUITS + RANKS) * 4))
 
 
 def valid_deal(c: Col) -> Column:
     """A deal of 68 symbols: each rank and suit letter four times, four suit letters in the first 17."""
-    c = _c(c)
-    times = F.forall(F.array(*map(F.lit, SUITS + RANKS)), lambda s: F.length(F.replace(c, s, F.lit(""))) == 64)
-    first = F.length(F.regexp_replace(F.substring(c, 1, 17), f"[{SUITS}]", ""))
-    return F.coalesce((F.length(c) == 68) & times & (first == 13), F.lit(False))
+    symbols = lambda t: F.array_join(F.array_sort(F.split(t, "")), "")
+    first = lambda t: F.length(F.translate(F.substring(t, 1, 17), SUITS, ""))
+    return F.coalesce(let(_c(c), lambda t: (F.length(t) == 68) & (symbols(t) == _SYMBOLS) & (first(t) == 13)), F.lit(False))
 
 
 _HAND = "S([2-9TJQKA]*)H([2-9TJQKA]*)D([2-9TJQKA]*)C([2-9TJQKA]*)"
+#: Letters in the order of ranks, so that sorted letters are sorted cards.
+_LETTERS = "ABCDEFGHIJKLM"
 
 
-def _ordered(cards: Column) -> Column:
-    return F.concat(*[F.when(F.contains(cards, F.lit(r)), r).otherwise("") for r in RANKS])
+def _in_order(cards: Column) -> Column:
+    """Cards as letters, the ace first."""
+    return F.array_join(F.array_sort(F.split(F.translate(cards, RANKS, _LETTERS), "")), "")
 
 
 def canonical_deal(c: Col, seats: str = "NESW") -> Column:
-    """Hands in the order N, E, S, W with ranks from the ace down, ``S.H.D.C`` each; null unless it is a whole deal."""
-    c = _c(c)
-    parts = F.slice(F.split(c, "[SHDC]"), 2, 16)  # the cards of each suit, hand after hand
-    ordered = F.transform(parts, _ordered)
-    hands = F.transform(F.array(*[F.lit(seats.index(s)) for s in "NESW"]), lambda i: F.array_join(F.slice(ordered, i * 4 + 1, F.lit(4)), "."))
-    suit = lambda j: F.concat(*[F.get(parts, j + 4 * i) for i in range(4)])
-    once = F.forall(F.array(*map(F.lit, range(4))), lambda j: (_ordered(suit(j)) == RANKS) & (F.length(suit(j)) == 13))
-    good = c.rlike(f"^{_HAND * 4}$") & F.forall(hands, lambda h: F.length(h) == 16) & once
-    return F.when(good, F.concat(F.lit("N:"), F.array_join(hands, " ")))
+    """Hands in the order N, E, S, W with ranks from the ace down, ``S.H.D.C`` each; null unless it is a whole deal.
+
+    The text is matched and split once, and each suit of a hand is sorted once.
+    """
+    places = [seats.index(s) for s in "NESW"]
+
+    def deal(t: Column) -> Column:
+        return let(F.transform(F.slice(F.split(t, "[SHDC]"), 2, 16), _in_order), hands)  # the cards of each suit, hand after hand
+
+    def hands(suits: Column) -> Column:
+        each = F.array(*[F.array_join(F.slice(suits, 4 * i + 1, 4), ".") for i in places])
+        once = F.forall(F.sequence(F.lit(1), F.lit(4)), lambda j: _sorted_letters(F.concat(*[F.get(suits, j + (4 * i - 1)) for i in range(4)])) == _LETTERS)
+        return F.when(once, let(each, lambda h: F.when(F.forall(h, lambda x: F.length(x) == 16), F.concat(F.lit("N:"), F.translate(F.array_join(h, " "), _LETTERS, RANKS)))))
+
+    return let(_c(c), lambda t: F.when(t.rlike(f"^{_HAND * 4}$"), deal(t)))
+
+
+def _sorted_letters(c: Column) -> Column:
+    return F.array_join(F.array_sort(F.split(c, "")), "")
 
 
 def build_deal(columns: dict[str, Col], seats: str = "NESW") -> Column:
@@ -251,10 +268,10 @@ def build_deal(columns: dict[str, Col], seats: str = "NESW") -> Column:
 def valid_dd(c: Col, side: str) -> Column:
     """A text of solved tricks: the side's name, then five tokens, one for each strain."""
     body = F.trim(F.regexp_replace(_c(c), rf"^\s*{side}:\s*", ""))
-    tokens = F.split(body, r"\s+")
-    strains = F.array_sort(F.transform(tokens, lambda t: F.regexp_extract(t, r"(NT|[SHDCN])", 1)))
-    strains = F.array_sort(F.transform(strains, lambda s: F.substring(s, 1, 1)))
-    return F.coalesce((F.size(tokens) == 5) & F.forall(tokens, lambda t: t.rlike(r"^(\d{1,2}(/\d{1,2})?)?(NT|[SHDCN])\d{0,2}(/\d{1,2})?$")) & (strains == F.array(*map(F.lit, sorted("SHDCN")))), F.lit(False))
+    strain = lambda t: F.substring(F.regexp_extract(t, r"(NT|[SHDCN])", 1), 1, 1)
+    token = r"(\d{1,2}(/\d{1,2})?)?(NT|[SHDCN])\d{0,2}(/\d{1,2})?"
+    each = lambda t: F.array_join(F.array_sort(F.transform(F.split(t, r"\s+"), strain)), "") == "".join(sorted("SHDCN"))
+    return F.coalesce(let(body, lambda t: t.rlike(rf"^{token}(\s+{token}){{4}}$") & each(t)), F.lit(False))
 
 
 def board_vul(n: Col) -> Column:
@@ -301,8 +318,12 @@ DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "M
 
 def parse_date_any(c: Col) -> Column:
     """A date in one of several formats, else null."""
-    text = F.trim(_c(c))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS]).cast("date")
+    parse = lambda t, formats: F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
+    # a text is tried against the formats of its shape only: with a slash, with a month's name, or by its length
+    slashed, named, dated = [[f for f in DATE_FORMATS if f[0] == "M" and ("/" in f) == b] for b in (True, False)] + [[f for f in DATE_FORMATS if f[0] == "y"]]
+    short, long = [f for f in dated if "H" not in f], [f for f in dated if "H" in f]
+    shape = lambda t: F.when(t.rlike("^[A-Za-z]"), parse(t, named)).when(F.contains(t, F.lit("/")), parse(t, slashed)).when(F.contains(t, F.lit(":")), parse(t, long)).otherwise(parse(t, short))
+    return let(F.trim(_c(c)), shape).cast("date")
 
 
 def parse_ts(c: Col, fmt: str = "yyyy-MM-dd HH:mm:ss", strict: bool = False) -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resultlake.functions.columns import fold_text
@@ -43,6 +44,31 @@ def fuzzy_lookup(df: DataFrame, column: str, query: str, least: float = 0.55, k:
     return some.filter(F.col("score") >= least).orderBy(F.desc("score"), column).limit(k)
 
 
+def write_gram_index(df: DataFrame, column: str, where: str) -> None:
+    """A table (gram, text) of the 3-grams of distinct texts, sorted by gram.
+
+    A lookup reads the files' row groups of its own 3-grams only. A frequent 3-gram takes
+    several files, as ranges are cut by text too.
+    """
+    texts = df.select(F.col(column).alias("text")).dropna().distinct()
+    grams = texts.select(F.explode(trigrams(F.col("text"))).alias("gram"), "text")
+    grams.repartitionByRange("gram", "text").sortWithinPartitions("gram", "text").write.mode("overwrite").parquet(where)
+
+
+def index_lookup(index: DataFrame, query: str, least: float = 0.55, k: int = 20, share: float = 0.3) -> DataFrame:
+    """(text, score): what :func:`fuzzy_lookup` finds among the distinct texts of a 3-gram index, without a scan of the texts."""
+    folded = query_trigrams(query)
+    some = index.filter(F.col("gram").isin(*folded)).groupBy("text").agg(F.count("*").alias("common"))
+    near = some.filter(F.col("common") >= math.ceil(len(folded) * share)).select("text", fuzzy_score(F.col("text"), query).alias("score"))
+    return near.filter(F.col("score") >= least).orderBy(F.desc("score"), "text").limit(k)
+
+
+def query_trigrams(query: str) -> list[str]:
+    """The distinct 3-grams of a query, found as :func:`trigrams` finds those of texts."""
+    spark = SparkSession.active()
+    return list(spark.range(1).select(trigrams(F.lit(query)).alias("g")).first()["g"])  # of one short text
+
+
 def fuzzy_join(left: DataFrame, right: DataFrame, a: str, b: str, least: float = 0.6, block: int = 1000) -> DataFrame:
     """For each distinct text of ``left`` its nearest text of ``right``, by shared 3-grams and then ratio.
 

@@ -73,11 +73,15 @@ def join_roles(df: DataFrame, dim: DataFrame, key: str, roles: dict[str, str], p
 
 
 def null_safe_left(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on which null keys match; the dimension must be unique by the keys, else rows would multiply."""
-    repeated = dim.groupBy(*keys).count().filter("count > 1").limit(1).count()
-    if repeated:
-        raise ValueError(f"the dimension is not unique by {keys}")
-    return null_equal_join(df, dim, keys, "left")
+    """Left join on which null keys match; the dimension must be unique by the keys, else rows would multiply.
+
+    That is found out by the same job: a repeated key is an error of the task that meets it.
+    """
+    rest = [c for c in dim.columns if c not in keys]
+    one = dim.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(F.lit(True), *rest)).alias("__v"))
+    wrong = F.raise_error(F.lit(f"the dimension is not unique by {keys}"))
+    one = one.withColumn("__v", F.when(F.col("__n") == 1, F.col("__v")).otherwise(wrong.cast(one.schema["__v"].dataType)))
+    return null_equal_join(df, one.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in rest]), keys, "left")
 
 
 def null_equal_join(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -111,7 +115,12 @@ def cascade(tables: dict[str, DataFrame], root: DataFrame, links: list[tuple[str
 
 
 def block_join(fact: DataFrame, dim: DataFrame, keys: list[str], block: str) -> DataFrame:
-    """Equi-join of two tables that share a block column: it is one of the keys, so both sides are dealt by it."""
+    """Equi-join of two tables that share a block column, one of the keys.
+
+    Of tables that :func:`~resultlake.sources.tables.write_bucketed` dealt by these keys,
+    block first, into as many buckets, no row moves: each bucket is joined where it lies.
+    Others are dealt by the keys, which hold the block, so no block is one task's.
+    """
     return fact.join(dim, [block, *[k for k in keys if k != block]], "left")
 
 

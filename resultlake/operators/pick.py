@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +52,33 @@ def seeded(key: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]).cast("binary"))
 
 
+#: Hex digits of the seeded order that make a bucket: 65,536 buckets.
+DIGITS = 4
+
+
+def seeded_place(df: DataFrame, by: list[str], key: list[str], seed: int, most: Column | int) -> DataFrame:
+    """The first ``most`` rows of each group in the seeded order, with ``__p``, their place from 1.
+
+    The order's first digits are buckets. Rows of buckets are counted; a group's buckets,
+    65,536 at most, give each its start, and only rows of buckets that begin before ``most``
+    are sorted, each bucket for itself. ``most`` may be a column of ``df`` that is one for
+    each group.
+    """
+    order = seeded(key, seed)
+    bucketed = df.withColumn("__bucket", F.substring(order, 1, DIGITS))
+    ahead = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = bucketed.groupBy(*by, "__bucket").agg(F.count("*").alias("__n")).withColumn("__start", F.coalesce(F.sum("__n").over(ahead), F.lit(0)))
+    keys = [*by, "__bucket"]
+    starts = starts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__start")
+    on = reduce(lambda a, b: a & b, [bucketed[k].eqNullSafe(starts[f"__k{i}"]) for i, k in enumerate(keys)])
+    near = bucketed.join(starts, on).drop(*[f"__k{i}" for i in range(len(keys))]).filter(F.col("__start") < most)
+    placed = near.withColumn("__p", F.col("__start") + F.row_number().over(Window.partitionBy(*keys).orderBy(order, *key)))
+    return placed.filter(F.col("__p") <= most).drop("__bucket", "__start")
+
+
 def sample_n(df: DataFrame, key: list[str], n: int, seed: int) -> DataFrame:
-    """Exactly ``n`` rows, or all if there are fewer: the first of a seeded order."""
-    return df.orderBy(seeded(key, seed), *key).limit(n)
+    """Exactly ``n`` rows, or all if there are fewer: the first of a seeded order (T07); no task gathers them."""
+    return seeded_place(df, [], key, seed, n).drop("__p")
 
 
 def every_kth(df: DataFrame, order: list[str], k: int) -> DataFrame:
@@ -76,20 +102,18 @@ def allocation(counts: DataFrame, stratum: str, n: int) -> DataFrame:
 
 
 def proportional_sample(df: DataFrame, stratum: str, key: list[str], n: int, seed: int) -> DataFrame:
-    """A seeded sample of ``n`` rows with every stratum in proportion."""
-    take = allocation(df.groupBy(stratum).agg(F.count("*").alias("n")), stratum, n).select(stratum, "take")
-    place = F.row_number().over(Window.partitionBy(stratum).orderBy(seeded(key, seed), *key))
-    return df.withColumn("__p", place).join(take, stratum).filter("__p <= take").drop("__p", "take")
+    """A seeded sample of ``n`` rows with every stratum in proportion (T09); no task sorts a stratum."""
+    take = allocation(df.groupBy(stratum).agg(F.count("*").alias("n")), stratum, n).select(F.col(stratum).alias("__s"), F.col("take").alias("__take"))
+    wanted = df.join(take, df[stratum].eqNullSafe(take["__s"])).drop("__s")
+    return seeded_place(wanted, [stratum], key, seed, F.col("__take")).drop("__p", "__take")
 
 
 def nested_sample(df: DataFrame, key: list[str], sizes: list[int], seed: int) -> DataFrame:
     """Rows of the largest sample with ``sample``, the smallest size whose sample holds them: each is within the next."""
-    big = sample_n(df, key, max(sizes), seed)
-    place = F.row_number().over(Window.orderBy(seeded(key, seed), *key))  # over the largest sample only
     out = F.lit(max(sizes))
     for s in sorted(sizes, reverse=True):
         out = F.when(F.col("__p") <= s, s).otherwise(out)
-    return big.withColumn("__p", place).withColumn("sample", out).drop("__p")
+    return seeded_place(df, [], key, seed, max(sizes)).withColumn("sample", out).drop("__p")
 
 
 def shuffle_keep_tail(df: DataFrame, key: list[str], newest: Column, seed: int) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,14 +150,25 @@ def add_split(df: DataFrame, date: str, cutoff: str) -> DataFrame:
     return df.withColumns({date: d, "is_train": F.coalesce(d < at, F.lit(False)), "is_test": F.coalesce(d >= at, F.lit(False))})
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder that all executors share; a temporary one only in a local session that names none."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, ``spark.checkpoint.dir``; a temporary one only in a local session that names none."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         named = sc.getConf().get("spark.checkpoint.dir")
         if not named and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="resultlake-"))
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new place for a table in the folder that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder that all executors share."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -11,9 +11,11 @@ from resultlake.functions.columns import clip
 from resultlake.operators.shape import checkpointed
 
 
-def partition_median(by: list[str], column: str) -> Column:
-    """The median of the row's group."""
-    return F.median(column).over(Window.partitionBy(*by))
+def partition_median(df: DataFrame, by: list[str], column: str, name: str) -> DataFrame:
+    """``df`` with the exact median of the row's group, which no task holds."""
+    middle = quantiles(df, by, column, [0.5], "__m").select(*[F.col(c).alias(f"__{c}") for c in by], F.get("__m", F.lit(0)).alias(name))
+    on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(middle[f"__{c}"]) for c in by])
+    return df.join(middle, on, "left").drop(*[f"__{c}" for c in by])
 
 
 def sequence(key: list[str], order: list[str]) -> Column:

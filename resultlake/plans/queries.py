@@ -400,7 +400,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, round(greatest(0, least(1, l_discoun
 """)
 def center(t: Tables) -> DataFrame:
     """Values around their group's mean, and its median."""
-    return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", r6(windows.center("l_discount", ["l_suppkey"])).alias("centered"), r6(windows.partition_median(["l_suppkey"], "l_discount")).alias("med"))
+    line = windows.partition_median(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount"), ["l_suppkey"], "l_discount", "med")
+    return line.select("l_orderkey", "l_linenumber", "l_partkey", r6(windows.center("l_discount", ["l_suppkey"])).alias("centered"), r6("med").alias("med"))
 
 
 @query("SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS seq FROM orders")

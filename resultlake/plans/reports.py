@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from resultlake.functions import columns as X
 from resultlake.operators import aggs, joins, sets, shape, windows
 from resultlake.operators.quality import drop_conflicting, drop_insane, drop_out_of_range
+from resultlake.streaming import ratings
 
 #: Fixed values of the board report: tables of a board, of a large field, large fields needed,
 #: skill spread of a flat field, reference skill, and what counts as no spread or no error.
@@ -55,11 +56,16 @@ def clean_paired_results(rows: DataFrame, sessions: DataFrame, history: DataFram
 
 
 def clean_deals(df: DataFrame) -> DataFrame:
-    """Deals with canonical hands, vulnerability and par; a deal that a session numbers twice with different hands goes."""
+    """Deals with canonical hands, vulnerability and par; a deal that a session numbers twice with different hands goes.
+
+    A whole canonical deal is valid, so its text is read once. The typed rows are written
+    down before anything filters or compares them: else each filter and both readers of
+    the conflict check would compute the hands again.
+    """
     body = F.upper(F.regexp_replace("board_record_string", r"\s+", ""))
-    typed = df.withColumn("__body", body).withColumn("__body", F.when(X.valid_deal("__body"), F.col("__body")))
-    typed = typed.withColumns({"hands": X.canonical_deal("__body"), "vul": X.board_vul("board"), "par_parsed": X.parse_par("par")}).drop("__body")
-    typed = typed.filter(F.col("hands").isNotNull() & X.valid_dd("double_dummy_ns", "NS") & X.valid_dd("double_dummy_ew", "EW")).distinct()
+    solved = X.valid_dd("double_dummy_ns", "NS") & X.valid_dd("double_dummy_ew", "EW")
+    typed = df.filter(solved).withColumns({"hands": X.canonical_deal(body), "vul": X.board_vul("board"), "par_parsed": X.parse_par("par")})
+    typed = shape.require(shape.checkpointed(typed), ["hands"]).distinct()
     return shape.require(drop_conflicting(typed, ["hand_record_id", "board"], ["hands"]), ["hand_record_id", "board"])
 
 
@@ -121,9 +127,16 @@ def established(df: DataFrame, key: str, order: list[str], value: str) -> DataFr
 
 
 def shrinkage_prior(df: DataFrame, key: str, order: list[str], value: str, least: int = 10, weight: int = 50) -> tuple[DataFrame, DataFrame]:
-    """(prior, published): one row that describes entities with ``least`` rows, and every entity's value drawn to its median."""
+    """(prior, published): one row that describes entities with ``least`` rows, and every entity's value drawn to its median.
+
+    The median and quartiles are exact, found without one task for all entities.
+    """
     per = established(df, key, order, value)
-    prior = per.filter(F.col("sessions") >= least).agg(F.median("latest").alias("anchor"), F.avg("latest").alias("mean"), F.stddev_pop("latest").alias("std"), F.count("latest").alias("n"), F.percentile("latest", 0.25).alias("p25"), F.percentile("latest", 0.75).alias("p75"))
+    known = per.filter(F.col("sessions") >= least)
+    whole = known.agg(F.avg("latest").alias("mean"), F.stddev_pop("latest").alias("std"), F.count("latest").alias("n"))
+    cuts = windows.quantiles(known.select(F.lit(0).alias("all"), "latest"), ["all"], "latest", [0.5, 0.25, 0.75], "cuts").select("cuts")
+    both = shape.attach(whole, cuts)
+    prior = both.select(F.get("cuts", F.lit(0)).alias("anchor"), "mean", "std", "n", F.get("cuts", F.lit(1)).alias("p25"), F.get("cuts", F.lit(2)).alias("p75"))
     published = (F.col("sessions") * F.col("latest") + weight * F.col("anchor")) / (F.col("sessions") + weight)
     return prior, shape.attach(per, prior.select("anchor")).withColumn("published", published)
 
@@ -133,32 +146,9 @@ def dispersion_seeds(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*[(F.stddev_pop(X.finite(c)) if c in df.columns else F.lit(None).cast("double")).alias(c) for c in columns])
 
 
-def rate(spark: SparkSession, games: DataFrame, k: float = 20.0, init: float = 1500.0, every: int = 8) -> DataFrame:
-    """Ratings in which all games of a date count at once, from the ratings at its start.
-
-    ``games`` (date, game_id, a, b, score): score of a between 0 and 1, null for no result;
-    games of a null side are left out. Returns (date, entity, n_games, before, after). The
-    dates are walked in order, one set of joins for each; ratings, one row for each entity,
-    are cut from their history every few dates.
-    """
-    ok = games.filter("a IS NOT NULL AND b IS NOT NULL AND score IS NOT NULL")
-    dates = [r["date"] for r in ok.select("date").distinct().orderBy("date").collect()]  # one for each day
-    state = spark.createDataFrame([], "entity string, rating double")
-    out = []
-    for i, d in enumerate(dates):
-        day = ok.filter(F.col("date") == F.lit(d)).select("game_id", F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), "score")
-        ra, rb = state.select(F.col("entity").alias("a"), F.col("rating").alias("ra")), state.select(F.col("entity").alias("b"), F.col("rating").alias("rb"))
-        g = day.join(ra, "a", "left").join(rb, "b", "left").fillna(init, ["ra", "rb"])
-        expected = 1 / (1 + F.pow(F.lit(10.0), (F.col("rb") - F.col("ra")) / 400.0))
-        g = g.withColumn("__d", k * (F.col("score") - expected))
-        moved = g.select(F.explode(F.array(F.struct(F.col("a").alias("entity"), F.col("ra").alias("before"), F.col("__d").alias("d")), F.struct(F.col("b").alias("entity"), F.col("rb").alias("before"), (-F.col("__d")).alias("d")))).alias("m")).select("m.*")
-        step = moved.groupBy("entity").agg(F.count("*").alias("n_games"), F.max("before").alias("before"), F.sum("d").alias("d")).withColumn("after", F.col("before") + F.col("d")).drop("d")
-        step = shape.checkpointed(step)
-        out.append(step.select(F.lit(d).alias("date"), "entity", "n_games", "before", "after"))
-        state = joins.overlay(state, step.select("entity", F.col("after").alias("rating")), "entity")
-        if (i + 1) % every == 0:
-            state = shape.checkpointed(state)
-    return reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], "date date, entity string, n_games long, before double, after double")
+def rate(spark: SparkSession, games: DataFrame, k: float = ratings.K, init: float = ratings.INIT) -> DataFrame:
+    """Ratings in which all games of a date count at once (C12): :func:`resultlake.streaming.ratings.rate`."""
+    return ratings.rate(games, k, init)
 
 
 # ---- slopes ----------------------------------------------------------------
@@ -441,8 +431,8 @@ def outcome_flags(df: DataFrame, tricks: str = "Tricks", dd: str = "DD_Tricks",
     return df.withColumns({"DD_Tricks_Diff": F.col(tricks) - F.col(dd), "Is_Par_Contract": worth, "Is_Par_Strain": F.coalesce(own, F.lit(False)), "Is_Sacrifice": worth & (F.col(score) < 0)})
 
 
-def explode_documents(df: DataFrame, column: str, schema: str | T.DataType, paths: dict[str, list[str]], keys: dict[str, str]) -> dict[str, DataFrame]:
-    """Documents as many tables."""
+def explode_documents(df: DataFrame, column: str, schema: str | T.DataType | None, paths: dict[str, list[str]], keys: dict[str, str], carry: list[str] = ()) -> dict[str, DataFrame]:
+    """Documents as many tables (F05); without a schema the column is parsed already."""
     from resultlake.sources.tables import normalize_documents
 
-    return normalize_documents(df, column, schema, paths, keys)
+    return normalize_documents(df, column, schema, paths, keys, carry)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import re
 import uuid
 
+from pyspark.errors import ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from resultlake.functions.columns import in_range_or_unknown
 from resultlake.operators import aggs, joins, pick, sets, shape
-from resultlake.operators.fuzzy import fuzzy_lookup, fuzzy_score
+from resultlake.operators.fuzzy import fuzzy_lookup, index_lookup, fuzzy_score
 
 
 def club_list(events: DataFrame, query: str | None = None, least: float = 0.55) -> DataFrame:
@@ -129,29 +130,65 @@ def sql_tables(t: dict[str, DataFrame], sql: str, limit: int = 200) -> DataFrame
     return _isolated(t, sql, limit)
 
 
-#: Words of statements that are no queries.
-STATEMENTS = r"(?i)\b(insert|create|drop|alter|set|use|load|refresh|cache|uncache|add|delete|update|merge|truncate|replace\s+table|analyze|msck|repair|call|execute)\b"
+class Refused(ValueError):
+    """SQL that is no query of the given tables."""
+
+
+#: Functions that run code outside of the query.
+OUTSIDE = r"(?i)\b(reflect|try_reflect|java_method)\s*\("
 
 
 def _isolated(t: dict[str, DataFrame], sql: str, limit: int) -> DataFrame:
-    """The query with the tables as common table expressions over views of unique names, dropped at once."""
-    bare = re.sub(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S)
-    if re.search(STATEMENTS, bare):
-        raise ValueError("only queries are run")
+    """A query that reads the given tables and nothing else.
+
+    The tables are common table expressions over views of unique names, which are dropped at
+    once. The text is parsed before it is run, so that no command is, and the analysed plan
+    is walked down to those views: a plan that reaches any other table, view, file or
+    source is refused. Constants and ``range`` are allowed.
+    """
     session = next(iter(t.values())).sparkSession
     views = {name: f"v_{uuid.uuid4().hex}" for name in t}
     named = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in views.items())
-    own = re.match(r"(?is)\s*with\s+", sql)
+    own = re.match(r"(?is)\s*with\s+(?!recursive\b)", sql)
     text = f"WITH {named}, {sql[own.end():]}" if own else f"WITH {named} {sql}"
+    bare = re.sub(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|--[^\n]*|/\*.*?\*/", " ", sql, flags=re.S)
+    if re.search(OUTSIDE, bare):
+        raise Refused("the query calls code outside of it")
+    jvm = session.sparkContext._jvm
+    kinds = [jvm.java.lang.Class.forName(f"org.apache.spark.sql.catalyst.plans.logical.{k}") for k in ("Command", "ParsedStatement")]
+    try:
+        parsed = session._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    except ParseException as e:
+        raise Refused(f"not a query: {str(e).splitlines()[0]}") from e
+    if any(k.isInstance(node) for node in _nodes(parsed, set()) for k in kinds):
+        raise Refused("only queries are run")
     for name, df in t.items():
         df.createOrReplaceTempView(views[name])
     try:
-        return session.sql(text).limit(limit)
+        out = session.sql(text)
+        for node in _nodes(out._jdf.queryExecution().analyzed(), set(views.values())):
+            if node.children().isEmpty() and node.nodeName() not in ("OneRowRelation", "LocalRelation", "Range", "CTERelationRef", "View"):
+                raise Refused(f"the query reads something else than {', '.join(t)}")
+            if node.nodeName().startswith("View") and not any(v in node.simpleString(25) for v in views.values()):
+                raise Refused(f"the query reads a view that is none of {', '.join(t)}")
+        return out.limit(limit)
     finally:
         for view in views.values():
             session.catalog.dropTempView(view)
 
 
+def _nodes(plan, views: set[str]):  # noqa: ANN001, ANN202
+    """A plan's nodes and those of its subqueries, but not what lies below the views named."""
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        yield node
+        if node.nodeName().startswith("View") and any(v in node.simpleString(25) for v in views):
+            continue
+        for some in (node.children(), node.subqueries()):
+            todo += [some.apply(i) for i in range(some.size())]
+
+
 def inventory(t: dict[str, DataFrame]) -> DataFrame:
     """Tables with their rows and columns."""
     from functools import reduce
@@ -180,9 +217,18 @@ def player_lookup(players: DataFrame, query: str, club: str | None = None) -> Da
     return aggs.latest(some, ["player_number"], ["date"], ["player_name", "city", "state"]).orderBy("player_number")
 
 
-def typo_lookup(players: DataFrame, query: str, k: int = 20) -> DataFrame:
-    """Players whose name is nearly the query."""
-    return fuzzy_lookup(players.select("player_number", "player_name").distinct(), "player_name", query, k=k)
+def typo_lookup(players: DataFrame, query: str, k: int = 20, index: DataFrame | None = None) -> DataFrame:
+    """(player_number, player_name, score): players whose name is nearly the query.
+
+    With a 3-gram ``index`` of the names (:func:`~resultlake.operators.fuzzy.write_gram_index`)
+    only names that share enough 3-grams are looked at; the ``k`` names are joined back.
+    """
+    known = players.select("player_number", "player_name").distinct()
+    if index is None:
+        return fuzzy_lookup(known, "player_name", query, k=k)
+    names = index_lookup(index, query, k=k).withColumnRenamed("text", "player_name")
+    found = known.join(F.broadcast(names), "player_name").select("player_number", "player_name", "score")  # k rows
+    return found.orderBy(F.desc("score"), "player_name", "player_number").limit(k)
 
 
 def dataset_info(t: dict[str, DataFrame], dates: dict[str, str]) -> DataFrame:

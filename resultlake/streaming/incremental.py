@@ -11,7 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from resultlake.operators.joins import cascade, overlay
 from resultlake.operators.sets import unique_by
-from resultlake.sources.tables import exists, replace_table
+from resultlake.sources.versions import PartedTable, key_part
+
+#: Buckets of a table that is kept by key; a batch rewrites those that it has keys of.
+BUCKETS = 64
 
 
 def stamp(df: DataFrame, key: Column, day: Column) -> DataFrame:
@@ -27,14 +30,40 @@ def drop_absorbed(df: DataFrame, date: str, cutoff: str | Date | None) -> DataFr
     return df.filter(d.isNull() | (d > F.lit(str(cutoff)).cast("date")))
 
 
-def upsert_batch(batch: DataFrame, target: str, key: str, date: str, cutoff: str | Date | None = None) -> None:
-    """Rows of a batch in place of all rows of their keys, without what the cutoff absorbs.
-
-    Running the same batch again changes nothing, so a batch that was lost half-way may be repeated.
-    """
+def _merge(batch: DataFrame, target: str, key: list[str], merged: Callable[[DataFrame | None, DataFrame], DataFrame], properties: dict | None, buckets: int) -> int:
+    """Put ``merged(old rows, batch)`` in place of the buckets that the batch has keys of; other buckets' files stay."""
     spark = batch.sparkSession
-    now = overlay(spark.read.parquet(target), batch, key) if exists(spark, target) else batch
-    replace_table(drop_absorbed(now, date, cutoff), target)
+    table = PartedTable(spark, target)
+    before = table.entry()
+    if before:
+        buckets = before["properties"]["buckets"]
+    touched = [r[0] for r in batch.select(key_part(key, buckets)).distinct().collect()]  # ``buckets`` at most
+    old = table._rows(before, touched) if before else None
+    now = {"buckets": buckets} | (before["properties"] if before else {}) | (properties or {})
+    return table.rewrite(merged(old, batch), key_part(key, buckets), touched, now, before)
+
+
+def upsert_batch(batch: DataFrame, target: str, key: str, date: str, cutoff: str | Date | None = None, buckets: int = BUCKETS) -> int:
+    """Rows of a batch in place of all rows of their keys, without what the cutoff absorbs (I02); returns the version.
+
+    The target is kept in buckets of the key, and only those with keys of the batch are
+    rewritten. The cutoff is a property of the table that :func:`upserted` applies to all
+    rows, so a later one leaves nothing old in buckets that no batch touches. Running the
+    same batch again changes nothing, so a batch that was lost half-way may be repeated.
+    """
+    def merged(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        return drop_absorbed(overlay(old, new, key).select(old.columns) if old is not None else new, date, cutoff)
+
+    absorbed = {"date": date, "cutoff": None if cutoff is None else str(cutoff)}
+    return _merge(batch, target, [key], merged, absorbed, buckets)
+
+
+def upserted(spark: SparkSession, target: str) -> DataFrame | None:
+    """The table that :func:`upsert_batch` keeps, without what the newest cutoff absorbs."""
+    entry = (table := PartedTable(spark, target)).entry()
+    if entry is None:
+        return None
+    return drop_absorbed(table._rows(entry), entry["properties"]["date"], entry["properties"]["cutoff"])
 
 
 def upsert_stream(stream: DataFrame, target: str, key: str, date: str, checkpoint: str, cutoff: str | Date | None = None) -> StreamingQuery:
@@ -97,15 +126,35 @@ def changed_blocks(now: DataFrame, before: DataFrame) -> DataFrame:
     """Blocks with a ``status``: new, changed or vanished since the fingerprints before; equal ones are left out."""
     a = now.select("block", F.struct(*[c for c in now.columns if c != "block"]).alias("a"))
     b = before.select("block", F.struct(*[c for c in before.columns if c != "block"]).alias("b"))
-    j = a.join(b, "block", "full_outer")
+    j = a.join(b, a["block"].eqNullSafe(b["block"]), "full_outer")
     status = F.when(F.col("b").isNull(), "new").when(F.col("a").isNull(), "vanished").when(F.col("a") != F.col("b"), "changed")
-    return j.select("block", status.alias("status")).filter("status IS NOT NULL")
+    return j.select(F.coalesce(a["block"], b["block"]).alias("block"), status.alias("status")).filter("status IS NOT NULL")
+
 
+def rebuild_blocks(df: DataFrame, block: str, where: str, fn: Callable[[DataFrame], DataFrame]) -> dict[str, str]:
+    """Bring ``fn`` of a table up to date block by block (I07); returns {block: new, changed or vanished}.
 
-def rebuild_blocks(spark: SparkSession, df: DataFrame, block: str, where: str, changed: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> None:
-    """Recompute the changed blocks only and overwrite their partitions."""
-    some = fn(df.join(changed.filter("status != 'vanished'").select(F.col("block").alias(block)), block, "left_semi"))
-    some.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(block).parquet(where)
+    Blocks are compared by the fingerprints of their source rows, which lie beside the
+    result. New and changed ones are computed, all others stay where they lie, and vanished
+    ones go; all of that, and the fingerprints, at one moment, so a run that dies changes
+    nothing and the next one does the same work. ``fn`` keeps the block column, which is
+    text in the result.
+    """
+    spark = df.sparkSession
+    table, seen = PartedTable(spark, f"{where}/rows"), PartedTable(spark, f"{where}/fingerprints")
+    before = table.entry()
+    name = F.coalesce(F.col(block).cast("string"), F.lit("null"))
+    now = fingerprints(df, name)
+    known = seen.read(before["properties"]["fingerprints"]) if before else spark.createDataFrame([], now.schema)
+    version = seen.replace(now)
+    status = {r["block"]: r["status"] for r in changed_blocks(seen.read(version), known).collect()}  # one for each block
+    if before and not status:
+        return {}
+    some = [b for b, s in status.items() if s != "vanished"]
+    rows = fn(df.filter(name.isin(some)))
+    rows = rows.withColumn(block, F.coalesce(F.col(block).cast("string"), F.lit("null")))
+    table.rewrite(rows, F.col(block), list(status), {"fingerprints": version}, before)
+    return status
 
 
 def stale_windows(source: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -116,25 +165,32 @@ def stale_windows(source: DataFrame, manifest: DataFrame) -> DataFrame:
     return j.filter(~F.coalesce(same, F.lit(False))).select("window", "rows", "last_date")
 
 
-def fill_cache(keys: DataFrame, key: str, cache: str, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Values of keys from a cache table: distinct misses are computed, appended and joined."""
+def fill_cache(keys: DataFrame, key: str, cache: str, fn: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS) -> DataFrame:
+    """Values of keys from a cache table: distinct misses are computed, put into the cache and joined.
+
+    The cache is kept in buckets of the key: only those of the keys asked for are read.
+    """
     spark = keys.sparkSession
     wanted = keys.select(key).distinct()
-    if exists(spark, cache):
-        missing = wanted.join(spark.read.parquet(cache).select(key), key, "left_anti")
-        fn(missing).write.mode("append").parquet(cache)
-    else:
-        fn(wanted).write.parquet(cache)
-    known = spark.read.parquet(cache)
+    table = PartedTable(spark, cache)
+    entry = table.entry()
+    if entry:
+        buckets = entry["properties"]["buckets"]
+        asked = [r[0] for r in wanted.select(key_part([key], buckets)).distinct().collect()]  # ``buckets`` at most
+        wanted = wanted.join(table._rows(entry, asked).select(key), key, "left_anti")
+    if entry is None or not wanted.isEmpty():
+        _merge(fn(wanted), cache, [key], lambda old, new: new if old is None else old.unionByName(new), None, buckets)
+    known = table.read()
     return keys.join(unique_by(known, [key], [key]), key, "left")
 
 
-def stream_unique(stream: DataFrame, key: str, ts: str, target: str, checkpoint: str) -> StreamingQuery:
-    """The last row of each key of all that has arrived, in a table."""
+def stream_unique(stream: DataFrame, key: str, ts: str, target: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """The last row of each key of all that has arrived, in a table of buckets of which a batch rewrites its own."""
+    def merged(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        return unique_by(new if old is None else old.unionByName(new), [key], [ts], keep="last")
+
     def each(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        rows = spark.read.parquet(target).unionByName(batch) if exists(spark, target) else batch
-        replace_table(unique_by(rows, [key], [ts], keep="last"), target)
+        _merge(batch, target, [key], merged, None, buckets)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
