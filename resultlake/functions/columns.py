@@ -29,6 +29,11 @@ def extract(c: Col, pattern: str, group: int = 1) -> Column:
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 # ---- contracts and results -------------------------------------------------
 
 CONTRACT = r"^([1-7])([CDHSN])(X{0,2})$"
@@ -39,33 +44,49 @@ def _plain_contract(contract: Col) -> Column:
     return F.replace(F.upper(F.regexp_replace(_c(contract), r"\s+", "")), F.lit("NT"), F.lit("N"))
 
 
+def contract_parts(contract: Col) -> Column:
+    """(plain, level, strain, doubled) of a contract, which is made plain and matched once.
+
+    Level is 0, strain and doubling null where there is no contract, as for a passed board.
+    """
+    plain = _plain_contract(contract)
+    good = plain.rlike(CONTRACT)  # so its places are known: level, strain, doubling
+    whole = F.struct(plain.alias("plain"), F.substring(plain, 1, 1).cast("int").alias("level"), F.substring(plain, 2, 1).alias("strain"), F.substring(plain, 3, 2).alias("doubled"))
+    none = F.struct(plain.alias("plain"), F.lit(0).alias("level"), F.lit(None).cast("string").alias("strain"), F.lit(None).cast("string").alias("doubled"))
+    return F.when(good, whole).otherwise(none)
+
+
 def contract_level(contract: Col) -> Column:
     """1 to 7; 0 where there is no level, as for a passed board or null."""
-    text = F.regexp_extract(F.coalesce(_plain_contract(contract), F.lit("")), CONTRACT, 1)
-    return F.coalesce(text.try_cast("int"), F.lit(0))
+    return F.coalesce(contract_parts(contract)["level"], F.lit(0))
 
 
 def contract_strain(contract: Col) -> Column:
-    return extract(_plain_contract(contract), CONTRACT, 2)
+    return contract_parts(contract)["strain"]
 
 
 def contract_doubled(contract: Col) -> Column:
     """'', 'X' or 'XX'; null for a passed board."""
-    return extract(_plain_contract(contract), CONTRACT, 3)
+    return contract_parts(contract)["doubled"]
+
+
+def contract_text(parts: Col, declarer: Col) -> Column:
+    """The text of :func:`normalize_contract` from the parts."""
+    p = _c(parts)
+    rebuilt = F.concat(p["level"].cast("string"), p["strain"], p["doubled"], F.upper(F.trim(_c(declarer))))
+    return F.when(p["plain"] == "PASS", "PASS").otherwise(rebuilt)
 
 
 def normalize_contract(contract: Col, declarer: Col) -> Column:
     """Level, strain, doubling and declarer as one text; PASS stays; what is neither is null."""
-    plain = _plain_contract(contract)
-    rebuilt = F.concat(contract_level(contract).cast("string"), contract_strain(contract), contract_doubled(contract), F.upper(F.trim(_c(declarer))))
-    return F.when(plain == "PASS", "PASS").when(plain.rlike(CONTRACT), rebuilt)
+    return let(contract_parts(contract), lambda p: contract_text(p, declarer))
 
 
 def clean_lead(c: Col) -> Column:
     """A led card as suit and rank; 10 is T, either order is read, anything else is null."""
     card = F.replace(F.upper(F.regexp_replace(_c(c), r"\s+", "")), F.lit("10"), F.lit("T"))
-    swapped = F.when(card.rlike("^[2-9TJQKA][CDHS]$"), F.concat(F.substring(card, 2, 1), F.substring(card, 1, 1))).otherwise(card)
-    return F.when(swapped.rlike("^[CDHS][2-9TJQKA]$"), swapped)
+    swapped = lambda t: F.concat(F.substring(t, 2, 1), F.substring(t, 1, 1))
+    return let(card, lambda t: F.when(t.rlike("^[CDHS][2-9TJQKA]$"), t).when(t.rlike("^[2-9TJQKA][CDHS]$"), swapped(t)))
 
 
 def typed_result(result: Col, tricks: Col) -> tuple[Column, Column]:
@@ -211,11 +232,6 @@ RANKS = "AKQJT98765432"
 SUITS = "SHDC"
 
 
-def let(value: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn`` of a value that is computed once, however often ``fn`` names it."""
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
-
-
 #: The 68 symbols of a deal in order: each rank and each suit four times.
 _SYMBOLS = "".join(sorted((SUITS + RANKS) * 4))
 

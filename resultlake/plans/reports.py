@@ -70,13 +70,17 @@ def clean_deals(df: DataFrame) -> DataFrame:
 
 
 def standardize_results(df: DataFrame) -> DataFrame:
-    """Contract, lead, result and tricks in one form; impossible scores go."""
-    level = X.contract_level("contract")
+    """Contract, lead, result and tricks in one form; impossible scores go.
+
+    Rows that go are left out first, and a contract is read once for all that is told of it.
+    """
+    some = drop_insane(shape.require(df, ["session_id", "board_number"]), "ns_match_points", "ew_match_points")
     res, tri = X.typed_result("result", "tricks_taken")
-    typed = df.withColumns({"__r": res, "__t": tri, "__l": level})
-    res, tri = X.total_tricks("__l", "__r", "__t")
-    out = typed.withColumns({"Contract": X.normalize_contract("contract", "declarer"), "BidLvl": F.col("__l"), "BidSuit": X.contract_strain("contract"), "Dbl": X.contract_doubled("contract"), "Opening_Lead": X.clean_lead("opening_lead"), "Result": res, "Tricks": tri, "Date": X.parse_date_any("game_date")})
-    return drop_insane(shape.require(out, ["session_id", "board_number"]).drop("__r", "__t", "__l"), "ns_match_points", "ew_match_points")
+    typed = some.withColumns({"__c": X.contract_parts("contract"), "__r": res, "__t": tri})
+    level = F.coalesce(F.col("__c.level"), F.lit(0))
+    res, tri = X.total_tricks(level, "__r", "__t")
+    out = {"Contract": X.contract_text("__c", "declarer"), "BidLvl": level, "BidSuit": F.col("__c.strain"), "Dbl": F.col("__c.doubled"), "Opening_Lead": X.clean_lead("opening_lead"), "Result": res, "Tricks": tri, "Date": X.parse_date_any("game_date")}
+    return typed.withColumns(out).drop("__c", "__r", "__t")
 
 
 def enrich(facts: DataFrame, deals: DataFrame, keys: list[str], block: str, rating: tuple[str, str, str] | None = None) -> DataFrame:

@@ -220,3 +220,19 @@ def test_joint_pick(spark):
     assert ml.joint_pick(df, "k", "p", "d").first()["choice"] == "3NS"
     w = {r["y"]: r["weight"] for r in ml.class_weights(spark.createDataFrame([("a", 9), ("b", 1)], "y string, n int"), "inverse").collect()}
     assert w["b"] == pytest.approx(9 * w["a"]) and 9 * w["a"] + w["b"] == pytest.approx(10)
+
+
+def test_deals_are_read_once(spark):
+    """The plan that reads deals names their text a few times, and what filters them reads what is written."""
+    from pyspark.sql import functions as F
+
+    text = "SAKQJT98765432HDC" "SHAKQJT98765432DC" "SHDAKQJT98765432C" "SHDCAKQJT98765432"
+    df = spark.createDataFrame([(1, 1, text), (1, 2, text.replace("A", "K", 1)), (2, 1, None)], "hand_record_id int, board int, board_record_string string")
+    df = df.withColumns({"double_dummy_ns": F.lit("NS: 3S 4H D2 1C NT"), "double_dummy_ew": F.lit("EW: S1 H2 D C NT3"), "par": F.lit("Par: 0")})
+    out = R.clean_deals(df)
+    assert [r["hand_record_id"] for r in out.collect()] == [1]
+    assert len(out._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+    from resultlake.functions import columns as X
+
+    plan = df.select(X.canonical_deal("board_record_string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("board_record_string") < 10 and len(plan) < 5_000
