@@ -30,66 +30,84 @@ BASE = 1000003
 #: Characters of a document from which on its chunks are hashed by separate tasks.
 HUGE_CHARS = 8 << 20
 CHUNK_CHARS = 1 << 20
-#: Bytes hashed at once, and bytes of a chunk that the comparison holds.
+#: Bytes of a block, blocks hashed at once, and bytes of a chunk that the comparison holds.
 BLOCK_BYTES = 4096
+BLOCKS = 512
 COMPARE_BYTES = 256 << 10
 
-#: Bits of the bitmap of repeated fingerprints, as a power of two; it is sent to every task.
-BITMAP_POWER = 26
+#: Bits of the bitmap of repeated fingerprints for each of them, and in all, at least and at most, as powers of two (32 MB at most, sent to every task).
+BITS_EACH, LEAST_POWER, MOST_POWER = 16, 16, 28
 
 SPACE = r"[\x20\x09-\x0D]"
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def counted(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many flags of each text are set."""
+    if len(flags) > BLOCK_BYTES * (len(offsets) - 1):  # long texts, without a copy as wide integers
+        return np.array([np.count_nonzero(flags[s:e]) for s, e in zip(offsets[:-1], offsets[1:])], np.int64)
+    out, some = np.zeros(len(offsets) - 1, np.int64), offsets[:-1] < offsets[1:]
+    if some.any():
+        out[some] = np.add.reduceat(flags.view(np.uint8), offsets[:-1][some], dtype=np.int64)
+    return out
 
 
 def squeezed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The texts without white space."""
-    kept = ~_SPACE[data]
-    ends = np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])
-    return data[kept], ends[offsets]
+    kept = (data - np.uint8(9) > 4) & (data != 32)  # bytes below 9 wrap round
+    return data[kept], np.concatenate([[0], np.cumsum(counted(kept, offsets))])
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray, primes: tuple[int, int] = PRIMES) -> list[np.ndarray]:
-    """For each prime, the polynomial of each text modulo the prime, from hashes of its blocks."""
+    """For each prime, the polynomial of each text modulo the prime, from hashes of its blocks.
+
+    Blocks are hashed ``BLOCKS`` at a time, so a long text needs little more memory than its bytes.
+    """
     lengths = np.diff(offsets)
     blocks = -(-lengths // BLOCK_BYTES)
     owner = np.repeat(np.arange(len(lengths)), blocks)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     starts = offsets[:-1][owner] + nth * BLOCK_BYTES
     ends = np.minimum(starts + BLOCK_BYTES, offsets[1:][owner])
-    to_end = np.repeat(ends, ends - starts) - np.arange(len(data)) - 1 if len(data) else np.zeros(0, np.int64)
-    out = []
+    powers = []
     for p in primes:
         power = np.ones(BLOCK_BYTES, np.uint64)
         for i in range(1, BLOCK_BYTES):
             power[i] = int(power[i - 1]) * BASE % p
+        powers.append(power)
+    parts = [np.zeros(len(owner), np.int64) for _ in primes]
+    for lo in range(0, len(owner), BLOCKS):
+        s, e = starts[lo : lo + BLOCKS], ends[lo : lo + BLOCKS]
+        to_end = np.repeat(e, e - s) - np.arange(s[0], e[-1]) - 1
+        values = data[s[0] : e[-1]].astype(np.uint64) + np.uint64(1)
+        for part, power, p in zip(parts, powers, primes):
+            part[lo : lo + BLOCKS] = np.add.reduceat(values * power[to_end], s - s[0]) % np.uint64(p)
+    out = []
+    for part, power, p in zip(parts, powers, primes):
         hashed = np.zeros(len(lengths), np.int64)
-        if len(owner):
-            part = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power[to_end], starts) % np.uint64(p)
-            one = blocks[owner] == 1
-            hashed[owner[one]] = part[one]
-            full = int(power[-1]) * BASE % p
-            for i in np.flatnonzero(~one):
-                shift = full if ends[i] - starts[i] == BLOCK_BYTES else pow(BASE, int(ends[i] - starts[i]), p)
-                hashed[owner[i]] = (int(hashed[owner[i]]) * shift + int(part[i])) % p
+        one = blocks[owner] == 1
+        hashed[owner[one]] = part[one]
+        full = int(power[-1]) * BASE % p
+        for i in np.flatnonzero(~one):
+            shift = full if ends[i] - starts[i] == BLOCK_BYTES else pow(BASE, int(ends[i] - starts[i]), p)
+            hashed[owner[i]] = (int(hashed[owner[i]]) * shift + int(part[i])) % p
         out.append(hashed)
     return out
 
 
 _ROW = "doc_id long, n_points long, n_bytes long, fp1 long, fp2 long, text_sha256 string"
-_CHUNK = "row long, nth int, n_bytes long, fp1 long, fp2 long, shift1 long, shift2 long"
+_CHUNK = "row string, nth int, n_bytes long, fp1 long, fp2 long, shift1 long, shift2 long"
 
 
 def _hash_rows(primes: tuple[int, int], own: list[str]):
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in B.pieces(it, "text"):
             raw, at = B.buffer(b.column("text"))
-            points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80, dtype=np.int64)])
+            points = counted((raw & 0xC0) != 0x80, at)
             data, offsets = squeezed(raw, at)
             fp1, fp2 = fingerprints(data, offsets, primes)
             view = memoryview(np.ascontiguousarray(data))
             sha = [hashlib.sha256(view[s:e]).hexdigest() for s, e in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(points[at])), pa.array(np.diff(offsets)), pa.array(fp1), pa.array(fp2), pa.array(sha, pa.string()), *(b.column(c) for c in own)], ["doc_id", "n_points", "n_bytes", "fp1", "fp2", "text_sha256", *own])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(points), pa.array(np.diff(offsets)), pa.array(fp1), pa.array(fp2), pa.array(sha, pa.string()), *(b.column(c) for c in own)], ["doc_id", "n_points", "n_bytes", "fp1", "fp2", "text_sha256", *own])
 
     return run
 
@@ -106,9 +124,9 @@ def _hash_chunks(primes: tuple[int, int]):
     return run
 
 
-def _bit(fp1: Column, fp2: Column, n_bytes: Column) -> Column:
-    """The place of a fingerprint in the bitmap: by arithmetic that :func:`_bits` repeats."""
-    return F.pmod(fp1 * 31 + fp2 + n_bytes * 7, F.lit(1 << BITMAP_POWER))
+def _bit(fp1: Column, fp2: Column, n_bytes: Column, size: int) -> Column:
+    """The place of a fingerprint in a bitmap: by arithmetic that :func:`_bits` repeats."""
+    return F.pmod(fp1 * 31 + fp2 + n_bytes * 7, F.lit(size))
 
 
 def _bits(fp1: np.ndarray, fp2: np.ndarray, n_bytes: np.ndarray, size: int) -> np.ndarray:
@@ -118,11 +136,13 @@ def _bits(fp1: np.ndarray, fp2: np.ndarray, n_bytes: np.ndarray, size: int) -> n
 def repeated(groups: DataFrame) -> np.ndarray:
     """The bitmap of the fingerprints (fp1, fp2, n_bytes) of ``groups``, in words of 32 bits.
 
-    The driver sees the words that are not zero, at most 2 ** (BITMAP_POWER - 5) of them.
+    Its size follows their number up to a fixed one, beyond which more texts than need be are
+    compared. The driver sees the words that are not zero, at most 2 ** (MOST_POWER - 5) of them.
     """
-    at = groups.select(_bit(F.col("fp1"), F.col("fp2"), F.col("n_bytes")).alias("at"))
+    power = min(MOST_POWER, max(LEAST_POWER, (BITS_EACH * groups.count()).bit_length()))
+    at = groups.select(_bit(F.col("fp1"), F.col("fp2"), F.col("n_bytes"), 1 << power).alias("at"))
     words = at.groupBy(F.shiftright("at", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at & 31 AS INT))")).alias("bits")).toPandas()
-    out = np.zeros(1 << (BITMAP_POWER - 5), np.uint32)
+    out = np.zeros(1 << (power - 5), np.uint32)
     out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
     return out
 
@@ -164,11 +184,12 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *B.rows_key(row_col))
     huge = F.length("text") > HUGE_CHARS
     plain = base.filter(~huge).mapInArrow(_hash_rows(primes, own), _ROW + B.rows_schema(row_col))
-    big = base.filter(huge).withColumn("row", F.monotonically_increasing_id())
+    big = base.filter(huge).withColumn("row", F.sha2("text", 256))  # the same whenever the rows are read; copies share their chunks' hashes
     facts = big.select("row", "doc_id", *own, F.length("text").cast("long").alias("n_points"), F.sha2(F.regexp_replace("text", SPACE, ""), 256).alias("text_sha256"))
     count = F.ceil(F.length("text") / F.lit(CHUNK_CHARS)).cast("int")
     cut = big.select("row", "text", F.explode(F.sequence(F.lit(0), count - 1)).alias("nth")).select("row", "nth", F.col("text").substr(F.col("nth") * CHUNK_CHARS + 1, F.lit(CHUNK_CHARS)).alias("chunk"))
     parts = cut.repartition("row", "nth").mapInArrow(_hash_chunks(primes), _CHUNK)
+    parts = parts.groupBy("row", "nth").agg(*[F.first(c).alias(c) for c in ("n_bytes", "fp1", "fp2", "shift1", "shift2")])
     joined = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("nth", "n_bytes", "fp1", "fp2", "shift1", "shift2"))).alias("c"))
 
     def combined(k: int) -> Column:
@@ -188,7 +209,7 @@ def collisions(docs: DataFrame, text_col: str = "text", primes: tuple[int, int]
     """
     B.small_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    known = None if among is None else docs.sparkSession.sparkContext.broadcast(repeated(among))  # 2 ** (BITMAP_POWER - 3) bytes
+    known = None if among is None else docs.sparkSession.sparkContext.broadcast(repeated(among))  # 2 ** (MOST_POWER - 3) bytes at most
     chunks = docs.select(text).mapInArrow(_compare_rows(primes, known), "fp1 long, fp2 long, n_bytes long, nth int, chunk binary")
     same = chunks.groupBy("fp1", "fp2", "n_bytes", "nth").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
     return same.filter("least != most").select("fp1", "fp2", "n_bytes").distinct()
@@ -207,6 +228,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = stored(fingerprint(docs, id_col, text_col, primes, row_col), "fingerprints")
     several = rows.groupBy("fp1", "fp2", "n_bytes").agg(F.count("*").alias("n")).filter("n > 1")
+    several = stored(several.select("fp1", "fp2", "n_bytes"), "repeated")
     bad = stored(collisions(docs, text_col, primes, several), "collisions")
     key = ["fp1", "fp2", "n_bytes", "variant"]
     if bad.isEmpty():

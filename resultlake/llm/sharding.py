@@ -4,38 +4,36 @@ A table is a folder of shards, Parquet files that never change, and of manifests
 each version, that list the live shards. Arrivals are appended as they are partitioned, one
 small shard for each task. Compaction puts shards of similar size (one tier: a power of two
 of bytes) in a row, cuts the row into runs of about the target size, and writes each run of
-several shards as one file. A version comes into being when its commit file is created,
-which fails if another writer has created it first; until then nothing refers to what was
-written. All rows move as DataFrames.
+several shards as one file. A version comes into being when its commit file, written whole
+under another name, is put in its place, which fails if another writer has been first; until
+then nothing refers to what was written, so a writer may die at any moment. A file that is
+no whole commit is no version. All rows move as DataFrames.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from resultlake.sources.versions import file_system, names, publish, read_text
+
 MANIFEST = "path string, rows long, bytes long, tier int, written long, shards long"
 #: Shards of a tier are dealt into so many stretches; totals of stretches are added up first, so no task orders a whole tier.
 STRETCHES = 256
 #: Runs merged by one job; more are merged by several, before one commit.
 WAVE = 4096
-#: Characters of a string that a commit file holds in one piece.
-PIECE = 10_000
 
 
 class CommitConflict(Exception):
     """Another writer has committed the version."""
 
 
-def _fs(spark: SparkSession, where: str):  # noqa: ANN202
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
-
-
 def tier_of(size: Column, unit: int) -> Column:
     """0 below ``unit`` bytes, then one more for each doubling."""
     return F.when(size < unit, 0).otherwise(F.length(F.bin(F.floor(size / F.lit(unit)).cast("long")))).cast("int")
@@ -60,23 +58,28 @@ class ShardedTable:
     def __init__(self, spark: SparkSession, root: str, unit: int = 256 << 10, target: int = 128 << 20):
         self.spark, self.root, self.unit, self.target = spark, root.rstrip("/"), unit, target
 
+    def _versions(self) -> list[int]:
+        """Numbers of the files that are commits or may have been, in order."""
+        return sorted(int(n) for n in names(self.spark, f"{self.root}/commits") if n.isdigit())
+
+    def versions(self) -> Iterator[int]:
+        """Committed versions, the newest first."""
+        return (v for v in reversed(self._versions()) if self._committed(v))
+
     def version(self) -> int:
         """The newest committed version; 0 before the first."""
-        fs, path = _fs(self.spark, f"{self.root}/commits")
-        if not fs.exists(path):
-            return 0
-        return max((int(s.getPath().getName()) for s in fs.listStatus(path)), default=0)
-
-    def _committed(self, version: int) -> tuple[str, StructType]:
-        """(token, schema of the rows) of a version."""
-        fs, path = _fs(self.spark, f"{self.root}/commits/{version:08d}")
-        stream = fs.open(path)
+        return next(self.versions(), 0)
+
+    def _next(self) -> int:
+        return max(self._versions(), default=0) + 1
+
+    def _committed(self, version: int) -> tuple[str, StructType] | None:
+        """(token, schema of the rows) of a version; None if its file is no whole commit."""
         try:
-            token = stream.readUTF()
-            schema = "".join(stream.readUTF() for _ in range(stream.readInt()))
-        finally:
-            stream.close()
-        return token, StructType.fromJson(json.loads(schema))
+            entry = json.loads(read_text(self.spark, f"{self.root}/commits/{version:08d}"))
+            return entry["token"], StructType.fromJson(entry["schema"])
+        except (ValueError, KeyError, TypeError):
+            return None
 
     def manifest(self, version: int | None = None) -> DataFrame:
         """Live shards of a version: path under the root, rows, bytes, tier, the version that wrote it and the shards of that write."""
@@ -87,20 +90,9 @@ class ShardedTable:
 
     def _commit(self, version: int, shards: DataFrame, token: str, schema: StructType) -> int:
         shards.write.parquet(f"{self.root}/manifests/{token}")
-        fs, path = _fs(self.spark, f"{self.root}/commits/{version:08d}")
-        try:
-            stream = fs.create(path, False)  # fails if it is there: the one atomic step
-        except Exception as e:
-            if fs.exists(path):
-                raise CommitConflict(f"version {version} of {self.root}") from e
-            raise
-        stream.writeUTF(token)
-        text = json.dumps(schema.jsonValue())  # ASCII
-        pieces = [text[i : i + PIECE] for i in range(0, len(text), PIECE)]
-        stream.writeInt(len(pieces))
-        for piece in pieces:
-            stream.writeUTF(piece)
-        stream.close()
+        text = json.dumps({"token": token, "schema": schema.jsonValue()})
+        if not publish(self.spark, text, f"{self.root}/commits/{version:08d}"):  # the one atomic step
+            raise CommitConflict(f"version {version} of {self.root}")
         return version
 
     def _rows(self, folders: list[str], schema: StructType, path_col: str) -> DataFrame:
@@ -126,15 +118,15 @@ class ShardedTable:
 
         Arrivals whose columns are not those of the table raise a ValueError.
         """
-        version, token = self.version() + 1, f"a-{uuid.uuid4().hex}"
+        before, version, token = self.version(), self._next(), f"a-{uuid.uuid4().hex}"
         schema = StructType([StructField(f.name, f.dataType) for f in arrivals.schema])
-        if version > 1:
-            known = self._committed(version - 1)[1]
+        if before:
+            known = self._committed(before)[1]
             if sorted((f.name, f.dataType.json()) for f in known) != sorted((f.name, f.dataType.json()) for f in schema):
                 raise ValueError(f"arrivals of {schema.simpleString()} for a table of {known.simpleString()}")
             schema = known
         arrivals.write.option("compression", "zstd").parquet(f"{self.root}/shards/{token}")
-        return self._commit(version, self.manifest(version - 1).unionByName(self._facts(token, version, schema)), token, schema)
+        return self._commit(version, self.manifest(before).unionByName(self._facts(token, version, schema)), token, schema)
 
     def plan(self, least: int = 2) -> DataFrame:
         """(path, run): small live shards and the number of the run, of ``least`` shards at least, that each is merged into."""
@@ -157,14 +149,14 @@ class ShardedTable:
         A task holds the rows of one run, which are of about the target size, and writes
         them as one file. Of more than ``WAVE`` runs so many are merged at a time.
         """
-        version, token = self.version() + 1, f"c-{uuid.uuid4().hex}"
+        before, version, token = self.version(), self._next(), f"c-{uuid.uuid4().hex}"
         where = f"{self.root}/plans/{token}"
         self.plan(least).write.parquet(where)
         plan = self.spark.read.schema("path string, run long, shards long").parquet(where)
         lo, hi = plan.agg(F.min("run"), F.max("run")).first()
         if lo is None:
-            return version - 1
-        schema = self._committed(version - 1)[1]
+            return before
+        schema = self._committed(before)[1]
         path, run = free_name(schema.names, "__path"), free_name(schema.names, "__run")
         for start in range(lo, hi + 1, WAVE):
             wave = plan.filter(F.col("run").between(start, start + WAVE - 1))
@@ -174,7 +166,7 @@ class ShardedTable:
             rows = self._rows(folders, schema, path).join(wave.select(F.col("path").alias(path), (F.col("run") - start).cast("int").alias(run)), path).drop(path)
             many = min(WAVE, hi + 1 - start)
             rows.repartitionById(many, F.col(run)).drop(run).write.mode("append").option("compression", "zstd").parquet(f"{self.root}/shards/{token}")
-        rest = self.manifest(version - 1).join(plan, "path", "left_anti")
+        rest = self.manifest(before).join(plan, "path", "left_anti")
         return self._commit(version, rest.unionByName(self._facts(token, version, schema)), token, schema)
 
     def read(self, version: int | None = None, shard_col: str | None = None) -> DataFrame:
@@ -207,10 +199,9 @@ class ShardedTable:
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def vacuum(self, keep: int = 1) -> None:
-        """Delete writes that none of the newest ``keep`` versions refers to."""
-        newest = self.version()
-        live = {f for v in range(max(1, newest - keep + 1), newest + 1) for f, _ in self._folders(self.manifest(v))}
-        fs, path = _fs(self.spark, f"{self.root}/shards")
-        for status in fs.listStatus(path):
-            if status.getPath().getName() not in live:
-                fs.delete(status.getPath(), True)
+        """Delete writes that none of the newest ``keep`` versions refers to; nothing where there is no table."""
+        live = {f for v in islice(self.versions(), keep) for f, _ in self._folders(self.manifest(v))}
+        fs, _ = file_system(self.spark, self.root)
+        for name in names(self.spark, f"{self.root}/shards"):
+            if name not in live:
+                fs.delete(file_system(self.spark, f"{self.root}/shards/{name}")[1], True)

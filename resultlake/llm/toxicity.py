@@ -289,13 +289,13 @@ def learn_terms(train: DataFrame) -> list[str]:
     return sorted(out, key=lambda t: (-support[t], t))
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Weights of a logistic model by Newton's method."""
+def fit(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.05) -> np.ndarray:
+    """Weights of a logistic model by Newton's method; each row counts ``n`` times."""
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((x * (n * (p * (1 - p) + 1e-9))[:, None]).T @ x + np.diag(penalty), x.T @ (n * (y - p)) - penalty * w)
         w = w + step
         if np.abs(step).max() < 1e-9:
             break
@@ -311,8 +311,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
     """doc_id, held_out, score, predicted for each row of ``docs``.
 
     ``labels`` (doc_id, toxic) are used only where the id is not held out and toxic is 0 or
-    1; a doc_id labelled twice is toxic if one label is. At most ``max_train`` labelled rows,
-    chosen by a hash of the id, are fitted on. Null and empty texts get the score of a text
+    1; a doc_id labelled twice is toxic if one label is. At most ``max_train`` labelled texts,
+    chosen by a hash of the id, are fitted on; rows with one id and text are one of them. Null and empty texts get the score of a text
     without hits. Without any labelled text of both classes every score is the share of
     toxic labels, or 0. Rows with equal texts have equal scores. ``row_col``,
     a key of the rows, is returned as the last column. Other columns are ignored.
@@ -322,7 +322,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).filter(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("toxic").cast("long").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(max_train)
-    train = stored(base.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("text", "toxic"), "training")  # max_train pairs of numbers
+    mine = base.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "toxic", "text", F.xxhash64("text").alias("h"))  # max_train pairs of numbers
+    taken = mine.select("id", "h").distinct().orderBy(F.xxhash64("id"), "id", "h").limit(max_train)  # ids may have many texts
+    train = stored(mine.join(F.broadcast(taken), ["id", "h"]).dropDuplicates(["id", "h"]).select("text", "toxic"), "training")
     terms = learn_terms(train)
 
     def learn(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,12 +335,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, id_
 
     seen = train.mapInArrow(learn, "x array<double>, toxic long").groupBy("x", "toxic").count().collect()  # at most max_train rows
     rows = sorted((tuple(r["x"]), r["toxic"], r["count"]) for r in seen)
-    x = np.array([v for v, _, n in rows for _ in range(n)]).reshape(-1, FEATURES)
-    y = np.array([t for _, t, n in rows for _ in range(n)], float)
+    x = np.array([v for v, _, _ in rows]).reshape(-1, FEATURES)
+    y, n = np.array([t for _, t, _ in rows], float), np.array([n for _, _, n in rows], float)
     if len(set(y.tolist())) == 2:
-        weights = fit(x, y)
+        weights = fit(x, y, n)
     else:
-        share = float(y.mean()) if len(y) else 0.0
+        share = float((y * n).sum() / n.sum()) if len(y) else 0.0
         weights = np.zeros(FEATURES)
         weights[0] = np.log((share + 1e-9) / (1 - share + 1e-9))
 

@@ -45,7 +45,8 @@ def test_only_repeated_fingerprints_move(spark, monkeypatch):
     several = rows.groupBy("fp1", "fp2", "n_bytes").agg(F.count("*").alias("n")).filter("n > 1")
     bitmap = exact_dedup.repeated(several)
     assert sum(bin(int(w)).count("1") for w in bitmap) == several.count() > 2
-    monkeypatch.setattr(exact_dedup, "BITMAP_POWER", 5)  # every text shares a bit with another
+    monkeypatch.setattr(exact_dedup, "LEAST_POWER", 5)
+    monkeypatch.setattr(exact_dedup, "MOST_POWER", 5)  # every text shares a bit with another
     assert exact_dedup.collisions(docs(spark, ROWS), primes=(2, 2), among=several).count() >= 0
     got = exact_dedup.exact_dedup(docs(spark, ROWS), primes=(2, 2)).collect()
     assert sorted(((r["doc_id"], r["keep_id"], r["group_size"]) for r in got), key=str) == brute_exact(ROWS)
