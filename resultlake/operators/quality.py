@@ -36,12 +36,16 @@ def check_unique(df: DataFrame, keys: list[str], numeric: bool = False, nullable
 
     ``nullable``: keys with null are not compared. Otherwise null is a violation too.
     """
-    bad = collisions(df, keys, numeric, nullable)
+    absent = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+    coerced = df.select(*[coerce_key(k, numeric).alias(k) for k in keys], absent.alias("__null"))
+    if nullable:
+        coerced = coerced.dropna(subset=keys)
+    per = coerced.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if("__null").alias("__nulls"))  # read twice, shuffled once
+    bad = per.filter("n > 1")
     worst = bad.orderBy(F.desc("n"), *keys).limit(k).agg(F.concat_ws("; ", F.sort_array(F.collect_list(F.concat(F.lpad(F.col("n").cast("string"), 12, " "), F.lit(" x "), F.concat_ws(",", *keys))), asc=False)).alias("worst"))
-    total = bad.agg(F.count("*").alias("n"))
+    total = per.agg(F.count_if(F.col("n") > 1).alias("n"), F.coalesce(F.sum("__nulls"), F.lit(0)).alias("nulls"))
+    one = attach(total, worst)
     nulls = F.lit(0) if nullable else F.col("nulls")
-    missing = df.agg(F.count_if(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])).alias("nulls"))
-    one = attach(attach(total, worst), missing)
     return _report(one, f"unique {','.join(keys)}", (F.col("n") == 0) & (nulls == 0), F.col("worst"), F.col("n") + nulls)
 
 

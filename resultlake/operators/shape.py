@@ -172,14 +172,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def with_row_id(df: DataFrame, order: list[str], name: str = "row_id", parts: int = 64) -> DataFrame:
+def ranges(df: DataFrame) -> int:
+    """Ranges that an order is cut into: as many as the session's shuffles have partitions, 64 at least."""
+    return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def with_row_id(df: DataFrame, order: list[str], name: str = "row_id", parts: int | None = None) -> DataFrame:
     """Numbers from 0 in an order, without one task for all rows (P20).
 
     Rows are range-partitioned by the order; the sizes of the ranges, as many as partitions,
     give each range its start. The ranges come from a sample that differs from run to run,
     so they are written down before they are counted.
     """
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(parts or ranges(df), *order).sortWithinPartitions(*order)
     local = ranged.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()})
     local = checkpointed(local.withColumn("__at", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = local.groupBy("__part").agg(F.count("*").alias("__n"))

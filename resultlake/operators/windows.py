@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resultlake.functions.columns import clip
-from resultlake.operators.shape import checkpointed
+from resultlake.operators.shape import checkpointed, ranges
 
 
 def partition_median(df: DataFrame, by: list[str], column: str, name: str) -> DataFrame:
@@ -41,7 +41,7 @@ def avg_rank(by: list[str], column: str) -> Column:
     return F.rank().over(order) + (F.count("*").over(peers) - 1) / F.lit(2.0)
 
 
-def ranked(df: DataFrame, by: list[str], column: str, name: str, parts: int = 64) -> DataFrame:
+def ranked(df: DataFrame, by: list[str], column: str, name: str, parts: int | None = None) -> DataFrame:
     """``df`` with the mean rank of a column in its group, for groups of any size.
 
     Values are counted, dealt out by ranges of (group, value) and numbered in each range; the
@@ -49,7 +49,7 @@ def ranked(df: DataFrame, by: list[str], column: str, name: str, parts: int = 64
     task sorts a whole group. Null values have no rank.
     """
     values = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("__n"))
-    dealt = checkpointed(values.repartitionByRange(parts, *by, column).withColumn("__part", F.spark_partition_id()))
+    dealt = checkpointed(values.repartitionByRange(parts or ranges(df), *by, column).withColumn("__part", F.spark_partition_id()))
     here = Window.partitionBy(*by, "__part").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy(*by, "__part").agg(F.sum("__n").alias("__t")).withColumn("__start", F.coalesce(F.sum("__t").over(ahead), F.lit(0))).drop("__t")
@@ -83,9 +83,9 @@ def quantiles(df: DataFrame, by: list[str], column: str, at: list[float], name:
     return each.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias(name))
 
 
-def _numbered(counts: DataFrame, by: list[str], parts: int = 64) -> DataFrame:
+def _numbered(counts: DataFrame, by: list[str], parts: int | None = None) -> DataFrame:
     """``counts`` (by, __v, __n) with ``__start``, the rows of the group with smaller values."""
-    dealt = checkpointed(counts.repartitionByRange(parts, *by, "__v").withColumn("__part", F.spark_partition_id()))
+    dealt = checkpointed(counts.repartitionByRange(parts or ranges(counts), *by, "__v").withColumn("__part", F.spark_partition_id()))
     here = Window.partitionBy(*by, "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
     ahead = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy(*by, "__part").agg(F.sum("__n").alias("__t")).withColumn("__before", F.coalesce(F.sum("__t").over(ahead), F.lit(0)))

@@ -243,7 +243,7 @@ WITH m AS (SELECT 'l_quantity' AS measure, l_quantity AS v FROM lineitem UNION A
 SELECT measure, count(v) AS n, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, round(quantile_cont(v, 0.1), 4) AS p10, round(quantile_cont(v, 0.25), 4) AS p25, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.75), 4) AS p75, round(quantile_cont(v, 0.9), 4) AS p90 FROM m GROUP BY 1
 """)
 def distributions(t: Tables) -> DataFrame:
-    """Percentiles of several measures."""
+    """Percentiles of several measures."""
     return aggs.distributions(t("lineitem"), ["l_quantity", "l_discount", "l_extendedprice"]).withColumns({c: r6(c, 4) for c in ("mean", "std", "p10", "p25", "p50", "p75", "p90")})
 
 
@@ -758,7 +758,7 @@ def json_flatten(t: Tables) -> DataFrame:
 
 @query("SELECT o_orderkey::VARCHAR AS o_id, l_linenumber::VARCHAR AS id, l_partkey::VARCHAR AS part, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL")
 def order_documents(t: Tables) -> DataFrame:
-    """Nested documents back to lines with their parents' keys."""
+    """Nested documents back to lines with their parents' keys."""
     lines = t("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("id"), F.col("l_partkey").alias("part"))).alias("lines"))
     docs = t("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("id"), "lines")).alias("orders"))).alias("doc"))
     out = S.normalize_documents(docs, "doc", "orders array<struct<id:bigint,lines:array<struct<id:int,part:bigint>>>>", {"orders": ["orders"], "lines": ["orders", "lines"]}, {"orders": "o_id"})
@@ -778,7 +778,7 @@ WITH c AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1), e AS (SELECT
 SELECT child_id FROM e WHERE i % 2 = 0
 """)
 def expand(t: Tables) -> DataFrame:
-    """Child ids that are expected and not yet done."""
+    """Child ids that are expected and not yet done."""
     c = t("orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
     expected = S.expand_ids(c, "o_custkey", "n")
     done = expected.filter(F.split_part("child_id", F.lit("-"), F.lit(2)).cast("int") % 2 == 1)
@@ -817,7 +817,7 @@ def null_counts(t: Tables) -> DataFrame:
 
 @query("SELECT s_suppkey AS k, s_name AS name, NULL::INTEGER AS size FROM supplier UNION ALL SELECT p_partkey, p_name, p_size FROM part")
 def union_relaxed(t: Tables) -> DataFrame:
-    """Tables of different columns as one."""
+    """Tables of different columns as one."""
     return sets.union_relaxed([t("supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name")), t("part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), F.col("p_size").alias("size"))])
 
 
@@ -848,14 +848,14 @@ WITH l AS (SELECT *, max(ts::DATE) OVER (PARTITION BY user_id) AS last FROM even
 SELECT event_id, user_id, ts::DATE AS day FROM l WHERE ts::DATE = last AND ts::DATE > DATE '2024-01-05'
 """)
 def upsert(t: Tables) -> DataFrame:
-    """What upserts of daily batches leave, past a cutoff."""
+    """What upserts of daily batches leave, past a cutoff."""
     e = t("events").select("event_id", "user_id", F.to_date("ts").alias("day"))
     return I.replay(e, "user_id", "day", "day", "2024-01-05")
 
 
 @query("SELECT window_start AS window, n AS rows, last_date FROM (SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS window_start, count(*) AS n, max(o_orderdate::DATE) AS last_date FROM orders GROUP BY 1) WHERE window_start >= '1999-06-01'")
 def stale_windows(t: Tables) -> DataFrame:
-    """Windows that a manifest lacks or has with other counts."""
+    """Windows that a manifest lacks or has with other counts."""
     w = t("orders").groupBy(S.window_column("o_orderdate").alias("window")).agg(F.count("*").alias("rows"), F.max(F.to_date("o_orderdate")).alias("last_date"))
     return I.stale_windows(w, w.filter("window < '1999-06-01'"))
 
@@ -877,10 +877,15 @@ def backfill(t: Tables) -> DataFrame:
 # ---- fuzzy ------------------------------------------------------------------
 
 
-@query()
+@query("""
+WITH q AS (SELECT split_part(c_name, '#', 1) AS query FROM customer UNION SELECT reverse(p_name) FROM part), m AS (SELECT DISTINCT p_name AS match FROM part),
+s AS (SELECT query, match, 1.0::DOUBLE - levenshtein(lower(query), lower(match)) / greatest(length(query), length(match))::DOUBLE AS score FROM q, m)
+SELECT query, arg_min(match, (-score, match)) AS match, round(max(score), 6) AS score FROM s WHERE score >= 0.5 GROUP BY query
+""")
 def fuzzy_names(t: Tables) -> DataFrame:
-    """The nearest part name of each supplier's name, by 3-grams and edits."""
-    return fuzzy.fuzzy_join(t("customer").select(F.substring_index("c_name", "#", 1).alias("q")).unionByName(t("part").select(F.reverse("p_name").alias("q"))), t("part"), "q", "p_name", 0.5)
+    """The nearest part name of each name, by 3-grams and edits."""
+    out = fuzzy.fuzzy_join(t("customer").select(F.substring_index("c_name", "#", 1).alias("q")).unionByName(t("part").select(F.reverse("p_name").alias("q"))), t("part"), "q", "p_name", 0.5)
+    return out.withColumn("score", r6("score"))
 
 
 @query("SELECT l_orderkey, l_linenumber, upper(l_returnflag) || '!' AS shout, count(*) AS n FROM lineitem GROUP BY ALL")

@@ -87,7 +87,9 @@ def personalize(df: DataFrame, player) -> DataFrame:  # noqa: ANN001
     seat = F.coalesce(*[F.when(F.col(f"Player_ID_{s}") == F.lit(player), F.lit(s)) for s in "NESW"])
     mine = df.withColumn("__seat", seat).filter("__seat IS NOT NULL")
     partner = {"N": "S", "S": "N", "E": "W", "W": "E"}
-    context = mine.agg(F.min_by(F.struct(F.col("__seat").alias("seat"), F.col("section_id").alias("section"), F.when(F.col("__seat").isin("N", "S"), F.col("Pair_Number_NS")).otherwise(F.col("Pair_Number_EW")).alias("pair")), "Board").alias("me"))
+    pair = F.when(F.col("__seat").isin("N", "S"), F.col("Pair_Number_NS")).otherwise(F.col("Pair_Number_EW"))
+    own = F.struct(F.col("__seat").alias("seat"), F.col("section_id").alias("section"), pair.alias("pair"))
+    context = mine.agg(F.min_by(own, F.struct("Board", own)).alias("me"))  # of the first board
     out = shape.attach(df, context)
     side = F.when(F.col("me.seat").isin("N", "S"), "NS").otherwise("EW")
     pair = F.when(side == "NS", F.col("Pair_Number_NS")).otherwise(F.col("Pair_Number_EW"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -279,7 +278,3 @@ def expand_ids(df: DataFrame, key: str, n: str) -> DataFrame:
     """``id-1`` to ``id-n`` for each parent, each once."""
     some = df.filter(F.col(n) >= 1).select(F.col(key).cast("string").alias("__id"), F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias("__i"))
     return some.select(F.concat_ws("-", "__id", "__i").alias("child_id")).distinct()
-
-
-def union_tables(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -15,7 +15,6 @@ keeps ratings. No step goes through dates on the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -188,8 +187,3 @@ def follow(games: DataFrame, folder: str, k: float = K, init: float = INIT, prio
     rated = spark.read.parquet(f"{folder}/rated")
     last = F.max_by(F.struct("before", "after"), F.col("n_games")).alias("v")
     return rated.groupBy("date", "entity").agg(F.max("n_games").alias("n_games"), last).select("date", "entity", "n_games", "v.before", "v.after")
-
-
-def expected_score(rating: float, form: float, init: float = INIT) -> float:
-    """What an entity of a rating is expected to score against a side of a form."""
-    return 1 / (1 + math.pow(10, (float(strength(form, init)) - rating) / 400))

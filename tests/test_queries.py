@@ -6,7 +6,7 @@ import math
 import duckdb
 import pytest
 
-from resultlake.plans import game_queries, upkeep_queries  # noqa: F401  register their queries
+from resultlake.plans import game_queries, study_queries, upkeep_queries  # noqa: F401  register their queries
 from resultlake.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"

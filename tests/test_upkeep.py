@@ -260,6 +260,14 @@ def test_medians_and_quartiles(spark):
     assert empty.first()["anchor"] is None and empty.first()["n"] == 0
 
 
+def test_dependencies(spark):
+    from resultlake.operators.quality import check_dependency
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (2, "c")], "k int, v string")
+    assert tuple(check_dependency(df, ["k"], ["v"]).first())[1:] == (False, "", 1)
+    assert check_dependency(df.filter("k = 1"), ["k"], ["v"]).first()["passed"]
+
+
 # ---- ratings
 
 
