@@ -409,17 +409,22 @@ def model_rows(t: Tables) -> DataFrame:
 
 
 @query(f"""
-WITH {GAMES}, r AS (SELECT CAST(c_custkey % 30 AS STRING) AS Player_ID, c_custkey % 97 AS session_id, max(c_acctbal) AS rating FROM customer GROUP BY ALL)
-SELECT session_id, count(*) AS n, count(a.rating) AS known_n, round(sum(b.rating), 2) AS rating_w, count_if(Date < DATE '1998-01-01') AS train, count_if(Date >= DATE '1998-01-01') AS test
-FROM games LEFT JOIN r a USING (session_id) LEFT JOIN r b USING (session_id) WHERE a.Player_ID = Player_ID_N AND b.Player_ID = Player_ID_W GROUP BY ALL
+WITH {GAMES}, r AS (SELECT CAST(c_custkey % 30 AS STRING) AS Player_ID, c_custkey % 97 AS session_id, max(c_acctbal) AS rating FROM customer GROUP BY ALL),
+k AS (SELECT least(Player_ID_N, Player_ID_S) || '-' || greatest(Player_ID_N, Player_ID_S) AS pair, session_id, max(vul) + 1 AS pair_rating FROM games WHERE Player_ID_N <> Player_ID_S AND vul < 3 GROUP BY ALL)
+SELECT session_id, count(*) AS n, count(a.rating) AS known_n, round(sum(b.rating), 2) AS rating_w, count_if(Date < DATE '1998-01-01') AS train, count_if(Date >= DATE '1998-01-01') AS test, sum(c.pair_rating)::BIGINT AS pairs_ns, count(d.pair_rating) AS known_ew
+FROM games LEFT JOIN r a USING (session_id) LEFT JOIN r b USING (session_id)
+LEFT JOIN k c ON c.session_id = games.session_id AND Player_ID_N <> Player_ID_S AND c.pair = least(Player_ID_N, Player_ID_S) || '-' || greatest(Player_ID_N, Player_ID_S)
+LEFT JOIN k d ON d.session_id = games.session_id AND Player_ID_E <> Player_ID_W AND d.pair = least(Player_ID_E, Player_ID_W) || '-' || greatest(Player_ID_E, Player_ID_W)
+WHERE a.Player_ID = Player_ID_N AND b.Player_ID = Player_ID_W GROUP BY ALL
 """)
 def prediction_rows(t: Tables) -> DataFrame:
     """Model rows with ratings of seats and pairs, split by a cutoff."""
     players = t("customer").groupBy(F.expr("CAST(c_custkey % 30 AS STRING)").alias("Player_ID"), F.expr("c_custkey % 97").alias("session_id")).agg(F.max("c_acctbal").alias("rating"))
-    pairs = t("customer").selectExpr("'1-2' AS Pair_IDs", "c_custkey AS session_id", "c_acctbal AS pair_rating").filter("session_id < 0")
+    own = games(t).filter("vul < 3").select(X.pair_key("Player_ID_N", "Player_ID_S").alias("Pair_IDs"), "session_id", "vul").dropna()
+    pairs = own.groupBy("Pair_IDs", "session_id").agg((F.max("vul") + 1).alias("pair_rating"))
     out = R.prediction_table(games(t), players, pairs, "1998-01-01", [])
     out = out.filter("rating_N IS NOT NULL AND rating_W IS NOT NULL")
-    return out.groupBy("session_id").agg(F.count("*").alias("n"), F.count("rating_N").alias("known_n"), F.round(F.sum("rating_W"), 2).alias("rating_w"), F.count_if("is_train").alias("train"), F.count_if("is_test").alias("test"))
+    return out.groupBy("session_id").agg(F.count("*").alias("n"), F.count("rating_N").alias("known_n"), F.round(F.sum("rating_W"), 2).alias("rating_w"), F.count_if("is_train").alias("train"), F.count_if("is_test").alias("test"), F.sum("pair_rating_NS").cast("long").alias("pairs_ns"), F.count("pair_rating_EW").alias("known_ew"))
 
 
 # ---- questions -------------------------------------------------------------------
@@ -433,6 +438,18 @@ def clubs(t: Tables) -> DataFrame:
     return serve.club_list(derived(t("orders"), CLUBS))
 
 
+@query(f"""
+WITH e AS (SELECT {listed(CLUBS)} FROM orders), c AS (SELECT club_id, arg_max(club_name, (date, event_id)) AS club_name, count(DISTINCT event_id) AS events FROM e GROUP BY club_id),
+f AS (SELECT *, trim(regexp_replace(lower(club_name), '[^a-z0-9]+', ' ', 'g')) AS t, string_split(trim(regexp_replace(lower(club_name), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM c),
+p AS (SELECT *, list_append(list_transform(range(1, greatest(len(w) - 1, 1) + 1), lambda i: array_to_string(w[i:i + 1], ' ')), t) AS parts FROM f),
+s AS (SELECT club_id, club_name, events, list_max(list_transform(parts, lambda x: 1.0::DOUBLE - levenshtein(x, 'not specifed') / greatest(length(x), 12)::DOUBLE)) AS score FROM p)
+SELECT club_id, club_name, events, round(score, 6) AS score FROM s WHERE score >= 0.55
+""")
+def clubs_named(t: Tables) -> DataFrame:
+    """Clubs by a name that is nearly the one asked for."""
+    return serve.club_list(derived(t("orders"), CLUBS), "Not specifed").withColumn("score", r6("score"))
+
+
 @query(f"WITH e AS (SELECT {listed(CLUBS)} FROM orders) SELECT * FROM e WHERE club_id = 7 AND date BETWEEN DATE '1996-01-01' AND DATE '1999-06-30'")
 def games_of_club(t: Tables) -> DataFrame:
     """Games of a club within dates."""

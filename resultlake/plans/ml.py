@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from resultlake.functions.columns import clip, finite, row_mean_std
+from resultlake.operators.pick import seeded
 from resultlake.operators.shape import attach
 
 
@@ -50,10 +51,13 @@ def residual(df: DataFrame, y: str, base: str, name: str = "residual") -> DataFr
 
 
 def isotonic(df: DataFrame, key: str, y: str, pred: str, seed: int) -> DataFrame:
-    """The rows of a seeded half with the prediction recalibrated on the other half, within [0, 1]."""
-    half = df.withColumn("__h", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(2)))
-    model = IsotonicRegression(featuresCol=pred, labelCol=y, predictionCol="calibrated").fit(half.filter("__h = 0").select(F.col(pred).cast("double").alias(pred), F.col(y).cast("double").alias(y)))
-    out = model.transform(half.filter("__h = 1").withColumn(pred, F.col(pred).cast("double"))).drop("__h")
+    """The rows of a seeded half with the prediction recalibrated on the other half, within [0, 1].
+
+    The halves are those of the seeded order that samples are drawn by, so any engine can tell them.
+    """
+    half = df.withColumn("__h", F.substring(seeded([key], seed), 1, 1) < "8")
+    model = IsotonicRegression(featuresCol=pred, labelCol=y, predictionCol="calibrated").fit(half.filter("__h").select(F.col(pred).cast("double").alias(pred), F.col(y).cast("double").alias(y)))
+    out = model.transform(half.filter("NOT __h").withColumn(pred, F.col(pred).cast("double"))).drop("__h")
     return out.withColumn("calibrated", clip("calibrated", 0.0, 1.0))
 
 

@@ -206,3 +206,67 @@ def joint_choices(t: Tables) -> DataFrame:
     picked = ml.joint_pick(both, "l_suppkey", "a", "b")
     likely = both.select("l_suppkey", "b", F.explode("a").alias("choice", "p")).withColumn("s", F.log(F.greatest("p", F.lit(1e-12))) + 0.3 * F.log(F.greatest(F.coalesce(F.try_element_at("b", F.substring("choice", -1, 1)), F.lit(0.0)), F.lit(1e-12))))
     return picked.join(likely.groupBy("l_suppkey").agg(F.count_if(F.col("s") > -5).alias("n")), "l_suppkey").select("l_suppkey", r6("score").alias("score"), "n")
+
+
+@query("""
+WITH r AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_tax * 10 AS x, l_discount * 10 AS y FROM lineitem), h AS (SELECT *, substr(md5('4|' || id), 1, 1) < '8' AS fit FROM r),
+g AS (SELECT x, sum(y) AS s, count(*) AS n FROM h WHERE fit GROUP BY x),
+p AS (SELECT a.x AS lo, b.x AS hi, sum(c.s) / sum(c.n) AS mean FROM g a, g b, g c WHERE a.x <= b.x AND c.x BETWEEN a.x AND b.x GROUP BY ALL),
+m AS (SELECT g.x, lo, min(mean) AS least FROM g JOIN p ON lo <= g.x AND hi >= g.x GROUP BY ALL), i AS (SELECT x, greatest(0, least(1, max(least))) AS calibrated FROM m GROUP BY x)
+SELECT round(x, 4) AS x, count(*) AS n, round(max(calibrated), 6) AS calibrated FROM h JOIN i USING (x) WHERE NOT fit GROUP BY ALL
+""")
+def calibrated(t: Tables) -> DataFrame:
+    """A prediction recalibrated to rise with itself on one seeded half, given to the other."""
+    rows = t("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), (F.col("l_tax") * 10).alias("x"), (F.col("l_discount") * 10).alias("y"))
+    out = ml.isotonic(rows, "id", "y", "x", 4)
+    return out.groupBy(r6("x", 4).alias("x")).agg(F.count("*").alias("n"), r6(F.max("calibrated")).alias("calibrated"))
+
+
+@query("""
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem WHERE l_orderkey % 2 = 0)
+SELECT l_quantity, count(*) AS n, round(max(a + b * l_quantity), 3) AS prediction FROM lineitem, f WHERE l_orderkey % 2 = 1 GROUP BY l_quantity
+""")
+def trained_line(t: Tables) -> DataFrame:
+    """Predictions of a pipeline trained on other rows."""
+    line = t("lineitem").select("l_orderkey", "l_quantity", "l_extendedprice")
+    model = ml.train(line.filter("l_orderkey % 2 = 0"), "l_extendedprice", ["l_quantity"], "line", solver="normal")
+    out = model.transform(line.filter("l_orderkey % 2 = 1"))
+    return out.groupBy("l_quantity").agg(F.count("*").alias("n"), r6(F.max("prediction"), 3).alias("prediction"))
+
+
+@query("""
+WITH e AS (SELECT a, b, avg(pow(l_discount - a - b * l_quantity, 2)) AS metric FROM lineitem, (SELECT unnest([0.0, 0.03, 0.05, 0.08]) AS a), (SELECT unnest([0.01, 0.001, 0.0, -0.0005]) AS b) GROUP BY ALL),
+one AS (SELECT a FROM e WHERE b = 0.01 ORDER BY metric, a LIMIT 1), two AS (SELECT b FROM e WHERE a = (SELECT a FROM one) ORDER BY metric, b LIMIT 1),
+three AS (SELECT a FROM e WHERE b = (SELECT b FROM two) ORDER BY metric, a LIMIT 1)
+SELECT a::DOUBLE AS a, b::DOUBLE AS b, round(metric, 8) AS metric FROM e WHERE b = 0.01 OR a = (SELECT a FROM one) OR b = (SELECT b FROM two) OR a = (SELECT a FROM three)
+""")
+def swept_lines(t: Tables) -> DataFrame:
+    """The trials of a coordinate descent over a line's two coefficients; each trial is one aggregation."""
+    line = t("lineitem")
+    error = lambda p: line.agg(F.avg(F.pow(F.col("l_discount") - p["a"] - p["b"] * F.col("l_quantity"), F.lit(2.0)))).first()[0]
+    trials = ml.sweep(error, {"a": [0.0, 0.03, 0.05, 0.08], "b": [0.01, 0.001, 0.0, -0.0005]})
+    return line.sparkSession.createDataFrame([(x["a"], x["b"], x["metric"]) for x in trials], "a double, b double, metric double").withColumn("metric", r6("metric", 8))
+
+
+@query("SELECT l_suppkey, l_returnflag, round(regr_slope(l_discount, l_quantity), 8) AS slope, round(avg(l_discount), 8) AS mean FROM lineitem GROUP BY ALL")
+def group_models(t: Tables) -> DataFrame:
+    """numbers that a library's model gives for each group."""
+    import numpy as np
+
+    fit = lambda g: {"slope": np.polyfit(g["l_quantity"], g["l_discount"], 1)[0] if g["l_quantity"].nunique() > 1 else float("nan"), "mean": g["l_discount"].mean()}
+    out = ml.fit_per_group(t("lineitem").select("l_suppkey", "l_returnflag", "l_quantity", "l_discount"), ["l_suppkey", "l_returnflag"], fit, ["slope", "mean"])
+    return out.withColumns({c: r6(c, 8) for c in ("slope", "mean")})
+
+
+@query("""
+SELECT 'l_discount' AS "column", 'float' AS dtype, 'target' AS state, 'result' AS "group", count(l_discount) AS n, round(avg(l_discount), 6) AS mean, round(stddev_pop(l_discount), 6) AS std FROM lineitem
+UNION ALL SELECT 'l_extendedprice', 'float', 'pre', 'price', count(l_extendedprice), round(avg(l_extendedprice), 6), round(stddev_pop(l_extendedprice), 6) FROM lineitem
+UNION ALL SELECT 'l_tax', 'float', 'pre', 'price', count(l_tax), round(avg(l_tax), 6), round(stddev_pop(l_tax), 6) FROM lineitem
+""")
+def catalogued(t: Tables) -> DataFrame:
+    """A table's columns by rules, and the scale of those of some states."""
+    line = t("lineitem")
+    rules = [("l_(tax|extendedprice)", "float", "pre", "price"), ("l_discount", "float", "target", "result"), ("l_.*key|l_linenumber|l_quantity", "int", "key", "id"), ("l_(returnflag|linestatus|shipdate)", "text", "key", "id")]
+    catalog = R.feature_catalog(line.sparkSession, line.columns, rules)
+    scale = ml.fit_scaler(line, R.columns_of_states(catalog, ["pre", "target"]))
+    return catalog.join(scale.drop("missing"), "column").withColumns({c: r6(c) for c in ("mean", "std")})
