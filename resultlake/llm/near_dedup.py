@@ -7,8 +7,9 @@ its similarity reaches the threshold is below ``miss``; survivors are verified e
 their full shingle sets. A bucket never emits all its pairs: its members are first held
 against its most central member, then, with what that linked contracted to one component,
 members of smaller components are compared with the rest of the bucket in blocks. Where
-that would be much, as in a bucket of many unrelated sets, the bucket is first cut by bands
-of the hashes that the first bands leave over.
+that would be much, as in a bucket of many sets of one template, only members that share one
+of their rarest shingles are compared: sets that are similar enough must (prefix filter), so
+that loses no link, and what a template has in common is rare in none of them.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from resultlake.llm import batches as B
@@ -35,7 +36,7 @@ HASHES, ROWS, BANDS = 256, 5, 25
 BATCH = 32
 #: Buckets of up to so many members emit their pairs; larger ones are compared with a centre, then in blocks.
 SMALL = 6
-#: Members of a block of a large bucket; comparisons in a bucket from which on it is banded again.
+#: Members of a block of a large bucket; comparisons in a bucket from which on only members with a rare shingle in common are compared.
 BLOCK, WORK = 512, 1 << 20
 
 
@@ -161,19 +162,28 @@ def _stack(column: pa.Array) -> np.ndarray:
     return data.view(np.uint16).reshape(len(offsets) - 1, HASHES)
 
 
-def _cells(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each member of a bucket once for each band of the hashes after the first bands; a cell is a bucket in a bucket."""
-    for b in it:
-        rest = _stack(b.column("sig"))[:, ROWS * BANDS :]
-        n, bands = len(rest), rest.shape[1] // ROWS
-        key = b.column("key").to_numpy().view(np.uint64)
-        cell = np.empty((n, bands), np.uint64)
-        for j in range(bands):
-            cell[:, j] = W.mix(key + np.uint64(j + 1))
-            for r in range(ROWS):
-                cell[:, j] = W.mix(cell[:, j] * np.uint64(0x9E3779B97F4A7C15) + rest[:, j * ROWS + r].astype(np.uint64))
-        at = pa.array(np.repeat(np.arange(n), bands))
-        yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in ("key", "sid", "comp")), pa.array(cell.ravel().view(np.int64))], ["key", "sid", "comp", "cell"])
+def _shingle_rows(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, comp, size, shingle): a row for each shingle of a set."""
+    for b in B.pieces(it, "members"):
+        data, offsets = B.buffer(b.column("members"))
+        sizes = np.diff(offsets) // 8
+        at = pa.array(np.repeat(np.arange(b.num_rows), sizes))
+        yield pa.RecordBatch.from_arrays([b.column("sid").take(at), b.column("comp").take(at), pa.array(sizes).take(at), pa.array(data.view(np.int64))], ["sid", "comp", "size", "shingle"])
+
+
+def prefix_cells(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, sid, comp, cell): sets (sid, comp) once for each of their rarest shingles that others have too; ``key`` is 0.
+
+    Of two sets with 100 * common >= percent * united each has at least ceil(percent / 100 *
+    size) shingles in the other. So with shingles in one order, here from the rarest on,
+    the first size - ceil(...) + 1 of each have one in common.
+    """
+    rows = stored(some.join(sets, "sid").mapInArrow(_shingle_rows, "sid binary, comp binary, size long, shingle long"), "shingles")
+    counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle-counts")
+    rows = facts_join(rows, counts.select("shingle", F.col("n").alias("of")), ["shingle"], counts)
+    nth = F.row_number().over(Window.partitionBy("sid").orderBy("of", "shingle"))
+    first = rows.withColumn("nth", nth).filter(F.col("nth") <= F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1)
+    return first.filter("of > 1").select(F.lit(0).cast("long").alias("key"), "sid", "comp", F.xxhash64(F.lit("rare"), "shingle").alias("cell"))
 
 
 def _prune(least: np.ndarray):
@@ -186,7 +196,7 @@ def _prune(least: np.ndarray):
 
 def _block_pairs(least: np.ndarray):
     def found(run: pa.Table) -> pa.Table:
-        """Pairs of different components that no batch drops, in the first band that the two share."""
+        """Pairs of different components that no batch drops, in the first band that the two share; a key of 0 is none."""
         sig = np.frombuffer(b"".join(run["sig"].to_pylist()), np.uint16).reshape(len(run), HASHES)
         bands = run["bands"].combine_chunks().flatten().to_numpy().reshape(len(run), BANDS)
         key = run["key"].to_numpy()
@@ -198,7 +208,7 @@ def _block_pairs(least: np.ndarray):
             other = right[comp[right] != comp[i]]
             other = other[survivors(np.broadcast_to(sig[i], (len(other), HASHES)), sig[other], least)]
             shared = bands[other] == bands[i]
-            other = other[bands[other, shared.argmax(1)] == key[i]]
+            other = other[(key[i] == 0) | (bands[other, shared.argmax(1)] == key[i])]
             one.append(np.full(len(other), i))
             two.append(other)
         sid = run["sid"].combine_chunks()
@@ -286,7 +296,7 @@ def near_dedup(docs: DataFrame, percent: int = 80, miss: float = 1e-4, width: in
     links = stored(verified(first), "links")
     label = components(links)
     if not large.isEmpty():
-        links = links.unionByName(stored(verified(pruned_blocks(large, classes.select("sid", "sig", "bands"), label, least)), "links"))
+        links = links.unionByName(stored(verified(pruned_blocks(large, classes.select("sid", "sig", "bands"), label, least, sets, percent)), "links"))
         label = components(links)
 
     named = classes.select("sid", "first_id", *(["first_row"] if row_col else [])).join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
@@ -312,13 +322,13 @@ def mixed(m: DataFrame, by: str) -> DataFrame:
     return top.select(by, F.col("top.comp").alias("main"), "comps", "size", (F.col("size") - F.col("top.n")).alias("minor"))
 
 
-def pruned_blocks(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.ndarray) -> DataFrame:
+def pruned_blocks(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.ndarray, sets: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of large buckets whose members' components differ.
 
     In each bucket the members outside its largest component are compared with all members,
-    block by block; a bucket of one component needs nothing. A bucket in which that is more
-    than ``WORK`` comparisons is cut into cells by 26 further bands; two sets of similarity
-    0.8 have a cell in common but for a chance of 3e-5, unrelated ones hardly ever.
+    block by block; a bucket of one component needs nothing. The members of buckets in which
+    that is more than ``WORK`` comparisons are compared where they have a rare shingle in
+    common (:func:`prefix_cells`), in whatever bucket.
     """
     m = stored(large.join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "labelled")
     buckets = stored(mixed(m, "key"), "buckets")
@@ -326,8 +336,8 @@ def pruned_blocks(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.
     heavy = buckets.filter(F.col("minor") * F.col("size") > WORK).select("key", F.col("size").alias("n"))
     cells = m.join(light, "key", "left_semi").select("key", "sid", "comp", F.col("key").alias("cell"))
     if not heavy.isEmpty():
-        again = facts_join(m, heavy.select("key"), ["key"], heavy).join(sig.select("sid", "sig"), "sid").select("key", "sid", "comp", "sig")
-        cells = cells.unionByName(again.mapInArrow(_cells, "key long, sid binary, comp binary, cell long"))
+        again = facts_join(m, heavy.select("key"), ["key"], heavy).select("sid", "comp").distinct()
+        cells = cells.unionByName(prefix_cells(again, sets, percent))
     cells = stored(cells, "cells")
     top = stored(mixed(cells, "cell"), "tops")
     m = facts_join(cells, top.select("cell", "main", "size"), ["cell"], top.select("cell", F.col("size").alias("n"))).withColumn("minor", F.col("comp") != F.col("main"))
