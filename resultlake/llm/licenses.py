@@ -55,10 +55,25 @@ COMMONS = {"by": "", "by nc": " noncommercial", "by sa": " sharealike", "by nd":
 COMMONS_VERSIONS = {"4 0": " international", "3 0": " unported", "2 5": " generic", "2 0": " generic"}
 GNU = {"gpl": ("general public license", ("2", "3")), "lgpl": ("lesser general public license", ("2 1", "3")), "agpl": ("affero general public license", ("3",))}
 
+#: Short notices of further licenses, and identifiers that a tag of a source file may name.
+SHORT = {
+    "cc0 1 0 universal": "cc0-1.0",
+    "has waived all copyright and related or neighboring rights to": "cc0-1.0",
+    "boost software license version 1 0": "bsl-1.0",
+    "eclipse public license v 1 0": "epl-1.0",
+    "eclipse public license v1 0": "epl-1.0",
+    "eclipse public license version 1 0": "epl-1.0",
+    "eclipse public license v 2 0": "epl-2.0",
+    "eclipse public license v2 0": "epl-2.0",
+    "eclipse public license version 2 0": "epl-2.0",
+}
+TAG = "spdx license identifier"
+IDENTIFIERS = "apache-2.0 mit isc zlib unlicense bsd-2-clause bsd-3-clause mpl-2.0 gpl-2.0 gpl-3.0 lgpl-2.1 lgpl-3.0 agpl-3.0 cc0-1.0 bsl-1.0 epl-1.0 epl-2.0 cc-by-4.0 cc-by-sa-4.0".split()
+
 
 def license_texts() -> dict[str, str]:
     """The public texts that are looked for, with their labels."""
-    out = dict(NOTICES)
+    out = NOTICES | SHORT | {f"{TAG} {i.replace('-', ' ').replace('.', ' ')}": i for i in IDENTIFIERS}
     out[f"{BSD_HEAD.format('1', '2')} {BSD_TAIL}"] = out[f"{BSD_HEAD.format('', '')} {BSD_TAIL}"] = "bsd-2-clause"
     out[f"{BSD_HEAD.format('1', '2')} 3 {BSD_NAMES} {BSD_TAIL}"] = out[f"{BSD_HEAD.format('', '')} {BSD_NAMES} {BSD_TAIL}"] = "bsd-3-clause"
     for code, words in COMMONS.items():

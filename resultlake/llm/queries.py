@@ -33,6 +33,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Media of the bytes of each text and what is read back from them.
+
+    Null texts count as empty, of which 64 bytes are stored; equal texts have equal values;
+    repeated rows have a row each; an empty table gives an empty result; other columns are ignored.
+    """
     return describe(encode_media(_read(spark, sf_dir, "documents")))
 
 
@@ -56,14 +61,30 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of each page.
+
+    Null and empty pages have an empty text; repeated rows have a row each; an empty table
+    gives an empty result; other columns are ignored.
+    """
     return extract(_read(spark, sf_dir, "pages"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document.
+
+    Null texts have no words and are taken with 0; a null source is one, the last; repeated
+    rows have a row each; an empty table gives an empty result; other columns are ignored.
+    """
     return mix(_read(spark, sf_dir, "documents")).drop("repeats")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents from 85 percent of common shingles on.
+
+    Null and empty texts stand alone; repeated rows are linked; a null doc_id is a
+    component's id only where it stands alone; an empty table gives an empty result; other
+    columns are ignored.
+    """
     return near_dedup(_read(spark, sf_dir, "documents"), percent=85)
 
 
@@ -91,14 +112,29 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of each document, learned from the labelled rows that are not held out.
+
+    Null and empty texts have the score of a text without hits; repeated rows have a row
+    each; an empty table gives an empty result; other columns are ignored.
+    """
     return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays of each group of equal texts.
+
+    Null texts count as empty; repeated rows are marked alike; a null doc_id stays only in a
+    group without another; an empty table gives an empty result; other columns are ignored.
+    """
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and labels of licenses in each text.
+
+    Null texts count as empty, without words and labels; repeated rows have a row each; an
+    empty table gives an empty result; other columns are ignored.
+    """
     return summary(license_spans(_read(spark, sf_dir, "documents")))
 
 

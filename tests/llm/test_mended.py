@@ -88,3 +88,62 @@ def test_flags_are_counted_by_text():
     flags = np.array([1, 0, 1, 1, 0, 1], bool)
     assert exact_dedup.counted(flags, np.array([0, 0, 3, 3, 6, 6])).tolist() == [0, 2, 0, 2, 0]
     assert exact_dedup.counted(np.zeros(0, bool), np.array([0, 0])).tolist() == [0] and len(pa.array([])) == 0
+
+
+def family(n, seed=1):
+    """Texts of one template: 60 common words and 12 of their own, none linked with another."""
+    rng = random.Random(seed)
+    common = [f"c{i}" for i in range(60)]
+    return [(i, " ".join(common + [f"x{rng.randrange(10**9)}" for _ in range(12)])) for i in range(n)]
+
+
+def test_a_template_is_no_square_of_its_texts(spark, monkeypatch):
+    """Texts of one template are compared only where a rare shingle is common to them."""
+    from resultlake.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "WORK", 1 << 10)
+    compared = []
+    was = near_dedup.prefix_cells
+
+    def counted_cells(*a):
+        out = was(*a)
+        compared.append(out.groupBy("cell").count().filter("count > 1").count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "prefix_cells", counted_cells)
+    rows = family(400)
+    rows += [(1000 + i, t.replace("c3 ", "")) for i, t in rows[:20]]  # linked with the first ones
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+    assert compared and compared[0] < 1_000
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_prefixes_keep_every_link(spark, percent):
+    """Sets that are similar enough have a cell in common, whatever they are."""
+    from resultlake.llm import near_dedup
+
+    rng = random.Random(percent)
+    sets = []
+    for _ in range(40):
+        base = rng.sample(range(300), rng.randint(1, 60))
+        for _ in range(3):
+            sets.append(sorted(set(base) - set(rng.sample(base, rng.randint(0, len(base) // 8))) | set(rng.sample(range(300), rng.randint(0, len(base) // 8)))) or [1])
+    rows = [(str(i).encode(), str(i).encode(), np.array(x, np.uint64).tobytes()) for i, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "sid binary, comp binary, members binary")
+    cells = {}
+    for r in near_dedup.prefix_cells(df.select("sid", "comp"), df.select("sid", "members"), percent).collect():
+        cells.setdefault(int(bytes(r["sid"])), set()).add(r["cell"])
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            common = len(set(x) & set(y))
+            if 100 * common >= percent * (len(x) + len(y) - common):
+                assert cells.get(i, set()) & cells.get(j, set())
+
+
+def test_tags_and_short_notices(spark):
+    from resultlake.llm.licenses import license_spans, summary
+
+    texts = ["CC0 1.0 Universal", "// SPDX-License-Identifier: BSD-3-Clause", "Boost Software License, Version 1.0", "Eclipse Public License v2.0", "SPDX-License-Identifier: MIT", "identifier of an spdx license", "a universal cc0"]
+    got = {r["doc_id"]: r["labels"] for r in summary(license_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
+    assert [got[i] for i in range(len(texts))] == ["cc0-1.0", "bsd-3-clause", "bsl-1.0", "epl-2.0", "mit", "", ""]
