@@ -172,18 +172,26 @@ def _shingle_rows(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefix_cells(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(key, sid, comp, cell): sets (sid, comp) once for each of their rarest shingles that others have too; ``key`` is 0.
-
-    Of two sets with 100 * common >= percent * united each has at least ceil(percent / 100 *
-    size) shingles in the other. So with shingles in one order, here from the rarest on,
-    the first size - ceil(...) + 1 of each have one in common.
+    """(key, sid, comp, cell): sets (sid, comp) once for each of their rarest shingles that may show a link; ``key`` is 0.
+
+    Two sets with 100 * common >= percent * united have so many shingles in common that, in
+    one order of shingles, here from the rarest on, the first few of each have one in
+    common. For the larger set these are what is left of its size less percent of it, and
+    one; for the smaller one fewer, as it must lie in the larger one with more of its own
+    (2 * percent of 100 + percent). Cells without a set that comes as the smaller one are
+    left out: that are those of what a template has in common.
     """
     rows = stored(some.join(sets, "sid").mapInArrow(_shingle_rows, "sid binary, comp binary, size long, shingle long"), "shingles")
     counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle-counts")
     rows = facts_join(rows, counts.select("shingle", F.col("n").alias("of")), ["shingle"], counts)
     nth = F.row_number().over(Window.partitionBy("sid").orderBy("of", "shingle"))
-    first = rows.withColumn("nth", nth).filter(F.col("nth") <= F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1)
-    return first.filter("of > 1").select(F.lit(0).cast("long").alias("key"), "sid", "comp", F.xxhash64(F.lit("rare"), "shingle").alias("cell"))
+    larger = F.expr(f"size - (size * {percent} + 99) div 100 + 1")
+    smaller = F.expr(f"size - (size * {2 * percent} + {99 + percent}) div {100 + percent} + 1")
+    first = rows.withColumn("nth", nth).filter(F.col("nth") <= larger).filter("of > 1")
+    first = stored(first.select("sid", "comp", "shingle", (F.col("nth") <= smaller).alias("as_smaller")), "prefixes")
+    wanted = first.filter("as_smaller").groupBy("shingle").agg(F.count("*").alias("n"))
+    first = facts_join(first, wanted.select("shingle"), ["shingle"], stored(first.groupBy("shingle").agg(F.count("*").alias("n")), "prefix-counts"))
+    return first.select(F.lit(0).cast("long").alias("key"), "sid", "comp", F.xxhash64(F.lit("rare"), "shingle").alias("cell"))
 
 
 def _prune(least: np.ndarray):
