@@ -617,7 +617,7 @@ def scalers(t: Tables) -> DataFrame:
     return ml.fit_scaler(df, ["l_quantity", "l_tax"]).select(F.col("column").alias("name"), "n", "missing", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
-@query("SELECT round(regr_slope(l_extendedprice, l_quantity), 2) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept, round(avg(l_extendedprice - regr), 2) AS rest FROM (SELECT *, regr_intercept(l_extendedprice, l_quantity) OVER () + l_quantity * regr_slope(l_extendedprice, l_quantity) OVER () AS regr FROM lineitem)")
+@query("SELECT round(regr_slope(l_extendedprice, l_quantity), 2) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept, abs(round(avg(l_extendedprice - regr), 2)) AS rest FROM (SELECT *, regr_intercept(l_extendedprice, l_quantity) OVER () + l_quantity * regr_slope(l_extendedprice, l_quantity) OVER () AS regr FROM lineitem)")
 def line_model(t: Tables) -> DataFrame:
     """A line by Spark ML with hardly any penalty, and what it leaves."""
     line = t("lineitem").select("l_quantity", "l_extendedprice")
