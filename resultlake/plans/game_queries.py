@@ -500,14 +500,21 @@ NORMAL_SQL = "ks AS (SELECT k FROM range(10) t(k)), ms AS (SELECT m FROM range(2
 
 
 def normal(t: Tables) -> dict[str, DataFrame]:
-    """The normalized tables of a game, by the column expressions of ``NORMAL``."""
+    """The normalized tables of a game, by the column expressions of ``NORMAL``.
+
+    Rows are multiplied by a join with numbers, as in the SQL: its estimated size is the product
+    of both. An exploded array would leave the tables as small as customers in Spark's
+    estimate, and they would be broadcast at any size. Customers, a small file, are dealt
+    before they are multiplied, else one task would hold all that they become.
+    """
     out = {}
+    numbers = lambda n, name: t("customer").sparkSession.range(n).withColumnRenamed("id", name)
     for name, sql in NORMAL.items():
         head, source = sql.split(" FROM ", 1)
         if name == "pair_summaries":
-            df = t("customer").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9))))
+            df = t("customer").repartition(shape.ranges(t("customer")), "c_custkey").crossJoin(numbers(10, "k"))
         elif name == "players":
-            df = out["pair_summaries"].withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(1)))).filter("m = 0 OR pair_summary_id % 5 > 0")
+            df = out["pair_summaries"].crossJoin(numbers(2, "m")).filter("m = 0 OR pair_summary_id % 5 > 0")
             head = head.replace("p.", "")
         else:
             df = t(source)
