@@ -101,14 +101,17 @@ def personalize(df: DataFrame, player) -> DataFrame:  # noqa: ANN001
     return out.withColumns({k: F.coalesce(v, F.lit(False)) for k, v in flags.items()}).drop("me")
 
 
-def boards(df: DataFrame, columns: list[str], own_only: bool = False, limit: int = 200) -> tuple[DataFrame, list[str]]:
-    """(rows, missing): chosen columns, fractions as percentages, capped with a flag; names that are not columns are told."""
+def boards(df: DataFrame, columns: list[str], own_only: bool = False, limit: int | None = 200) -> tuple[DataFrame, list[str]]:
+    """(rows, missing): chosen columns, fractions as percentages, capped with a flag; names that are not columns are told.
+
+    Without a limit all rows are returned, and the flag is false.
+    """
     missing = [c for c in columns if c not in df.columns]
     some = df.filter("Boards_I_Played") if own_only else df
     out = some.select(*[c for c in columns if c in df.columns])
     percent = [c for c in out.columns if c.lower().startswith("pct")]
     out = shape.scale_percent(out, percent) if percent else out
-    return pick.capped(out, limit)[0], missing
+    return (out.withColumn("truncated", F.lit(False)) if limit is None else pick.capped(out, limit)[0]), missing
 
 
 def sql_self(df: DataFrame, sql: str, context: dict[str, str] | None = None, limit: int = 200) -> DataFrame:

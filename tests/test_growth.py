@@ -36,3 +36,10 @@ def test_multiplied_tables_are_not_broadcast(spark, tables, make):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert "SortMergeJoin" in plan and not re.findall(r"BroadcastHashJoin \[[^\]]*(?:pair_summary_id|_pair)#", plan)
+
+
+
+def test_all_boards_without_a_limit(spark):
+    df = spark.range(2500).select(F.lit(True).alias("Boards_I_Played"), F.col("id").alias("Board"), (F.col("id") / 2500).alias("Pct_NS"))
+    rows, _ = serve.boards(df, ["Board", "Pct_NS"], own_only=True, limit=None)
+    assert rows.agg(F.count("*"), F.count_if("truncated"), F.count_distinct("Board")).first()[:] == (2500, 0, 2500)
