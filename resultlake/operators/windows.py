@@ -46,8 +46,10 @@ def ranked(df: DataFrame, by: list[str], column: str, name: str, parts: int | No
 
     Values are counted, dealt out by ranges of (group, value) and numbered in each range; the
     totals of a group's ranges, as many as there are ranges, give each range its start. No
-    task sorts a whole group. Null values have no rank.
+    task sorts a whole group. Null values have no rank. The rows are written down first:
+    computed again, a mean may differ in its last place and would miss its own rank.
     """
+    df = checkpointed(df)
     values = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("__n"))
     dealt = checkpointed(values.repartitionByRange(parts or ranges(df), *by, column).withColumn("__part", F.spark_partition_id()))
     here = Window.partitionBy(*by, "__part").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)

@@ -261,6 +261,7 @@ def pair_sessions(df: DataFrame, section: list[str], ns: str, ew: str, actual: s
 def rank_quality(pairs: DataFrame, section: list[str], pred: str, least: int = 4) -> DataFrame:
     """Rank correlation of predicted and actual means in each section and direction with enough pairs (C20)."""
     by = [*section, "direction"]
+    pairs = shape.checkpointed(pairs)  # means are computed once
     big = pairs.join(aggs.having(pairs, by, least).drop("n"), by, "left_semi")
     return aggs.spearman(big, by, pred, "actual", small_groups=False)
 

@@ -1,10 +1,12 @@
 """What grows with the tables: broadcasts, cuts, shuffles and the memory of a task."""
 
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from resultlake.operators import windows
 from resultlake.plans import game_queries, serve, study_queries, upkeep_queries  # noqa: F401  register their queries
 from resultlake.plans import reports as R
 from resultlake.sources.tables import read_table
@@ -43,3 +45,10 @@ def test_all_boards_without_a_limit(spark):
     df = spark.range(2500).select(F.lit(True).alias("Boards_I_Played"), F.col("id").alias("Board"), (F.col("id") / 2500).alias("Pct_NS"))
     rows, _ = serve.boards(df, ["Board", "Pct_NS"], own_only=True, limit=None)
     assert rows.agg(F.count("*"), F.count_if("truncated"), F.count_distinct("Board")).first()[:] == (2500, 0, 2500)
+
+
+def test_ranks_of_values_that_differ_when_computed_again(spark):
+    drawn = F.udf(lambda i: random.random(), "double").asNondeterministic()
+    df = spark.range(200).select((F.col("id") % 2).alias("g"), drawn("id").alias("v"))
+    ranks = windows.ranked(df, ["g"], "v", "r").collect()
+    assert sorted(r["r"] for r in ranks) == sorted(2 * [i + 1.0 for i in range(100)])
