@@ -4,9 +4,10 @@ Texts with equal shingle sets form one class, so copies cost one row each and no
 Classes that share a band of their signatures are candidates. Signatures of a candidate
 pair are compared batch by batch; the pair is dropped as soon as the posterior chance that
 its similarity reaches the threshold is below ``miss``; survivors are verified exactly on
-their full shingle sets. A bucket never emits all its pairs: its members are first held
-against its most central member, then, with what that linked contracted to one component,
-members of smaller components are compared with the rest of the bucket in blocks. Where
+their full shingle sets. A bucket never emits all its pairs: a class is first held
+against the most central member of its largest bucket; with what that linked contracted to
+one component, members of other components than their centre's are held against it, and
+those of smaller components are compared with the rest of the bucket in blocks. Where
 that would be much, as in a bucket of many sets of one template, only members that share one
 of their rarest shingles are compared: sets that are similar enough must (prefix filter), so
 that loses no link, and what a template has in common is rare in none of them.
@@ -278,10 +279,10 @@ def near_dedup(docs: DataFrame, percent: int = 80, miss: float = 1e-4, width: in
     member = stored(facts_join(member, sizes.select("key", F.col("n").alias("size")), ["key"], sizes), "members")
     mass = member.groupBy("sid").agg(F.sum("size").alias("mass"))
     centre = member.join(mass, "sid").groupBy("key").agg(F.max(F.struct("mass", "sid"))["sid"].alias("centre"))
-    near = facts_join(member, centre, ["key"], sizes).filter("sid != centre").select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b"))
-    small = member.filter(F.col("size").between(3, SMALL)).groupBy("key").agg(F.array_sort(F.collect_list("sid")).alias("m"))
-    small = small.select("m", F.posexplode("m").alias("at", "a")).select("a", F.explode(F.slice("m", F.col("at") + 2, F.lit(SMALL))).alias("b"))
-    pairs = near.unionByName(small).groupBy("a", "b").agg(F.count("*").alias("shared"))
+    held = stored(facts_join(member, centre, ["key"], sizes), "held")
+    # each class is compared with the centre of its largest bucket first
+    nearest = held.filter("sid != centre").groupBy("sid").agg(F.max(F.struct("size", "key", "centre"))["centre"].alias("centre"))
+    pairs = nearest.select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")).distinct()
 
     sig = classes.select("sid", "sig")
 
@@ -291,11 +292,15 @@ def near_dedup(docs: DataFrame, percent: int = 80, miss: float = 1e-4, width: in
 
     first = stored(pruned(pairs), "candidates")
     large = stored(member.filter(F.col("size") > SMALL).select("key", "sid"), "large")
-    wanted = first.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(large.select("sid")).distinct()
-    ids = classes.join(wanted, "sid", "left_semi").select(F.col("first_id").alias("id")).distinct()
-    # where a doc_id repeats, each of its texts gives the set of its own class
-    texts = text.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("text")
-    sets = stored(texts.mapInArrow(_sets(width), "sid binary, members binary").groupBy("sid").agg(F.any_value("members").alias("members")), "sets")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        ids = classes.join(wanted.select("sid").distinct(), "sid", "left_semi").select(F.col("first_id").alias("id")).distinct()
+        # where a doc_id repeats, each of its texts gives the set of its own class
+        texts = text.join(ids, F.col("doc_id").eqNullSafe(F.col("id"))).select("text")
+        return texts.mapInArrow(_sets(width), "sid binary, members binary").groupBy("sid").agg(F.any_value("members").alias("members"))
+
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("sid"))
+    sets = stored(sets_of(ends(first).unionByName(large.select("sid"))), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("sid").alias("a"), F.col("members").alias("members_a")), "a").join(sets.select(F.col("sid").alias("b"), F.col("members").alias("members_b")), "b")
@@ -303,6 +308,11 @@ def near_dedup(docs: DataFrame, percent: int = 80, miss: float = 1e-4, width: in
 
     links = stored(verified(first), "links")
     label = components(links)
+    rest = stored(pruned(apart(held, label)), "candidates")
+    if not rest.isEmpty():
+        sets = sets.unionByName(stored(sets_of(ends(rest)).join(sets, "sid", "left_anti"), "sets"))
+        links = links.unionByName(stored(verified(rest), "links"))
+        label = components(links)
     if not large.isEmpty():
         links = links.unionByName(stored(verified(pruned_blocks(large, classes.select("sid", "sig", "bands"), label, least, sets, percent)), "links"))
         label = components(links)
@@ -323,6 +333,23 @@ def least_row(id_col: str, row_col: str | None) -> list[Column]:
     return [F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row_col).alias("row"))).alias("first_row")] if row_col else []
 
 
+def apart(held: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components: members of a bucket with its centre, and all pairs of small buckets.
+
+    ``held``: key, sid, size, centre. Components are told to the members of buckets, before
+    there are pairs, so that a group which its centre has linked makes none.
+    """
+    m = stored(held.join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "labelled")
+    own = m.groupBy("key").agg(F.max(F.when(F.col("sid") == F.col("centre"), F.col("comp"))).alias("of"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    own = stored(own.filter("lo != hi").select("key", "of"), "mixed")
+    some = m.join(own, "key")
+    near = some.filter("comp != of").select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b"))
+    small = some.filter(F.col("size").between(3, SMALL)).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("sid", "comp"))).alias("m"))
+    small = small.select("m", F.posexplode("m").alias("at", "x")).select("x", F.explode(F.slice("m", F.col("at") + 2, F.lit(SMALL))).alias("y"))
+    small = small.filter("x.comp != y.comp").select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+    return near.unionByName(small).distinct()
+
+
 def mixed(m: DataFrame, by: str) -> DataFrame:
     """(by, main, comps, size, minor) of buckets with several components: the largest, their number, members, members outside the largest."""
     parts = m.groupBy(by, "comp").agg(F.count("*").alias("n"))
