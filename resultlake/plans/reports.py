@@ -47,12 +47,15 @@ def clean_paired_results(rows: DataFrame, sessions: DataFrame, history: DataFram
     """
     ids = X.pad2(X.id_list("pair_acbl"))
     own = rows.select("session_id", "section_id", "board_number", "orientation", "pair_number", "opponent_pair_number", "contract", "declarer", "score", "percentage", X.at(ids, 0).alias("player_1"), X.at(ids, 1).alias("player_2"))
-    both = joins.pair_views(own, ["session_id", "section_id", "board_number"], ("pair_number", "opponent_pair_number")).filter("orientation_ns = 'N-S' AND orientation_ew = 'E-W'")
-    both = both.withColumn("event_id", X.id_prefix("session_id"))
+    # what is looked up goes to the rows before they are paired, as a board's pairs grow with the square of its rows
     newest = aggs.latest(history, ["player_number"], ["date", "session_id"], ["player_name", "mp_total"])
-    roles = {f"{p}_{s}": f"player_{p}_{s}" for p in (1, 2) for s in ("ns", "ew")}
-    both = both.join(sessions, "session_id", "left")
-    return joins.join_roles(both, newest, "player_number", roles, ["player_name", "mp_total"])
+    own = joins.join_roles(own, newest, "player_number", {"1": "player_1", "2": "player_2"}, ["player_name", "mp_total"])
+    more = [c for c in sessions.columns if c != "session_id"]
+    of = sessions.select(F.col("session_id").alias("__session"), F.struct(F.lit(True).alias("__known"), *more).alias("__s"))
+    own = own.join(of, (F.col("session_id") == F.col("__session")) & (F.col("orientation") == "N-S"), "left").drop("__session")
+    both = joins.pair_views(own, ["session_id", "section_id", "board_number"], ("pair_number", "opponent_pair_number")).filter("orientation_ns = 'N-S' AND orientation_ew = 'E-W'")
+    both = both.withColumns({"event_id": X.id_prefix("session_id")} | {c: F.col(f"__s_ns.{c}") for c in more})
+    return both.drop("__s_ns", "__s_ew")
 
 
 def clean_deals(df: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from resultlake.operators import windows
 from resultlake.plans import game_queries, serve, study_queries, upkeep_queries  # noqa: F401  register their queries
 from resultlake.plans import reports as R
+from resultlake.plans.queries import QUERIES
+from resultlake.sources import tables as tables_of
 from resultlake.sources.tables import read_table
 
 SF = "/root/testdata/sf0.001"
@@ -52,3 +54,14 @@ def test_ranks_of_values_that_differ_when_computed_again(spark):
     df = spark.range(200).select((F.col("id") % 2).alias("g"), drawn("id").alias("v"))
     ranks = windows.ranked(df, ["g"], "v", "r").collect()
     assert sorted(r["r"] for r in ranks) == sorted(2 * [i + 1.0 for i in range(100)])
+
+
+def test_paired_results_are_not_shuffled(spark):
+    """Nothing but the rows themselves goes through an exchange: no join lies above that of the pairs."""
+    rows = spark.createDataFrame([("e-1", "A", 1, "N-S", 1, 2, "[1, 2]", "3N", "N", "400", 0.5), ("e-1", "A", 1, "E-W", 2, 1, "[3]", "3N", "N", "400", 0.5)], "session_id string, section_id string, board_number int, orientation string, pair_number int, opponent_pair_number int, pair_acbl string, contract string, declarer string, score string, percentage double")
+    sessions = spark.createDataFrame([("e-1", "x")], "session_id string, kind string")
+    people = spark.createDataFrame([("1", "2024-01-01", "s", "Ann", 5.0), ("3", "2024-01-01", "s", "Bob", 6.0)], "player_number string, date string, session_id string, player_name string, mp_total double")
+    out = R.clean_paired_results(rows, sessions, people)
+    assert out.select("event_id", "kind", "player_name_1_ns", "player_name_2_ns", "player_name_1_ew", "mp_total_1_ew").collect()[0][:] == ("e", "x", "Ann", None, "Bob", 6.0)
+    joins = [line for line in plan_of(out).splitlines() if "Join" in line]
+    assert "Inner" in joins[0]
