@@ -94,7 +94,8 @@ def synced_documents(t: Tables) -> DataFrame:
     spark = t("orders").sparkSession
     lines = t("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("id"), F.col("l_partkey").alias("part"))).alias("lines"))
     own = t("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).withColumn("file", F.col("o_orderkey") % 64)
-    docs = own.groupBy("file").agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), "lines")).alias("orders"))).alias("doc"))
+    # a document holds 8,192 orders at most, whatever the table's size
+    docs = own.groupBy("file", F.floor(F.col("o_orderkey") / (64 * 8192)).alias("block")).agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), "lines")).alias("orders"))).alias("doc"))
     folder, cache = shape.scratch(spark, "documents"), shape.scratch(spark, "parsed")
     schema = "orders array<struct<id:bigint,lines:array<struct<id:int,part:bigint>>>>"
     for some in (docs.filter("file < 48"), docs.filter("file >= 48")):

@@ -65,3 +65,16 @@ def test_paired_results_are_not_shuffled(spark):
     assert out.select("event_id", "kind", "player_name_1_ns", "player_name_2_ns", "player_name_1_ew", "mp_total_1_ew").collect()[0][:] == ("e", "x", "Ann", None, "Bob", 6.0)
     joins = [line for line in plan_of(out).splitlines() if "Join" in line]
     assert "Inner" in joins[0]
+
+
+
+def test_documents_of_a_bounded_number_of_orders(spark, monkeypatch):
+    """Orders of one remainder that are far apart do not meet in one document."""
+    orders = spark.range(0, 3).select((F.col("id") * 64 * 8192).alias("o_orderkey"))
+    lines = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(7).cast("long").alias("l_partkey"))
+    seen = []
+    sync = upkeep_queries.S.sync_documents
+    monkeypatch.setattr(upkeep_queries.S, "sync_documents", lambda *a: seen.append(sync(*a)) or seen[-1])
+    query = next(q for n, q in QUERIES.items() if n == "synced_documents")
+    monkeypatch.setattr(tables_of, "read_table", lambda s, d, name: {"orders": orders, "lineitem": lines}[name])
+    assert query(spark, "").count() == 3 and seen[-1].count() == 3
