@@ -7,8 +7,9 @@ its similarity reaches the threshold is below ``miss``; survivors are verified e
 their full shingle sets. A bucket never emits all its pairs: a class is first held
 against the most central member of its largest bucket; with what that linked contracted to
 one component, members of other components than their centre's are held against it, and
-those of smaller components are compared with the rest of the bucket in blocks. Where
-that would be much, as in a bucket of many sets of one template, only members that share one
+those of smaller components are compared with the rest of the bucket in blocks, a task
+each: what the signatures keep of a block is verified there, on sets that come once for each
+member, and only links that join components leave it. Where that would be much, as in a bucket of many sets of one template, only members that share one
 of their rarest shingles are compared: sets that are similar enough must (prefix filter), so
 that loses no link, and what a template has in common is rare in none of them.
 """
@@ -39,6 +40,8 @@ BATCH = 32
 SMALL = 6
 #: Members of a block of a large bucket; comparisons in a bucket from which on only members with a rare shingle in common are compared.
 BLOCK, WORK = 512, 1 << 20
+#: Shingles of a block, about; one larger set is a block of its own.
+BLOCK_SHINGLES = 1 << 20
 
 
 def _coefficients(n: int) -> np.ndarray:
@@ -203,9 +206,12 @@ def _prune(least: np.ndarray):
     return run
 
 
-def _block_pairs(least: np.ndarray):
+def _block_members(least: np.ndarray):
     def found(run: pa.Table) -> pa.Table:
-        """Pairs of different components that no batch drops, in the first band that the two share; a key of 0 is none."""
+        """Members that have pairs of different components which no batch drops, in the first band that the two share; a key of 0 is none.
+
+        A left member names the others by ``at``, their places in the block.
+        """
         sig = np.frombuffer(b"".join(run["sig"].to_pylist()), np.uint16).reshape(len(run), HASHES)
         bands = run["bands"].combine_chunks().flatten().to_numpy().reshape(len(run), BANDS)
         key = run["key"].to_numpy()
@@ -218,10 +224,14 @@ def _block_pairs(least: np.ndarray):
             other = other[survivors(np.broadcast_to(sig[i], (len(other), HASHES)), sig[other], least)]
             shared = bands[other] == bands[i]
             other = other[(key[i] == 0) | (bands[other, shared.argmax(1)] == key[i])]
-            one.append(np.full(len(other), i))
-            two.append(other)
-        sid = run["sid"].combine_chunks()
-        return pa.table({"a": sid.take(pa.array(np.concatenate(one))), "b": sid.take(pa.array(np.concatenate(two)))})
+            if len(other):
+                one.append(i)
+                two.append(other)
+        flat = np.concatenate([*two, np.zeros(0, np.int64)])
+        met = np.unique(flat)
+        rows = np.concatenate([np.array(one, np.int64), met])
+        others = B.lists(flat, np.array([*map(len, two), *[0] * len(met)]), pa.int32())
+        return run.select(["cell", "i", "j", "sid", "comp"]).take(pa.array(rows)).append_column("at", pa.array(rows, pa.int32())).append_column("others", others)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in B.runs(it, ["cell", "i", "j"]):
@@ -232,6 +242,49 @@ def _block_pairs(least: np.ndarray):
     return run
 
 
+def _block_links(percent: int):
+    def found(run: pa.Table) -> pa.Table:
+        """Links between components of the block that no other of its links joins, verified on full sets."""
+        data, offsets = B.buffer(run["members"].combine_chunks())
+        codes, every = pd.factorize(data.view(np.uint64))
+        offsets = offsets // 8
+        size = np.diff(offsets)
+        comp = pd.factorize(run["comp"].to_pandas())[0]
+        named = run["others"].combine_chunks()
+        values, cuts = named.flatten().to_numpy(), np.concatenate([[0], np.cumsum(named.value_lengths().to_numpy())])
+        left = np.diff(cuts) > 0
+        at = run["at"].to_numpy()
+        place = np.zeros(at.max() + 1, np.int64)
+        place[at[~left]] = np.flatnonzero(~left)
+        own = np.zeros(len(every), bool)
+        one, two = [], []
+        for i in np.flatnonzero(left):
+            other = place[values[cuts[i] : cuts[i + 1]]]
+            like = 100 * np.minimum(size[other], size[i]) >= percent * np.maximum(size[other], size[i])
+            other = other[(comp[other] != comp[i]) & like]
+            if not len(other):
+                continue
+            n = size[other]
+            begin = np.cumsum(n) - n
+            mine = codes[offsets[i] : offsets[i + 1]]
+            own[mine] = True
+            common = np.add.reduceat(own[codes[np.repeat(offsets[other] - begin, n) + np.arange(n.sum())]], begin, dtype=np.int64)
+            own[mine] = False
+            for x in other[100 * common >= percent * (n + size[i] - common)]:
+                if comp[x] != comp[i]:
+                    comp[comp == comp[x]] = comp[i]
+                    one.append(i)
+                    two.append(x)
+        sid = run["sid"].combine_chunks()
+        return pa.table({"a": sid.take(pa.array(one, pa.int64())), "b": sid.take(pa.array(two, pa.int64()))})
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in B.runs(it, ["cell", "i", "j"]):
+            yield from found(group).to_batches()
+
+    return run
+
+
 def _verify(percent: int):
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -271,8 +324,8 @@ def near_dedup(docs: DataFrame, percent: int = 80, miss: float = 1e-4, width: in
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *B.rows_key(row_col))
     own = [row_col] if row_col else []
     signed = stored(text.mapInArrow(_sign(width, own), "doc_id long, n_shingles long, sid binary, sig binary, bands array<long>" + B.rows_schema(row_col)), "signatures")
-    classes = signed.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), *least_row("doc_id", row_col), F.any_value(F.struct("sig", "bands")).alias("s"), F.count("*").alias("n"))
-    classes = stored(classes.select("sid", "first_id", *(["first_row"] if row_col else []), "s.sig", "s.bands", "n"), "classes")
+    classes = signed.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("first_id"), *least_row("doc_id", row_col), F.any_value(F.struct("sig", "bands", "n_shingles")).alias("s"), F.count("*").alias("n"))
+    classes = stored(classes.select("sid", "first_id", *(["first_row"] if row_col else []), "s.sig", "s.bands", "s.n_shingles", "n"), "classes")
 
     member = classes.select("sid", F.posexplode("bands").alias("band", "key")).select("sid", "key")
     sizes = stored(member.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
@@ -314,7 +367,7 @@ def near_dedup(docs: DataFrame, percent: int = 80, miss: float = 1e-4, width: in
         links = links.unionByName(stored(verified(rest), "links"))
         label = components(links)
     if not large.isEmpty():
-        links = links.unionByName(stored(verified(pruned_blocks(large, classes.select("sid", "sig", "bands"), label, least, sets, percent)), "links"))
+        links = links.unionByName(stored(block_links(large, classes.select("sid", "sig", "bands", "n_shingles"), label, least, sets, percent), "links"))
         label = components(links)
 
     named = classes.select("sid", "first_id", *(["first_row"] if row_col else [])).join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
@@ -357,13 +410,14 @@ def mixed(m: DataFrame, by: str) -> DataFrame:
     return top.select(by, F.col("top.comp").alias("main"), "comps", "size", (F.col("size") - F.col("top.n")).alias("minor"))
 
 
-def pruned_blocks(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.ndarray, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of large buckets whose members' components differ.
+def block_links(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.ndarray, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join components in large buckets.
 
     In each bucket the members outside its largest component are compared with all members,
     block by block; a bucket of one component needs nothing. The members of buckets in which
     that is more than ``WORK`` comparisons are compared where they have a rare shingle in
-    common (:func:`prefix_cells`), in whatever bucket.
+    common (:func:`prefix_cells`), in whatever bucket. Pairs are no rows: a block's members
+    with pairs to verify meet again with their sets, so rows grow with members and blocks.
     """
     m = stored(large.join(label, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "labelled")
     buckets = stored(mixed(m, "key"), "buckets")
@@ -373,16 +427,17 @@ def pruned_blocks(large: DataFrame, sig: DataFrame, label: DataFrame, least: np.
     if not heavy.isEmpty():
         again = facts_join(m, heavy.select("key"), ["key"], heavy).select("sid", "comp").distinct()
         cells = cells.unionByName(prefix_cells(again, sets, percent))
-    cells = stored(cells, "cells")
-    top = stored(mixed(cells, "cell"), "tops")
-    m = facts_join(cells, top.select("cell", "main", "size"), ["cell"], top.select("cell", F.col("size").alias("n"))).withColumn("minor", F.col("comp") != F.col("main"))
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    cells = stored(cells.join(sig.select("sid", "n_shingles"), "sid"), "cells")
+    top = stored(mixed(cells, "cell").join(cells.groupBy("cell").agg(F.sum("n_shingles").alias("shingles")), "cell"), "tops")
+    m = facts_join(cells.drop("n_shingles"), top.select("cell", "main", "size", "shingles"), ["cell"], top.select("cell", F.col("size").alias("n"))).withColumn("minor", F.col("comp") != F.col("main"))
+    blocks = F.ceil(F.greatest(F.col("size") / F.lit(BLOCK), F.col("shingles") / F.lit(BLOCK_SHINGLES))).cast("int")
     m = m.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     left = m.filter("minor").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     left = left.select("key", "cell", "sid", "comp", F.col("block").alias("i"), F.col("with").alias("j"), F.lit(True).alias("as_left"))
     # a block of the right side is wanted where the left side has a block
     wanted = m.filter("minor").select("cell", F.col("block").alias("i")).distinct()
     right = m.join(wanted, "cell").select("key", "cell", "sid", "comp", "i", F.col("block").alias("j"), F.lit(False).alias("as_left"))
-    rows = left.unionByName(right).join(sig, "sid").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    found = rows.mapInArrow(_block_pairs(least), "a binary, b binary")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    dealt = lambda rows: rows.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    rows = left.unionByName(right).join(sig.select("sid", "sig", "bands"), "sid")
+    found = stored(dealt(rows).mapInArrow(_block_members(least), "cell long, i int, j int, sid binary, comp binary, at int, others array<int>"), "block-members")
+    return dealt(found.join(sets, "sid")).mapInArrow(_block_links(percent), "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

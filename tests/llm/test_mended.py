@@ -147,3 +147,33 @@ def test_tags_and_short_notices(spark):
     texts = ["CC0 1.0 Universal", "// SPDX-License-Identifier: BSD-3-Clause", "Boost Software License, Version 1.0", "Eclipse Public License v2.0", "SPDX-License-Identifier: MIT", "identifier of an spdx license", "a universal cc0"]
     got = {r["doc_id"]: r["labels"] for r in summary(license_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))).collect()}
     assert [got[i] for i in range(len(texts))] == ["cc0-1.0", "bsd-3-clause", "bsl-1.0", "epl-2.0", "mit", "", ""]
+
+
+def test_pairs_just_below_the_threshold_are_no_rows(spark, monkeypatch):
+    """Texts of 0.78 with each other pass the signatures, two for two; only links leave their blocks."""
+    from resultlake.llm import near_dedup
+
+    common = [f"c{i}" for i in range(88)]
+    rows = [(i, " ".join(common + [f"x{i}-{k}" for k in range(12)])) for i in range(150)]
+    rows += [(1000 + i, t + " more") for i, t in rows[:20]]  # linked with the first ones
+    seen = spark.sparkContext.accumulator(0)
+    was = near_dedup._verify
+
+    def counted(percent):
+        run = was(percent)
+
+        def each(it):
+            for b in it:
+                seen.add(b.num_rows)
+                yield b
+
+        return lambda it: run(each(it))
+
+    monkeypatch.setattr(near_dedup, "_verify", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block, shingles in ((512, 1 << 20), (40, 1000)):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", shingles, raising=False)
+        got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(df).collect()}
+        assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
+        assert seen.value < 10 * len(rows)
