@@ -30,6 +30,8 @@ MOST_BYTES = 64 << 20
 MATRIX_ROWS, LONGEST = 1 << 16, 1024
 #: Pieces whose ids a worker keeps between batches.
 REMEMBERED = 1 << 18
+#: Bytes of texts, or of ids, that are coded at once: their pieces take many times as much.
+STEP_BYTES = 1 << 20
 
 
 class Vocabulary:
@@ -53,7 +55,7 @@ class Vocabulary:
                     keys.append(a << 32 | b)
                     values.append(rank)
         self._fill(np.array(keys, np.uint64), np.array(values, np.int32))
-        self.memory: dict[bytes, np.ndarray] = {}
+        self.memory: dict[bytes, bytes] = {}  # ids as bytes: an array would hold the matrix that it is a row of
 
     def _fill(self, keys: np.ndarray, values: np.ndarray) -> None:
         """An open table with linear probing, a quarter full at most."""
@@ -156,7 +158,7 @@ class Vocabulary:
         first, which = made.distinct()
         own = made.bytes_of(first)
         starts, lengths = made.starts[first], (made.ends - made.starts)[first]
-        ids: list[np.ndarray] = [self.memory.get(x) for x in own]
+        ids: list[bytes] = [self.memory.get(x) for x in own]
         new = np.array([i for i, x in enumerate(ids) if x is None], np.int64)
         new = new[np.argsort(lengths[new], kind="stable")]
         cuts = np.flatnonzero(np.diff(lengths[new])) + 1
@@ -166,13 +168,13 @@ class Vocabulary:
             for some in np.split(group, range(step, len(group), step)):
                 matrix = self.byte_id[made.data[starts[some][:, None] + np.arange(width)]]
                 for i, x in zip(some.tolist(), self.merge(matrix) if width <= LONGEST else map(self.merge_long, matrix)):
-                    ids[i] = x
+                    ids[i] = x.tobytes()
         if len(self.memory) + len(new) > REMEMBERED:
             self.memory = {}
         for i in new[lengths[new] <= 64][:REMEMBERED].tolist():
             self.memory[own[i]] = ids[i]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        sizes = np.array([len(x) for x in ids], np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
         begin = np.cumsum(sizes) - sizes
         per = sizes[which]
         total = np.concatenate([[0], np.cumsum(per)])
@@ -208,6 +210,13 @@ def send_file(spark: SparkSession, path: str) -> Broadcast:
     return spark.sparkContext.broadcast(held)
 
 
+def _coded(own: Vocabulary, it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in B.pieces(it, "text", STEP_BYTES):
+        ids, counts = own.encode(b.column("text"))
+        offsets = np.concatenate([[0], np.cumsum(counts)]) * 4
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts), B.binary(ids.astype("<u4").view(np.uint8), offsets)], ["doc_id", "n_tokens", "ids"])
+
+
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids for each row of ``docs``; ids are little-endian unsigned 32-bit integers.
 
@@ -219,11 +228,7 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     sent = send_file(docs.sparkSession, vocabulary)
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _vocabulary(sent)
-        for b in B.pieces(it, "text"):
-            ids, counts = own.encode(b.column("text"))
-            offsets = np.concatenate([[0], np.cumsum(counts)]) * 4
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts), B.binary(ids.astype("<u4").view(np.uint8), offsets)], ["doc_id", "n_tokens", "ids"])
+        yield from _coded(_vocabulary(sent), it)
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
@@ -236,7 +241,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _vocabulary(sent)
-        for b in B.pieces(it, "ids"):
+        for b in B.pieces(it, "ids", STEP_BYTES):
             held, offsets = B.buffer(b.column("ids"))
             data, at = own.decode(held.view("<u4").astype(np.int64), np.diff(offsets) // 4)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_tokens"), b.column("ids"), B.binary(data, at)], ["doc_id", "n_tokens", "ids", "decoded"])

@@ -177,3 +177,24 @@ def test_pairs_just_below_the_threshold_are_no_rows(spark, monkeypatch):
         got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(df).collect()}
         assert got == {i: i - 1000 if i >= 1000 else i for i, _ in rows}
         assert seen.value < 10 * len(rows)
+
+
+def test_a_batch_is_coded_in_small_steps():
+    """What a batch of 4 MB takes is that of a step, not thirty times the batch."""
+    import public_tokenizers
+
+    from resultlake.llm import bpe
+
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        own = bpe.Vocabulary(f.read())
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopé", k=rng.randint(3, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=1000)) for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    list(bpe._coded(own, [batch.slice(0, 1)]))
+    tracemalloc.start()
+    n = sum(sum(b.column("n_tokens").to_pylist()) for b in bpe._coded(own, [batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ids, counts = own.encode(batch.column("text"))
+    assert n == len(ids) == counts.sum() and peak < 100 << 20, peak
