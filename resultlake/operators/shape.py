@@ -172,6 +172,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows that :func:`parts_of` counts on in a task.
+ROWS_OF_TASK = 250_000
+
+
+def parts_of(df: DataFrame) -> int:
+    """Partitions for the rows of a table, so that a task's share stays the same as the table grows; a core has one at least."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_OF_TASK))
+
+
 def ranges(df: DataFrame) -> int:
     """Ranges that an order is cut into: as many as the session's shuffles have partitions, 64 at least."""
     return max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -892,4 +892,4 @@ def fuzzy_names(t: Tables) -> DataFrame:
 def map_distinct(t: Tables) -> DataFrame:
     """a function evaluated once for each distinct value."""
     out = fuzzy.map_distinct(t("lineitem"), "l_returnflag", lambda c: F.concat(F.upper(c), F.lit("!")), "shout")
-    return out.groupBy("l_orderkey", "l_linenumber", "shout").agg(F.count("*").alias("n"))
+    return out.select("l_orderkey", "l_linenumber", "shout").repartition(shape.parts_of(t("lineitem")), "l_orderkey", "l_linenumber").groupBy("l_orderkey", "l_linenumber", "shout").agg(F.count("*").alias("n"))

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from resultlake.operators import windows
+from resultlake.operators import shape, windows
 from resultlake.plans import game_queries, serve, study_queries, upkeep_queries  # noqa: F401  register their queries
 from resultlake.plans import reports as R
 from resultlake.plans.queries import QUERIES
@@ -78,3 +78,11 @@ def test_documents_of_a_bounded_number_of_orders(spark, monkeypatch):
     query = next(q for n, q in QUERIES.items() if n == "synced_documents")
     monkeypatch.setattr(tables_of, "read_table", lambda s, d, name: {"orders": orders, "lineitem": lines}[name])
     assert query(spark, "").count() == 3 and seen[-1].count() == 3
+
+
+@pytest.mark.parametrize("name", ["map_distinct"])
+def test_parts_grow_with_the_rows(spark, monkeypatch, name):
+    """Rows are dealt by their number before they are grouped, and counted nowhere before that."""
+    monkeypatch.setattr(shape, "ROWS_OF_TASK", 500)
+    dealt = re.findall(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", plan_of(QUERIES[name](spark, SF)))
+    assert dealt and all(int(n) >= 12 for n in dealt)
