@@ -415,7 +415,8 @@ SELECT l_orderkey, l_linenumber, count(*) AS n, count(*) FILTER (d) AS duplicate
 """)
 def duplicates(t: Tables) -> DataFrame:
     """Rows whose key repeats."""
-    line = t("lineitem").withColumn("d", windows.duplicate_flag(["l_orderkey", "l_linenumber"]))
+    line = t("lineitem").select("l_orderkey", "l_linenumber")
+    line = line.repartition(shape.parts_of(line), "l_orderkey", "l_linenumber").withColumn("d", windows.duplicate_flag(["l_orderkey", "l_linenumber"]))
     return line.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.count_if("d").alias("duplicates")).filter("n > 1")
 
 
