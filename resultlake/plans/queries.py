@@ -760,10 +760,11 @@ def json_flatten(t: Tables) -> DataFrame:
 @query("SELECT o_orderkey::VARCHAR AS o_id, l_linenumber::VARCHAR AS id, l_partkey::VARCHAR AS part, count(*) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL")
 def order_documents(t: Tables) -> DataFrame:
     """Nested documents back to lines with their parents' keys."""
-    lines = t("lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("id"), F.col("l_partkey").alias("part"))).alias("lines"))
-    docs = t("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("id"), "lines")).alias("orders"))).alias("doc"))
+    parts = shape.parts_of(t("lineitem"))  # of documents, of lines and, far smaller, of orders
+    lines = t("lineitem").repartition(parts, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").alias("id"), F.col("l_partkey").alias("part"))).alias("lines"))
+    docs = t("orders").repartition(parts, "o_orderkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(F.to_json(F.struct(F.array(F.struct(F.col("o_orderkey").alias("id"), "lines")).alias("orders"))).alias("doc"))
     out = S.normalize_documents(docs, "doc", "orders array<struct<id:bigint,lines:array<struct<id:int,part:bigint>>>>", {"orders": ["orders"], "lines": ["orders", "lines"]}, {"orders": "o_id"})
-    return out["lines"].groupBy("o_id", "id", "part").agg(F.count("*").alias("n"))
+    return out["lines"].repartition(parts, "o_id", "id", "part").groupBy("o_id", "id", "part").agg(F.count("*").alias("n"))
 
 
 @query("""

@@ -80,7 +80,7 @@ def test_documents_of_a_bounded_number_of_orders(spark, monkeypatch):
     assert query(spark, "").count() == 3 and seen[-1].count() == 3
 
 
-@pytest.mark.parametrize("name", ["map_distinct", "duplicates"])
+@pytest.mark.parametrize("name", ["map_distinct", "duplicates", "order_documents"])
 def test_parts_grow_with_the_rows(spark, monkeypatch, name):
     """Rows are dealt by their number before they are grouped, and counted nowhere before that."""
     monkeypatch.setattr(shape, "ROWS_OF_TASK", 500)
