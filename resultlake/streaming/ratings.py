@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,6 +28,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Rating of a new entity, weight of a game, games of one half that a form begins with.
 INIT, K, PRIOR = 1500.0, 20.0, 10.0
+#: Rows that a task of a batch folds at once, about; a date of one entity may be longer.
+STRETCH = 1 << 17
 RATED = "date {date}, entity string, n_games long, before double, after double"
 
 
@@ -73,32 +76,17 @@ def rate(games: DataFrame, k: float = K, init: float = INIT, prior: float = PRIO
     dealt = faced.repartition("entity").sortWithinPartitions("entity", "date", "form").select("entity", "date", "form", "score", "n")
 
     def fold(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entity, date, rating, held = None, None, init, []
-
-        def closed(out: list[tuple]) -> float:
-            part = [np.array(c) for c in zip(*held)]
-            after = _moved(rating, *part, k, init)
-            out.append((date, entity, int(part[2].sum()), rating, after))
-            held.clear()
-            return after
-
-        out: list[tuple] = []
-        kind = pa.null()
+        """Entities of a stretch of rows move date by date, all at once; the last date and its entity's rating are carried on."""
+        held: list[pa.RecordBatch] = []
+        last, rating = None, init
         for b in it:
-            kind = b.schema.field("date").type
-            for e, d, *values in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if held and (e != entity or d != date):
-                    rating = closed(out)
-                if e != entity:
-                    rating = init
-                entity, date = e, d
-                held.append(values)
-            if out:
-                yield _batch(out, kind)
-                out = []
-        if held:
-            closed(out)
-            yield _batch(out, kind)
+            held.append(b)
+            if sum(x.num_rows for x in held) >= STRETCH:
+                out, rest, last, rating = _folded(held, last, rating, False, k, init)
+                held = [rest]
+                yield out
+        if sum(x.num_rows for x in held):
+            yield _folded(held, last, rating, True, k, init)[0]
 
     return dealt.mapInArrow(fold, RATED.format(date=_kind(games)))
 
@@ -107,9 +95,49 @@ def _kind(games: DataFrame) -> str:
     return games.schema["date"].dataType.simpleString()
 
 
-def _batch(rows: list[tuple], date: pa.DataType) -> pa.RecordBatch:
-    kinds = [date, pa.string(), pa.int64(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["date", "entity", "n_games", "before", "after"])
+def _folded(held: list[pa.RecordBatch], last: str | None, rating: float, whole: bool, k: float, init: float) -> tuple[pa.RecordBatch, pa.RecordBatch, str | None, float]:
+    """(ratings, rows of the last date, its entity, the rating before it) of rows (entity, date, form, score, n) in order.
+
+    ``rating`` is that of the entity ``last``, which the rows may go on with. Of rows that
+    are ``whole`` none is left over.
+    """
+    rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    entity, date = rows.column("entity"), rows.column("date")
+    other = lambda c: np.concatenate([[True], pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)])
+    fresh = other(entity)
+    starts = np.flatnonzero(fresh | other(date))
+    ends = np.append(starts[1:], len(rows))
+    if not whole:
+        left = rows.slice(starts[-1])
+        starts, ends = starts[:-1], ends[:-1]
+    form, score, n = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("form", "score", "n"))
+    met = strength(form, init)
+    whose = np.cumsum(fresh[starts]) - 1 if len(starts) else starts  # the entity of each date
+    now = np.full(whose[-1] + 1 if len(starts) else 0, init)
+    if len(now) and entity[0].as_py() == last:
+        now[0] = rating
+    first = np.flatnonzero(np.diff(whose, prepend=-1))
+    nth = np.arange(len(whose)) - first[whose]
+    before, after = np.empty(len(starts)), np.empty(len(starts))
+    order = np.argsort(nth, kind="stable")
+    for some in np.split(order, np.cumsum(np.bincount(nth))[:-1]) if len(starts) else []:
+        size = ends[some] - starts[some]
+        begin = np.cumsum(size) - size
+        at = np.repeat(starts[some] - begin, size) + np.arange(size.sum())
+        before[some] = now[whose[some]]
+        gained = score[at] - n[at] / (1 + 10 ** ((met[at] - np.repeat(before[some], size)) / 400))
+        after[some] = now[whose[some]] = before[some] + k * np.add.reduceat(gained, begin)
+    games = np.add.reduceat(n[: ends[-1]], starts) if len(starts) else np.zeros(0, np.int64)
+    at = pa.array(starts)
+    out = pa.RecordBatch.from_arrays([date.take(at), entity.take(at), pa.array(games), pa.array(before), pa.array(after)], ["date", "entity", "n_games", "before", "after"])
+    if whole:
+        return out, rows.slice(len(rows)), None, init
+    own = left.column("entity")[0].as_py()
+    if len(starts) and entity[int(starts[-1])].as_py() == own:
+        rating = float(now[-1])
+    elif own != last:
+        rating = init
+    return out, left, own, rating
 
 
 def faced_stream(games: DataFrame, prior: float = PRIOR) -> DataFrame:

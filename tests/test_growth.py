@@ -1,8 +1,11 @@
 """What grows with the tables: broadcasts, cuts, shuffles and the memory of a task."""
 
+import itertools
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +15,7 @@ from resultlake.plans import reports as R
 from resultlake.plans.queries import QUERIES
 from resultlake.sources import tables as tables_of
 from resultlake.sources.tables import read_table
+from resultlake.streaming import ratings
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,3 +90,23 @@ def test_parts_grow_with_the_rows(spark, monkeypatch, name):
     monkeypatch.setattr(shape, "ROWS_OF_TASK", 500)
     dealt = re.findall(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", plan_of(QUERIES[name](spark, SF)))
     assert dealt and all(int(n) >= 12 for n in dealt)
+
+
+def test_entities_of_a_stretch_move_at_once():
+    """Ratings are those of one date after another, wherever the rows are cut."""
+    rng = np.random.default_rng(3)
+    rows = [(f"e{e}", d, float(f), float(rng.random()), int(rng.integers(1, 4))) for e in range(40) for d in range(rng.integers(1, 9)) for f in sorted(rng.uniform(0.2, 0.8, rng.integers(1, 5)))]
+    want, rating = [], {}
+    for (entity, date), some in itertools.groupby(rows, lambda r: r[:2]):
+        form, score, n = (np.array(c) for c in list(zip(*some))[2:])
+        before = rating.get(entity, ratings.INIT)
+        rating[entity] = ratings._moved(before, form, score, n, ratings.K, ratings.INIT)
+        want.append((date, entity, n.sum(), before, rating[entity]))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["entity", "date", "form", "score", "n"])
+    for step in (1, 7, len(rows)):
+        got, held, last, now = [], [], None, ratings.INIT
+        for at in range(0, len(rows), step):
+            out, rest, last, now = ratings._folded([*held, batch.slice(at, step)], last, now, False, ratings.K, ratings.INIT)
+            got, held = got + out.to_pylist(), [rest]
+        got += ratings._folded(held, last, now, True, ratings.K, ratings.INIT)[0].to_pylist()
+        assert [tuple(r.values()) for r in got] == [(*w[:3], *(pytest.approx(x, abs=1e-9) for x in w[3:])) for w in want]
