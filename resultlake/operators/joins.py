@@ -42,6 +42,31 @@ def pair_views(df: DataFrame, keys: list[str], crossed: tuple[str, str], a: str
     return both.filter((F.col(own + a) == F.col(other + b)) & (F.col(other + a) == F.col(own + b)))
 
 
+def pair_totals(df: DataFrame, keys: list[str], crossed: tuple[str, str], sides: tuple[str, str, str], counts: dict[str, str], sums: dict[str, str], tops: dict[str, str], a: str = "_ns", b: str = "_ew") -> DataFrame:
+    """Totals of the pairs of :func:`pair_views` at each meeting, without making the pairs.
+
+    ``sides``: the column that tells the sides, and its values on either. Where n rows of one
+    side meet m of the other, each row is in as many pairs as the other side has rows, so the
+    rows of both are grouped once, and totals of a side are multiplied by the other's rows.
+    ``counts``, ``sums`` and ``tops`` (maxima) give a name to a column of the pairs, with its suffix.
+    """
+    (own, other), (side, *values) = crossed, sides
+    of = {a: F.col(side) == values[0], b: F.col(side) == values[1]}
+
+    def mine(column: str) -> Column:
+        end = a if column.endswith(a) else b
+        return F.when(of[end], F.col(column.removesuffix(end)))
+
+    def times(column: str) -> Column:
+        return F.col("__b" if column.endswith(a) else "__a")
+
+    met = {own + a: F.when(of[a], F.col(own)).otherwise(F.col(other)), other + a: F.when(of[a], F.col(other)).otherwise(F.col(own))}
+    rows = df.filter(of[a] | of[b]).withColumns(met).dropna(subset=[*keys, *met])
+    measures = [F.count(mine(c)).alias(n) for n, c in counts.items()] + [F.sum(mine(c)).alias(n) for n, c in sums.items()] + [F.max(mine(c)).alias(n) for n, c in tops.items()]
+    one = rows.groupBy(*keys, *met).agg(F.count_if(of[a]).alias("__a"), F.count_if(of[b]).alias("__b"), *measures).filter("__a > 0 AND __b > 0")
+    return one.select(*keys, *met, (F.col("__a") * F.col("__b")).alias("n"), *[(F.col(n) * times(c)).alias(n) for n, c in (counts | sums).items()], *tops)
+
+
 def path_join(frames: list[DataFrame], links: list[tuple[str, str]], where: Column | None = None) -> DataFrame:
     """Inner joins along a path, the first frame filtered before."""
     out = frames[0].filter(where) if where is not None else frames[0]

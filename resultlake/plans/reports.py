@@ -40,24 +40,57 @@ def clean_results(t: dict[str, DataFrame]) -> DataFrame:
     return shape.require(drop_out_of_range(facts, ["Pct_NS", "Pct_EW"]), ["session_id", "board_number"])
 
 
+#: What a pair's row and that of its opponents have in common.
+BOARD_OF_PAIRS = ["session_id", "section_id", "board_number"]
+
+
+def _paired_rows(rows: DataFrame, newest: DataFrame) -> DataFrame:
+    """A pair's rows with its two players, and the attributes of both."""
+    listed = rows.withColumn("__ids", X.pad2(X.id_list("pair_acbl")))
+    own = listed.select(*BOARD_OF_PAIRS, "orientation", "pair_number", "opponent_pair_number", "contract", "declarer", "score", "percentage", X.at("__ids", 0).alias("player_1"), X.at("__ids", 1).alias("player_2"))
+    return joins.join_roles(own, newest, "player_number", {"1": "player_1", "2": "player_2"}, ["player_name", "mp_total"])
+
+
 def clean_paired_results(rows: DataFrame, sessions: DataFrame, history: DataFrame) -> DataFrame:
     """Tournament results, a row for each pair, as one row for both, with players' latest attributes.
 
     ``rows``: session_id, section_id, board_number, orientation, pair_number, opponent_pair_number, pair_acbl, contract, declarer, score, percentage.
     """
-    ids = X.pad2(X.id_list("pair_acbl"))
-    own = rows.select("session_id", "section_id", "board_number", "orientation", "pair_number", "opponent_pair_number", "contract", "declarer", "score", "percentage", X.at(ids, 0).alias("player_1"), X.at(ids, 1).alias("player_2"))
     # what is looked up goes to the rows before they are paired, as a board's pairs grow with the square of its rows
     newest = aggs.latest(history, ["player_number"], ["date", "session_id"], ["player_name", "mp_total"])
-    own = joins.join_roles(own, newest, "player_number", {"1": "player_1", "2": "player_2"}, ["player_name", "mp_total"])
+    own = _paired_rows(rows, newest)
     more = [c for c in sessions.columns if c != "session_id"]
     of = sessions.select(F.col("session_id").alias("__session"), F.struct(F.lit(True).alias("__known"), *more).alias("__s"))
     own = own.join(of, (F.col("session_id") == F.col("__session")) & (F.col("orientation") == "N-S"), "left").drop("__session")
-    both = joins.pair_views(own, ["session_id", "section_id", "board_number"], ("pair_number", "opponent_pair_number")).filter("orientation_ns = 'N-S' AND orientation_ew = 'E-W'")
+    both = joins.pair_views(own, BOARD_OF_PAIRS, ("pair_number", "opponent_pair_number")).filter("orientation_ns = 'N-S' AND orientation_ew = 'E-W'")
     both = both.withColumns({"event_id": X.id_prefix("session_id")} | {c: F.col(f"__s_ns.{c}") for c in more})
     return both.drop("__s_ns", "__s_ew")
 
 
+def paired_totals(rows: DataFrame, sessions: DataFrame, history: DataFrame, by: list[str], counts: dict[str, str], sums: dict[str, str], tops: dict[str, str]) -> DataFrame:
+    """Totals of :func:`clean_paired_results` by event, session or the session's columns, without making its rows.
+
+    ``counts``, ``sums`` and ``tops`` (maxima) give a name to a column of those rows; ``n`` counts them.
+    Names go by their place in the order of names, a number: Spark would sort all rows to find
+    the last text of each group. Players are written down, so Spark sees how few they are
+    before it plans, and needs no shuffle of the rows to look them up.
+    """
+    spark = rows.sparkSession
+    newest = shape.with_row_id(aggs.latest(history, ["player_number"], ["date", "session_id"], ["player_name", "mp_total"]), ["player_name"], "place")
+    folder = shape.scratch(spark, "players")
+    newest.write.parquet(folder)
+    newest = spark.read.schema(newest.schema).parquet(folder)
+    own = _paired_rows(rows, newest.withColumn("player_name", F.when(F.col("player_name").isNotNull(), F.col("place"))))
+    met = joins.pair_totals(own, BOARD_OF_PAIRS, ("pair_number", "opponent_pair_number"), ("orientation", "N-S", "E-W"), counts, sums, tops)
+    total = [F.sum(n).alias(n) for n in ("n", *counts, *sums)] + [F.max(n).alias(n) for n in tops]
+    of = met.groupBy("session_id").agg(*total).join(sessions, "session_id", "left").withColumn("event_id", X.id_prefix("session_id"))
+    out = of.groupBy(*by).agg(*total)
+    for name in (n for n, c in tops.items() if c.startswith("player_name_")):
+        named = newest.select(F.col("place").alias("__place"), F.col("player_name").alias("__name"))
+        out = out.join(named, F.col(name) == F.col("__place"), "left").withColumn(name, F.col("__name")).drop("__place", "__name")
+    return out
+
+
 def clean_deals(df: DataFrame) -> DataFrame:
     """Deals with canonical hands, vulnerability and par; a deal that a session numbers twice with different hands goes.
 

@@ -71,6 +71,34 @@ def test_paired_results_are_not_shuffled(spark):
     assert "Inner" in joins[0]
 
 
+def test_totals_of_tournament_results_make_no_pairs(spark, tables):
+    """A board's pairs grow with the square of its rows: sides are grouped, not joined, and players looked up where the rows are."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(bytes_of(tables("orders"))))
+    try:
+        plan = plan_of(QUERIES["tournament_results"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "Inner" not in plan and len(re.findall(r"BroadcastHashJoin \[player_[12]#", plan)) == 2
+
+
+@pytest.mark.parametrize("players", [[("1", "Ann", 5.0), ("1", "Zoe", 4.0), ("2", "Bob", None), ("4", None, 7.0), (None, "Eve", 9.0)], []])
+def test_totals_are_those_of_the_pairs(spark, players):
+    """Also with nulls in every column, a session that is listed twice and one that is not, and players without a name."""
+    rng = random.Random(5)
+    some = lambda *v: rng.choice([*v, None])
+    rows = [(some("e-1", "e-2", "f-1"), rng.choice("AAB"), some(1, 1, 2), some("N-S", "E-W", "N-S", "E-W", "x"), some(1, 2), some(1, 2), some("[1, 2]", "[#3, 4]", "[0, 1]", "[]", "[2, 1, 4]"), "3N", "N", "400", some(0.25, 0.5, 1.0)) for _ in range(600)]
+    rows = spark.createDataFrame(rows, "session_id string, section_id string, board_number int, orientation string, pair_number int, opponent_pair_number int, pair_acbl string, contract string, declarer string, score string, percentage double")
+    sessions = spark.createDataFrame([("e-1", "x"), ("e-1", "y"), ("f-1", "x")], "session_id string, kind string")
+    people = spark.createDataFrame([(p, f"2024-01-{d:02}", "s", n, m) for d, (p, n, m) in enumerate(players, 1)], "player_number string, date string, session_id string, player_name string, mp_total double")
+    counts, sums, tops = {"a": "player_name_1_ns", "b": "player_2_ew"}, {"c": "percentage_ns", "d": "percentage_ew"}, {"e": "player_name_1_ew", "f": "player_name_2_ns", "g": "mp_total_2_ew", "h": "percentage_ns"}
+    pairs = R.clean_paired_results(rows, sessions, people).groupBy("event_id", "kind")
+    want = pairs.agg(F.count("*").alias("n"), *[f(c).alias(n) for f, m in ((F.count, counts), (F.sum, sums), (F.max, tops)) for n, c in m.items()]).orderBy("event_id", "kind")
+    got = R.paired_totals(rows, sessions, people, ["event_id", "kind"], counts, sums, tops).select(*want.columns).orderBy("event_id", "kind")
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()] and len(want.collect()) == 4
+    assert R.paired_totals(rows.limit(0), sessions, people, ["event_id"], counts, sums, tops).count() == 0
+
+
 
 def test_documents_of_a_bounded_number_of_orders(spark, monkeypatch):
     """Orders of one remainder that are far apart do not meet in one document."""
